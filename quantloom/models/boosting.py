@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.ml import PipelineModel, Pipeline
-from pyspark.ml.feature import StringIndexer, TargetEncoder, VectorAssembler
+from pyspark.ml.feature import StringIndexer, TargetEncoder
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame
@@ -108,9 +108,9 @@ def _numeric(df: DataFrame, features: Sequence[str], categorical: Sequence[str])
 
 
 def _encoder(
-    train: DataFrame, features: Sequence[str], categorical: Sequence[str], target: str,
+    train: DataFrame, categorical: Sequence[str], target: str,
 ) -> PipelineModel:
-    """One number per feature; categories become their smoothed mean target."""
+    """Turns each category into its smoothed mean target."""
     stages = []
     if categorical:
         indexed = [f"_i_{c}" for c in categorical]
@@ -124,10 +124,15 @@ def _encoder(
                 targetType="continuous", handleInvalid="keep", smoothing=10.0,
             ),
         ]
-    stages.append(VectorAssembler(inputCols=[f"_f_{c}" for c in features], outputCol="_features"))
     return Pipeline(stages=stages).fit(train)
 
 
+def _with_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """The numbers as one vector, free of the nominal marks that encoders leave behind."""
+    numbers = F.array(*[F.col(f"_f_{c}").cast("double") for c in features])
+    return df.withColumn("_features", array_to_vector(numbers))
+
+
 def _booster(label: str, target: str, iterations: int, seed: int) -> GBTRegressor:
     return GBTRegressor(
         featuresCol="_features", labelCol=label, predictionCol="_prediction", maxDepth=DEPTH,
@@ -152,8 +157,11 @@ def train_horizon(
     usable = _numeric(rows.where("split <> 'test'"), features, categorical).withColumn(
         "_validation", F.col("split") == "validation",
     )
-    encoder = _encoder(usable.where("split = 'train'"), features, categorical, target)
-    encoded = checkpointed(encoder.transform(usable).select(target, "_validation", "_features"))
+    encoder = _encoder(usable.where("split = 'train'"), categorical, target)
+    encoded = checkpointed(
+        _with_features(encoder.transform(usable), features)
+        .select(target, "_validation", "_features"),
+    )
     mean = _booster(target, target, iterations, seed).fit(encoded)
     squared = F.pow(F.col(target) - F.col("_prediction"), 2)
     residuals = mean.transform(encoded).select(
@@ -169,7 +177,7 @@ def train_horizon(
 
 def _encoded(df: DataFrame, model: HorizonModel) -> DataFrame:
     numeric = _numeric(normalise_types(df), model.features, model.categorical)
-    return model.encoder.transform(numeric)
+    return _with_features(model.encoder.transform(numeric), model.features)
 
 
 def score(
