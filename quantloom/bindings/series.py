@@ -42,7 +42,8 @@ _EVENT_SMA = """
 def _event_moments(spark, d, **options):
     rows = table(spark, d, "events").select("event_id", "user_id", "ts", "value")
     out = windows.rolling_moments(
-        rows, "user_id", "ts", 6, {"sma": "value"}, {"dev": "value"}, tie_break=["event_id"], **options,
+        rows, "user_id", "ts", [windows.Rolling(6, {"sma": "value"}, {"dev": "value"})],
+        tie_break=["event_id"], **options,
     )
     return rounded(out, 3, "sma", "dev").drop("ts", "value")
 

@@ -73,6 +73,13 @@ def date_selection(
     )
 
 
+def training_members(universe: DataFrame, strict: bool = False) -> DataFrame:
+    """Tickers that ``training_universe`` may keep on some date."""
+    stock = F.col("assetType") == "Stock"
+    nyse, nasdaq = F.col("exchange") == "NYSE", F.col("exchange") == "NASDAQ"
+    return universe.where(stock & (nyse | nasdaq) if strict else (stock & nyse) | nasdaq)
+
+
 def training_universe(
     df: DataFrame, time: str = "date", nasdaq_from: str = NASDAQ_TRAINING_START,
     strict: bool = False,

@@ -10,8 +10,9 @@ per key is bounded by the data model, e.g. one row per key and calendar day.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,107 +76,110 @@ def framed(
     return plain(ordinary).unionByName(kept)
 
 
-def _moments(value: str, spec, tag: str) -> dict[str, Column]:
-    v = F.col(value).cast("double")
-    return {
-        f"_n{tag}": F.count(v).over(spec),
-        f"_m{tag}": F.avg(v).over(spec),
-        f"_q{tag}": F.var_pop(v).over(spec),
-    }
+@dataclass(frozen=True)
+class Rolling:
+    """One frame length: ``{output: value column}`` for means and sample deviations."""
 
+    periods: int
+    means: Mapping[str, str] = field(default_factory=dict)
+    deviations: Mapping[str, str] = field(default_factory=dict)
 
-def rolling_moments_step(
-    periods: int, means: Mapping[str, str], deviations: Mapping[str, str],
-) -> FrameStep:
-    """Mean and sample deviation over ``periods + 1`` rows at constant cost per row.
 
-    Spark re-evaluates a sliding frame for every row.  Here rows are cut into
-    runs as long as the frame, so that each frame is the end of one run plus
-    the start of the next: running moments from both ends of a run are merged
-    pairwise, which costs the same for a frame of 5 rows and of 750.
-    """
-    width = periods + 1
-    values = sorted({*means.values(), *deviations.values()})
+def _frame_moments(rolling: Rolling, part: list[str], order: list[Column]) -> Callable:
+    """Adds one frame length to a table that carries ``_rn``.
 
-    def step(frame: DataFrame, part: list[str], order: list[Column]) -> DataFrame:
+    Spark evaluates a sliding frame anew for every row.  Here the rows of a key
+    are cut into runs as long as the frame.  A frame then is the end of one run
+    (the run without its beginning) plus the beginning of the next, and the
+    moments of all beginnings are running aggregates: constant cost per row,
+    for 5 rows as for 750.  Runs follow time, so one sort serves all windows.
+    """
+    width = rolling.periods + 1
+    squares = set(rolling.deviations.values())
+    values = sorted({*rolling.means.values(), *squares})
+    run = W.partitionBy(*part, "_run").orderBy(*order)
+    head = run.rowsBetween(W.unboundedPreceding, 0)
+    whole = run.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    along = W.partitionBy(*part).orderBy("_run", *order)
+
+    def moments(value: str, spec: WindowSpec) -> Column:
+        v = F.col(value).cast("double")
+        parts = [F.count(v).over(spec).alias("n"), F.avg(v).over(spec).alias("m")]
+        square = F.var_pop(v).over(spec) if value in squares else F.lit(0.0)
+        return F.struct(*parts, square.alias("v"))
+
+    def add(frame: DataFrame) -> DataFrame:
         names = list(frame.columns)
-        run = F.floor((F.col("_rn") - 1) / width)
-        backwards = [F.col("_rn").desc()]
-        head = W.partitionBy(*part, "_run").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-        tail = W.partitionBy(*part, "_run").orderBy(*backwards).rowsBetween(
-            W.unboundedPreceding, 0,
-        )
-        out = frame.withColumn("_run", run)
-        spans: dict[str, Column] = {}
-        for i, v in enumerate(values):
-            spans |= _moments(v, tail, f"_t{i}")
-        out = out.withColumns(spans)
+        out = frame.withColumn("_run", F.floor((F.col("_rn") - 1) / width))
         spans = {}
         for i, v in enumerate(values):
-            spans |= _moments(v, head, f"_h{i}")
+            spans |= {f"_head{i}": moments(v, head), f"_whole{i}": moments(v, whole)}
         out = out.withColumns(spans)
-
-        # The frame starts ``periods`` rows back; a frame that fills its own run needs no tail.
-        along = W.partitionBy(*part).orderBy(*order)
-        straddles = (F.col("_rn") - 1) % width < periods
-        results: dict[str, Column] = {}
-        lagged: dict[str, Column] = {}
-        for i, _ in enumerate(values):
-            for moment in "nmq":
-                lagged[f"_{moment}_b{i}"] = F.when(
-                    straddles, F.lag(f"_{moment}_t{i}", periods).over(along),
-                )
-        out = out.withColumns(lagged)
-        warm = F.col("_rn") > periods
-        for name, v in means.items():
-            n, mean, _ = _merged(values.index(v))
-            results[name] = F.when(warm & (n > 0), mean)
-        for name, v in deviations.items():
-            n, _, square = _merged(values.index(v))
-            results[name] = F.when(
-                warm & (n > 1), F.sqrt(F.greatest(square, F.lit(0.0)) / (n - 1)),
-            )
-        return out.select(*names, *[c.alias(name) for name, c in results.items()])
-
-    return step
-
-
-def _merged(i: int) -> tuple[Column, Column, Column]:
-    """Count, mean and squared deviation of both parts of a frame together."""
-    na = F.coalesce(F.col(f"_n_b{i}"), F.lit(0))
-    nb = F.col(f"_n_h{i}")
-    ma = F.coalesce(F.col(f"_m_b{i}"), F.lit(0.0))
-    mb = F.coalesce(F.col(f"_m_h{i}"), F.lit(0.0))
-    qa = F.coalesce(F.col(f"_q_b{i}"), F.lit(0.0)) * na
-    qb = F.coalesce(F.col(f"_q_h{i}"), F.lit(0.0)) * nb
-    n = na + nb
-    whole = F.nullif(n, F.lit(0))
-    mean = (ma * na + mb * nb) / whole
-    square = qa + qb + (mb - ma) * (mb - ma) * na * nb / whole
-    return n, mean, square
+        out = out.withColumns({
+            f"_before{i}": F.lag(F.struct(f"_head{i}", f"_whole{i}"), width).over(along)
+            for i in range(len(values))
+        })
+        warm = F.col("_rn") > rolling.periods
+        results = []
+        for name, v in rolling.means.items():
+            n, mean, _ = _spliced(values.index(v))
+            results.append(F.when(warm & (n > 0), mean).alias(name))
+        for name, v in rolling.deviations.items():
+            n, _, square = _spliced(values.index(v))
+            deviation = F.sqrt(F.greatest(square, F.lit(0.0)) / F.nullif(n - 1, F.lit(0)))
+            results.append(F.when(warm & (n > 1), deviation).alias(name))
+        return out.select(*names, *results)
+
+    return add
+
+
+def _parts(c: Column) -> tuple[Column, Column, Column]:
+    """Count, mean and squared deviation of a moments struct, zero where it is missing."""
+    n = F.coalesce(c["n"], F.lit(0))
+    return n, F.coalesce(c["m"], F.lit(0.0)), F.coalesce(c["v"], F.lit(0.0)) * n
+
+
+def _spliced(i: int) -> tuple[Column, Column, Column]:
+    """Moments of a frame: the previous run without its head, with this run's head."""
+    n_run, m_run, q_run = _parts(F.col(f"_before{i}")[f"_whole{i}"])
+    n_cut, m_cut, q_cut = _parts(F.col(f"_before{i}")[f"_head{i}"])
+    n_now, m_now, q_now = _parts(F.col(f"_head{i}"))
+    n_end = n_run - n_cut
+    m_end = F.when(n_end > 0, (m_run * n_run - m_cut * n_cut) / n_end).otherwise(0.0)
+    gap = m_end - m_cut
+    q_end = q_run - q_cut - gap * gap * n_cut * n_end / F.greatest(n_run, F.lit(1))
+    n = n_end + n_now
+    whole = F.greatest(n, F.lit(1))
+    step = m_now - m_end
+    mean = (m_end * n_end + m_now * n_now) / whole
+    return n, mean, F.greatest(q_end, F.lit(0.0)) + q_now + step * step * n_end * n_now / whole
 
 
 def rolling_moments(
     df: DataFrame,
     key: str,
     time: str,
-    periods: int,
-    means: Mapping[str, str] | None = None,
-    deviations: Mapping[str, str] | None = None,
+    frames: Sequence[Rolling],
     tie_break: Sequence[str] = (),
     max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Adds rolling means and deviations, ``{output: value column}``, null during warm-up."""
-    step = rolling_moments_step(periods, means or {}, deviations or {})
+    """Adds rolling means and deviations, null during warm-up, for several frame lengths at once."""
+
+    def step(frame: DataFrame, part: list[str], order: list[Column]) -> DataFrame:
+        for rolling in frames:
+            frame = _frame_moments(rolling, part, order)(frame)
+        return frame
+
+    before = max(r.periods for r in frames) + 1
     return framed(
-        df, key, time, step, before=periods, tie_break=tie_break, max_group_rows=max_group_rows,
+        df, key, time, step, before=before, tie_break=tie_break, max_group_rows=max_group_rows,
     )
 
 
 def with_sma(
     df: DataFrame, value: str, key: str, time: str, periods: int, name: str, **options,
 ) -> DataFrame:
-    return rolling_moments(df, key, time, periods, means={name: value}, **options)
+    return rolling_moments(df, key, time, [Rolling(periods, means={name: value})], **options)
 
 
 def with_index_volatility(
@@ -184,18 +188,16 @@ def with_index_volatility(
 ) -> DataFrame:
     """Rolling deviation of the price measured in units of an index."""
     ratio = df.withColumn("_ratio", safe_divide(price, index_price))
-    return rolling_moments(ratio, key, time, periods, deviations={name: "_ratio"}, **options).drop(
-        "_ratio",
-    )
+    frame = Rolling(periods, deviations={name: "_ratio"})
+    return rolling_moments(ratio, key, time, [frame], **options).drop("_ratio")
 
 
 def with_volume_volatility(
     df: DataFrame, volume: str, key: str, time: str, periods: int, mean: str, name: str, **options,
 ) -> DataFrame:
     """Rolling mean of the volume, and its deviation relative to that mean."""
-    out = rolling_moments(
-        df, key, time, periods, means={mean: volume}, deviations={"_dev": volume}, **options,
-    )
+    frame = Rolling(periods, means={mean: volume}, deviations={"_dev": volume})
+    out = rolling_moments(df, key, time, [frame], **options)
     return out.withColumn(name, safe_divide("_dev", mean)).drop("_dev")
 
 

@@ -13,26 +13,32 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quantloom.functions.scalars import company_ratios, excess_return, metric_name, release_date
+from quantloom.functions.scalars import (
+    company_ratios,
+    excess_return,
+    metric_name,
+    release_date,
+    safe_divide,
+)
 from quantloom.operators.filters import (
     NASDAQ_TRAINING_START,
     SAMPLE_MIN_DAY,
     SAMPLE_MONTHS,
     calendar_filter,
     drop_annual,
+    training_members,
     training_universe,
 )
 from quantloom.operators.joins import asof_join, inner_join, join_calendar, left_join, left_join_upper
 from quantloom.operators.reshape import pivot_multi, pivot_sum
 from quantloom.operators.windows import (
+    Rolling,
     dedupe_latest,
     first_in_period,
     rolling_moments,
     with_future_return,
-    with_index_volatility,
     with_relative_development,
     with_short_deviation,
-    with_volume_volatility,
 )
 
 # Moving-average lengths in trading days, forward horizons in quarters.
@@ -65,12 +71,8 @@ TRAINING_EXCLUDED = (
 
 def price_averages(prices: DataFrame, periods: Mapping[str, int] = PERIODS) -> DataFrame:
     """Moving averages over the full price history of each ticker."""
-    out = prices
-    for label, n in periods.items():
-        out = rolling_moments(
-            out, "ticker", "date", n, means={f"SMA_{label}": "adjClose"}, max_group_rows=None,
-        )
-    return out
+    frames = [Rolling(n, means={f"SMA_{label}": "adjClose"}) for label, n in periods.items()]
+    return rolling_moments(prices, "ticker", "date", frames, max_group_rows=None)
 
 
 def index_by_day(
@@ -108,23 +110,26 @@ def sampled_prices(
         "ticker", "date", "close", F.col("adjClose").cast("double").alias("adjClose"),
         F.col("adjVolume").cast("double").alias("adjVolume"),
     )
-    members = universe.select("ticker", "exchange", "assetType")
-    subset = training_universe(
-        inner_join(price_averages(prices, periods), members, ["ticker"]),
-        nasdaq_from=nasdaq_from, strict=strict,
-    ).drop("assetType")
+    # Whole tickers that can never train leave before the windows, not after them.
+    members = training_members(universe.select("ticker", "exchange", "assetType"), strict)
+    histories = price_averages(inner_join(prices, members, ["ticker"]), periods)
+    subset = training_universe(histories, nasdaq_from=nasdaq_from, strict=strict).drop("assetType")
     out = join_calendar(subset, index_by_day(prices, indices, periods), "date")
-    for label, n in periods.items():
-        out = with_index_volatility(
-            out, "adjClose", f"{indices[0]}_adjClose", "ticker", "date", n,
-            f"volatility_{label}", max_group_rows=None,
+    out = out.withColumn("_ratio", safe_divide("adjClose", f"{indices[0]}_adjClose"))
+    first = next(iter(periods))
+    frames = [
+        Rolling(
+            n,
+            means={f"SMA_volume_{label}": "adjVolume"} if label == first else {},
+            deviations={f"volatility_{label}": "_ratio"}
+            | ({"_dev": "adjVolume"} if label == first else {}),
         )
-    label, n = next(iter(periods.items()))
-    out = with_volume_volatility(
-        out, "adjVolume", "ticker", "date", n, f"SMA_volume_{label}",
-        f"volume_volatility_{label}", max_group_rows=None,
-    )
-    return first_in_period(calendar_filter(out, "date", min_day, months), "ticker", "date")
+        for label, n in periods.items()
+    ]
+    out = rolling_moments(out, "ticker", "date", frames, max_group_rows=None)
+    sampled = first_in_period(calendar_filter(out, "date", min_day, months), "ticker", "date")
+    volatility = safe_divide("_dev", f"SMA_volume_{first}")
+    return sampled.withColumn(f"volume_volatility_{first}", volatility).drop("_ratio", "_dev")
 
 
 def pivoted_statements(
@@ -133,13 +138,11 @@ def pivoted_statements(
     """Quarterly statements, one column per metric, with their release date."""
     rows = drop_annual(statements).select(
         "ticker", F.col("date").alias("fiscal_date"),
-        release_date("date").alias("safe_release_date"),
         metric_name("statementType", "dataCode").alias("metrics"),
         F.col("value").cast("double").alias("value"),
     )
-    return pivot_sum(
-        rows, "metrics", "value", ["ticker", "fiscal_date", "safe_release_date"], metrics,
-    )
+    wide = pivot_sum(rows, "metrics", "value", ["ticker", "fiscal_date"], metrics)
+    return wide.withColumn("safe_release_date", release_date("fiscal_date"))
 
 
 def one_company_per_ticker(meta: DataFrame, tie_break: Sequence[Column] = ()) -> DataFrame:
