@@ -11,22 +11,22 @@ from quantloom.sources.csv import FILE_KEY, key_from_file
 EMPTY_BODIES = ("None",)
 
 
-
 def classify_payloads(
     spark: SparkSession, path: str, glob: str = "*.csv", key_pattern: str = FILE_KEY,
 ) -> DataFrame:
     """One row per landed file: path, key, bytes, lines and class.
 
     ``ok`` has a header and data; ``empty`` says there is none; ``failed`` is
-    blank, header-only or an error body.  Files are listed without their
-    content, and lines are counted in parallel splits, so one huge file costs
-    no more than its share.
+    blank, header-only or an error body.  Names come from Spark's file index,
+    since scans leave out files of zero bytes; sizes are read without content,
+    and lines are counted in parallel splits, so one huge file costs no more
+    than its share.
     """
-    listed = (
+    files = (
         spark.read.format("binaryFile").option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true").load(path)
-        .select("path", "length")
     )
+    names = spark.createDataFrame([(name,) for name in files.inputFiles()], "path string")
     lines = (
         spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path)
         .select(F.col("_metadata.file_path").alias("path"), F.trim("value").alias("line"))
@@ -41,20 +41,20 @@ def classify_payloads(
         .when(single, "failed")
         .otherwise("ok")
     )
-    # Same file, two spellings: compare what follows the scheme.
+    # The same file may be spelled file:/x or file:///x: compare what follows the scheme.
     bare = F.regexp_replace("path", r"^[a-z0-9]+:/+", "/")
+    sizes = files.select(bare.alias("_bare"), F.col("length").alias("_bytes"))
     return (
-        listed.withColumn("_bare", bare)
+        names.withColumn("_bare", bare).join(sizes, "_bare", "left")
         .join(lines.withColumn("_bare", bare).drop("path"), "_bare", "left")
         .select(
             "path", key_from_file("path", key_pattern).alias("ticker"),
-            F.col("length").alias("n_bytes"),
+            F.coalesce("_bytes", F.lit(0)).cast("bigint").alias("n_bytes"),
             F.coalesce("n_lines", F.lit(0)).cast("bigint").alias("n_lines"), kind.alias("class"),
         )
     )
 
 
-
 def dead_letters(classified: DataFrame, day: Column | None = None) -> DataFrame:
     """Key and date of files that did not deliver."""
     day = F.current_date() if day is None else day
