@@ -28,6 +28,7 @@ class Bound:
 
 REGISTRY: dict[str, Bound] = {}
 STANDINS: dict[str, str] = {}
+_OPENED: dict[tuple, DataFrame] = {}
 
 
 def standin(name: str, text: str) -> None:
@@ -45,7 +46,11 @@ def _parents(text: str) -> list[str]:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table or a stand-in as a DataFrame."""
     if name in TABLES:
-        return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+        key = (spark.sparkContext.applicationId, id(spark), path)
+        if key not in _OPENED:  # opening a file costs a job that reads its schema
+            _OPENED[key] = spark.read.parquet(path)
+        return _OPENED[key]
     text = STANDINS[name]
     return spark.sql(text, **{p: table(spark, sf_dir, p) for p in _parents(text)})
 

@@ -102,57 +102,75 @@ def _frame_moments(rolling: Rolling, part: list[str], order: list[Column]) -> Ca
     whole = run.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     along = W.partitionBy(*part).orderBy("_run", *order)
 
-    def moments(value: str, spec: WindowSpec) -> Column:
+    def moments(i: int, value: str, spec: WindowSpec, tag: str) -> dict[str, Column]:
         v = F.col(value).cast("double")
-        parts = [F.count(v).over(spec).alias("n"), F.avg(v).over(spec).alias("m")]
-        square = F.var_pop(v).over(spec) if value in squares else F.lit(0.0)
-        return F.struct(*parts, square.alias("v"))
+        found = {f"_{tag}n{i}": F.count(v).over(spec), f"_{tag}m{i}": F.avg(v).over(spec)}
+        if value in squares:
+            found[f"_{tag}v{i}"] = F.var_pop(v).over(spec)
+        return found
 
     def add(frame: DataFrame) -> DataFrame:
         names = list(frame.columns)
+        every = range(len(values))
+        squared = [i for i in every if values[i] in squares]
         out = frame.withColumn("_run", F.floor((F.col("_rn") - 1) / width))
-        spans = {}
+        spans: dict[str, Column] = {}
         for i, v in enumerate(values):
-            spans |= {f"_head{i}": moments(v, head), f"_whole{i}": moments(v, whole)}
+            spans |= moments(i, v, head, "h") | moments(i, v, whole, "w")
         out = out.withColumns(spans)
+        # Small steps: a long expression that reuses its parts would be compiled many times over.
+        out = out.withColumns({f"_en{i}": F.col(f"_wn{i}") - F.col(f"_hn{i}") for i in every})
+        out = out.withColumns({f"_em{i}": _rest_mean(i) for i in every})
+        out = out.withColumns({f"_eq{i}": _rest_square(i) for i in squared})
+        rests = [f"_e{m}{i}" for i in every for m in ("nmq" if i in squared else "nm")]
         out = out.withColumns({
-            f"_before{i}": F.lag(F.struct(f"_head{i}", f"_whole{i}"), width).over(along)
-            for i in range(len(values))
+            c: F.coalesce(F.lag(c, width).over(along), F.lit(0)) for c in rests
+        })
+        out = out.withColumns({
+            f"_n{i}": F.nullif(F.col(f"_en{i}") + F.col(f"_hn{i}"), F.lit(0)) for i in every
         })
         warm = F.col("_rn") > rolling.periods
-        results = []
-        for name, v in rolling.means.items():
-            n, mean, _ = _spliced(values.index(v))
-            results.append(F.when(warm & (n > 0), mean).alias(name))
+        results = [
+            F.when(warm, _joint_mean(values.index(v))).alias(name)
+            for name, v in rolling.means.items()
+        ]
         for name, v in rolling.deviations.items():
-            n, _, square = _spliced(values.index(v))
-            deviation = F.sqrt(F.greatest(square, F.lit(0.0)) / F.nullif(n - 1, F.lit(0)))
-            results.append(F.when(warm & (n > 1), deviation).alias(name))
+            n = F.col(f"_n{values.index(v)}")
+            variance = _joint_square(values.index(v)) / F.nullif(n - 1, F.lit(0))
+            results.append(F.when(warm, F.sqrt(variance)).alias(name))
         return out.select(*names, *results)
 
     return add
 
 
-def _parts(c: Column) -> tuple[Column, Column, Column]:
-    """Count, mean and squared deviation of a moments struct, zero where it is missing."""
-    n = F.coalesce(c["n"], F.lit(0))
-    return n, F.coalesce(c["m"], F.lit(0.0)), F.coalesce(c["v"], F.lit(0.0)) * n
+# Columns of value i: (n, m, v) count, mean and variance of h, the run up to this row, and of
+# w, the whole run; (en, em, eq) count, mean and squared deviation of the rest of the run, which
+# after the lag belongs to the previous run.
+
+
+def _rest_mean(i: int) -> Column:
+    whole, head = (F.col(f"_{t}m{i}") * F.col(f"_{t}n{i}") for t in "wh")
+    rest = whole - F.coalesce(head, F.lit(0.0))
+    return F.coalesce(rest / F.nullif(F.col(f"_en{i}"), F.lit(0)), F.lit(0.0))
+
 
+def _rest_square(i: int) -> Column:
+    """The run's squared deviation less that of its head and of the step between them."""
+    whole, head = (F.coalesce(F.col(f"_{t}v{i}") * F.col(f"_{t}n{i}"), F.lit(0.0)) for t in "wh")
+    step = F.col(f"_em{i}") - F.coalesce(F.col(f"_hm{i}"), F.lit(0.0))
+    weight = F.col(f"_hn{i}") * F.col(f"_en{i}") / F.greatest(F.col(f"_wn{i}"), F.lit(1))
+    return F.greatest(whole - head - step * step * weight, F.lit(0.0))
 
-def _spliced(i: int) -> tuple[Column, Column, Column]:
-    """Moments of a frame: the previous run without its head, with this run's head."""
-    n_run, m_run, q_run = _parts(F.col(f"_before{i}")[f"_whole{i}"])
-    n_cut, m_cut, q_cut = _parts(F.col(f"_before{i}")[f"_head{i}"])
-    n_now, m_now, q_now = _parts(F.col(f"_head{i}"))
-    n_end = n_run - n_cut
-    m_end = F.when(n_end > 0, (m_run * n_run - m_cut * n_cut) / n_end).otherwise(0.0)
-    gap = m_end - m_cut
-    q_end = q_run - q_cut - gap * gap * n_cut * n_end / F.greatest(n_run, F.lit(1))
-    n = n_end + n_now
-    whole = F.greatest(n, F.lit(1))
-    step = m_now - m_end
-    mean = (m_end * n_end + m_now * n_now) / whole
-    return n, mean, F.greatest(q_end, F.lit(0.0)) + q_now + step * step * n_end * n_now / whole
+
+def _joint_mean(i: int) -> Column:
+    head = F.coalesce(F.col(f"_hm{i}") * F.col(f"_hn{i}"), F.lit(0.0))
+    return (F.col(f"_em{i}") * F.col(f"_en{i}") + head) / F.col(f"_n{i}")
+
+
+def _joint_square(i: int) -> Column:
+    head = F.coalesce(F.col(f"_hv{i}") * F.col(f"_hn{i}"), F.lit(0.0))
+    step = F.coalesce(F.col(f"_hm{i}"), F.lit(0.0)) - F.col(f"_em{i}")
+    return F.col(f"_eq{i}") + head + step * step * F.col(f"_en{i}") * F.col(f"_hn{i}") / F.col(f"_n{i}")
 
 
 def rolling_moments(
@@ -213,56 +231,81 @@ def with_short_deviation(
     return framed(df, key, time, step, before=periods, **options)
 
 
-def with_future_return(
-    df: DataFrame, price: str, key: str, time: str, periods: int, name: str, **options,
+def with_future_returns(
+    df: DataFrame, key: str, time: str, returns: Mapping[str, tuple[str, int]], **options,
 ) -> DataFrame:
-    """Value ``periods`` rows ahead over the current value."""
+    """Values some rows ahead over the current ones: ``{output: (value column, rows ahead)}``."""
 
     def step(frame: DataFrame, part: list[str], order: list[Column]) -> DataFrame:
-        ahead = F.lead(price, periods).over(W.partitionBy(*part).orderBy(*order))
-        return frame.withColumn(name, safe_divide(ahead, price))
+        spec = W.partitionBy(*part).orderBy(*order)
+        return frame.withColumns({
+            name: safe_divide(F.lead(value, n).over(spec), value)
+            for name, (value, n) in returns.items()
+        })
 
-    return framed(df, key, time, step, after=periods, **options)
+    reach = max(n for _, n in returns.values())
+    return framed(df, key, time, step, after=reach, **options)
 
 
-def with_relative_development(
-    df: DataFrame, stock: str, index: str, key: str, time: str, name: str,
+def with_future_return(
+    df: DataFrame, price: str, key: str, time: str, periods: int, name: str, **options,
+) -> DataFrame:
+    """Value ``periods`` rows ahead over the current value."""
+    return with_future_returns(df, key, time, {name: (price, periods)}, **options)
+
+
+def with_relative_developments(
+    df: DataFrame, key: str, time: str, pairs: Mapping[str, tuple[str, str]],
     index_lag: str = "key", **options,
 ) -> DataFrame:
-    """Growth of ``stock`` since the key's last row, over the growth of ``index``.
+    """Growth of a value since the key's last row over that of an index: ``{output: (value, index)}``.
 
     ``index_lag="key"`` compares with the index at the key's own last row.
     ``"global"`` takes the index one row back in (time, key) order over the
     whole table: only the first key of a date sees the previous date.  That
     order is never materialised; one row per date carries it.
     """
+    if index_lag not in ("key", "global"):
+        raise ValueError(f"unknown index_lag: {index_lag!r}")
+    indices = sorted({index for _, index in pairs.values()})
 
     def step(frame: DataFrame, part: list[str], order: list[Column]) -> DataFrame:
         spec = W.partitionBy(*part).orderBy(*order)
-        frame = frame.withColumn("_stock_before", F.lag(stock, 1).over(spec))
+        lagged = {f"_last_{v}": F.lag(v, 1).over(spec) for v, _ in pairs.values()}
         if index_lag == "key":
-            frame = frame.withColumn("_index_before", F.lag(index, 1).over(spec))
-        return frame
+            lagged |= {f"_last_{i}": F.lag(i, 1).over(spec) for i in indices}
+        return frame.withColumns(lagged)
 
-    if index_lag not in ("key", "global"):
-        raise ValueError(f"unknown index_lag: {index_lag!r}")
     out = framed(df, key, time, step, before=1, **options)
     if index_lag == "global":
         # One row per date, so its order fits one task and a DATE axis may be broadcast.
+        calendar = isinstance(df.schema[time].dataType, T.DateType)
         days = df.groupBy(time).agg(
-            F.min(key).alias("_first_key"), F.max_by(index, key).alias("_last_index"),
+            F.min(key).alias("_first_key"), *[F.max_by(i, key).alias(f"_day_{i}") for i in indices],
         )
-        days = days.withColumn("_previous", F.lag("_last_index", 1).over(W.orderBy(time)))
-        calendar = isinstance(df.schema[time].dataType, T.DateType)
-        out = join_on_keys(out, days.drop("_last_index"), [time], small=calendar)
-        out = out.withColumn(
-            "_index_before",
-            F.when(F.col(key) == F.col("_first_key"), F.col("_previous")).otherwise(F.col(index)),
-        ).drop("_first_key", "_previous")
-    growth = safe_divide(stock, "_stock_before")
-    index_growth = safe_divide(index, "_index_before")
-    result = F.nullif(safe_divide(growth, index_growth), F.lit(0))
-    return out.withColumn(name, result).drop("_stock_before", "_index_before")
+        days = days.select(time, "_first_key", *[
+            F.lag(f"_day_{i}", 1).over(W.orderBy(time)).alias(f"_previous_{i}") for i in indices
+        ])
+        out = join_on_keys(out, days, [time], small=calendar)
+        first = F.col(key) == F.col("_first_key")
+        out = out.withColumns({
+            f"_last_{i}": F.when(first, F.col(f"_previous_{i}")).otherwise(F.col(i)) for i in indices
+        })
+
+    def growth(value: str) -> Column:
+        return safe_divide(value, f"_last_{value}")
+
+    return out.select(*df.columns, *[
+        F.nullif(safe_divide(growth(value), growth(index)), F.lit(0)).alias(name)
+        for name, (value, index) in pairs.items()
+    ])
+
+
+def with_relative_development(
+    df: DataFrame, stock: str, index: str, key: str, time: str, name: str,
+    index_lag: str = "key", **options,
+) -> DataFrame:
+    return with_relative_developments(df, key, time, {name: (stock, index)}, index_lag, **options)
 
 
 def dedupe_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

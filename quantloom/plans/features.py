@@ -36,8 +36,8 @@ from quantloom.operators.windows import (
     dedupe_latest,
     first_in_period,
     rolling_moments,
-    with_future_return,
-    with_relative_development,
+    with_future_returns,
+    with_relative_developments,
     with_short_deviation,
 )
 
@@ -202,23 +202,25 @@ def excess_returns(
 
     Rows are quarters of a ticker, so every window holds a few hundred rows.
     """
-    out = wide
-    used = []
+    market = f"{index}_adjClose"
+    returns = {}
     for label, n in horizons.items():
-        for price in ("adjClose", f"{index}_adjClose"):
-            name = f"{price.removesuffix('_adjClose')}_return_{label}"
-            out = with_future_return(out, price, "ticker", "date", n, name, max_group_rows=None)
-            used.append(name)
-        out = out.withColumn(
-            f"excess_return_ln_{label}",
-            excess_return(f"adjClose_return_{label}", f"{index}_return_{label}"),
+        returns[f"adjClose_return_{label}"] = ("adjClose", n)
+        returns[f"{index}_return_{label}"] = (market, n)
+    out = with_future_returns(wide, "ticker", "date", returns, max_group_rows=None)
+    out = out.withColumns({
+        f"excess_return_ln_{label}": excess_return(
+            f"adjClose_return_{label}", f"{index}_return_{label}",
         )
-    for label in periods:
-        out = with_relative_development(
-            out, f"SMA_{label}", f"{index}_SMA_{label}", "ticker", "date",
-            f"relative_sma_development_{label}", index_lag=index_lag, max_group_rows=None,
-        )
-        used += [f"SMA_{label}", f"{index}_SMA_{label}"]
+        for label in horizons
+    })
+    averages = [name for label in periods for name in (f"SMA_{label}", f"{index}_SMA_{label}")]
+    out = with_relative_developments(
+        out, "ticker", "date",
+        {f"relative_sma_development_{p}": (f"SMA_{p}", f"{index}_SMA_{p}") for p in periods},
+        index_lag=index_lag, max_group_rows=None,
+    )
+    used = [*returns, *averages]
     return out.drop("adjClose", f"{index}_adjClose", *used, *excluded)
 
 
