@@ -7,6 +7,7 @@ holds the model and a few numbers per feature, never rows.
 from __future__ import annotations
 
 import itertools
+import json
 import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -16,7 +17,7 @@ from pyspark.ml import PipelineModel, Pipeline
 from pyspark.ml.feature import StringIndexer, TargetEncoder
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quantloom.functions.scalars import back_transform, hash_unit, predicted_std
@@ -250,29 +251,32 @@ def attributions(
     """
     n = len(model.features)
     subsets, weights = _coalitions(n, permutations, model.seed)
-    base = F.array(*[F.lit(b) for b in model.baseline])
+    plan = json.dumps([
+        {"mask": mask, "weight": weight, "absent": float(not any(mask))}
+        for mask, weight in zip(subsets, weights)
+    ])
+    # A constant table: one row per subset, joined to each input row by exploding it.
+    steps = F.from_json(
+        F.lit(plan), "array<struct<mask: array<boolean>, weight: array<double>, absent: double>>",
+    )
+    base = F.lit(model.baseline)
     encoded = _encoded(df, model).select(
         F.struct(*keep).alias("_id"), vector_to_array("_features").alias("_x"),
     )
-    masks = F.array(*[F.array(*[F.lit(m) for m in s]) for s in subsets])
-    mixed = encoded.select("_id", "_x", F.posexplode(masks).alias("_subset", "_mask")).select(
-        "_id", "_subset",
+    mixed = encoded.select("_id", "_x", F.inline(steps)).select(
+        "_id", "weight", "absent",
         array_to_vector(F.transform(
             F.sequence(F.lit(0), F.lit(n - 1)),
-            lambda i: F.when(F.get("_mask", i), F.get("_x", i)).otherwise(F.get(base, i)),
+            lambda i: F.when(F.get("mask", i), F.get("_x", i)).otherwise(F.get(base, i)),
         )).alias("_features"),
     )
     predicted = model.mean.transform(mixed)
-
-    def weighted(per_subset: list[float]) -> Column:
-        return F.sum(F.get(F.array(*[F.lit(w) for w in per_subset]), F.col("_subset")) * F.col("_prediction"))
-
-    nothing = [float(not any(s)) for s in subsets]
     sums = [
-        weighted([w[i] for w in weights]).alias(f"shap_{name}")
+        F.sum(F.get("weight", F.lit(i)) * F.col("_prediction")).alias(f"shap_{name}")
         for i, name in enumerate(model.features)
     ]
-    return predicted.groupBy("_id").agg(*sums, weighted(nothing).alias("bias")).select(
+    bias = F.sum(F.col("absent") * F.col("_prediction")).alias("bias")
+    return predicted.groupBy("_id").agg(*sums, bias).select(
         "_id.*", *[f"shap_{name}" for name in model.features], "bias",
     )
 

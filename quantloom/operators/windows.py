@@ -84,93 +84,101 @@ class Rolling:
     means: Mapping[str, str] = field(default_factory=dict)
     deviations: Mapping[str, str] = field(default_factory=dict)
 
+    def values(self) -> list[str]:
+        return sorted({*self.means.values(), *self.deviations.values()})
 
-def _frame_moments(rolling: Rolling, part: list[str], order: list[Column]) -> Callable:
-    """Adds one frame length to a table that carries ``_rn``.
+
+def _frame_moments(
+    frame: DataFrame, frames: Sequence[Rolling], part: list[str], order: list[Column],
+) -> DataFrame:
+    """Rolling moments of a table that carries ``_rn``, at constant cost per row.
 
     Spark evaluates a sliding frame anew for every row.  Here the rows of a key
-    are cut into runs as long as the frame.  A frame then is the end of one run
-    (the run without its beginning) plus the beginning of the next, and the
-    moments of all beginnings are running aggregates: constant cost per row,
-    for 5 rows as for 750.  Runs follow time, so one sort serves all windows.
+    are cut into runs as long as the longest frame.  Within a run, ``head`` is
+    the running aggregate up to a row and ``rest`` what follows it.  A frame is
+    the head of its last row plus the rest of the row before its first (when it
+    starts in the previous run), or minus that row's head (when it starts in the
+    same run).  Runs follow time, so one sort serves all frames and values.
     """
-    width = rolling.periods + 1
-    squares = set(rolling.deviations.values())
-    values = sorted({*rolling.means.values(), *squares})
+    length = max(r.periods for r in frames) + 1
+    squares = sorted({v for r in frames for v in r.deviations.values()})
+    values = sorted({*squares, *(v for r in frames for v in r.means.values())})
+    kinds = {v: "nmq" if v in squares else "nm" for v in values}
     run = W.partitionBy(*part, "_run").orderBy(*order)
-    head = run.rowsBetween(W.unboundedPreceding, 0)
-    whole = run.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    spans = {
+        "h": run.rowsBetween(W.unboundedPreceding, 0),
+        "w": run.rowsBetween(W.unboundedPreceding, W.unboundedFollowing),
+    }
     along = W.partitionBy(*part).orderBy("_run", *order)
-
-    def moments(i: int, value: str, spec: WindowSpec, tag: str) -> dict[str, Column]:
-        v = F.col(value).cast("double")
-        found = {f"_{tag}n{i}": F.count(v).over(spec), f"_{tag}m{i}": F.avg(v).over(spec)}
-        if value in squares:
-            found[f"_{tag}v{i}"] = F.var_pop(v).over(spec)
-        return found
-
-    def add(frame: DataFrame) -> DataFrame:
-        names = list(frame.columns)
-        every = range(len(values))
-        squared = [i for i in every if values[i] in squares]
-        out = frame.withColumn("_run", F.floor((F.col("_rn") - 1) / width))
-        spans: dict[str, Column] = {}
-        for i, v in enumerate(values):
-            spans |= moments(i, v, head, "h") | moments(i, v, whole, "w")
-        out = out.withColumns(spans)
-        # Small steps: a long expression that reuses its parts would be compiled many times over.
-        out = out.withColumns({f"_en{i}": F.col(f"_wn{i}") - F.col(f"_hn{i}") for i in every})
-        out = out.withColumns({f"_em{i}": _rest_mean(i) for i in every})
-        out = out.withColumns({f"_eq{i}": _rest_square(i) for i in squared})
-        rests = [f"_e{m}{i}" for i in every for m in ("nmq" if i in squared else "nm")]
-        out = out.withColumns({
-            c: F.coalesce(F.lag(c, width).over(along), F.lit(0)) for c in rests
-        })
-        out = out.withColumns({
-            f"_n{i}": F.nullif(F.col(f"_en{i}") + F.col(f"_hn{i}"), F.lit(0)) for i in every
-        })
+    index = {v: i for i, v in enumerate(values)}
+    names = list(frame.columns)
+
+    out = frame.withColumns({
+        "_run": F.floor((F.col("_rn") - 1) / length), "_pos": (F.col("_rn") - 1) % length,
+    })
+    running: dict[str, Column] = {}
+    for v, i in index.items():
+        number = F.col(v).cast("double")
+        for tag, spec in spans.items():
+            running[f"_{tag}n{i}"] = F.count(number).over(spec)
+            running[f"_{tag}m{i}"] = F.coalesce(F.avg(number).over(spec), F.lit(0.0))
+            if v in squares:
+                running[f"_{tag}v{i}"] = F.coalesce(F.var_pop(number).over(spec), F.lit(0.0))
+    out = out.withColumns(running)
+    # Small steps: a long expression that reuses its parts is compiled many times over.
+    out = out.withColumns({
+        f"_{t}q{i}": F.col(f"_{t}v{i}") * F.col(f"_{t}n{i}")
+        for t in spans for v, i in index.items() if v in squares
+    } | {f"_rn{i}": F.col(f"_wn{i}") - F.col(f"_hn{i}") for i in index.values()})
+    rests = {}
+    for v, i in index.items():
+        mean, square = _joined(f"_w{{}}{i}", f"_h{{}}{i}", F.lit(-1), f"_rn{i}")
+        rests[f"_rm{i}"] = F.coalesce(mean, F.lit(0.0))
+        if v in squares:
+            rests[f"_rq{i}"] = F.coalesce(F.greatest(square, F.lit(0.0)), F.lit(0.0))
+    out = out.withColumns(rests)
+
+    edges = {}
+    for f, rolling in enumerate(frames):
+        crosses = F.col("_pos") + (rolling.periods + 1) >= length
+        for v in rolling.values():
+            for k in kinds[v]:
+                name = f"{k}{index[v]}"
+                edges[f"_{f}{name}"] = F.when(crosses, F.col(f"_r{name}")).otherwise(F.col(f"_h{name}"))
+    kept = [f"_h{k}{index[v]}" for v in values for k in kinds[v]]
+    out = out.select(*names, "_run", "_pos", *kept, *[c.alias(n) for n, c in edges.items()])
+    out = out.withColumns({
+        f"_{f}{k}{index[v]}": F.coalesce(
+            F.lag(f"_{f}{k}{index[v]}", r.periods + 1).over(along), F.lit(0),
+        )
+        for f, r in enumerate(frames) for v in r.values() for k in kinds[v]
+    })
+
+    signs = {f: F.when(F.col("_pos") < r.periods + 1, 1).otherwise(-1) for f, r in enumerate(frames)}
+    out = out.withColumns({
+        f"_{f}t{index[v]}": F.col(f"_hn{index[v]}") + signs[f] * F.col(f"_{f}n{index[v]}")
+        for f, r in enumerate(frames) for v in r.values()
+    })
+    results = []
+    for f, rolling in enumerate(frames):
         warm = F.col("_rn") > rolling.periods
-        results = [
-            F.when(warm, _joint_mean(values.index(v))).alias(name)
-            for name, v in rolling.means.items()
-        ]
+        for name, v in rolling.means.items():
+            mean, _ = _joined(f"_h{{}}{index[v]}", f"_{f}{{}}{index[v]}", signs[f], f"_{f}t{index[v]}")
+            results.append(F.when(warm, mean).alias(name))
         for name, v in rolling.deviations.items():
-            n = F.col(f"_n{values.index(v)}")
-            variance = _joint_square(values.index(v)) / F.nullif(n - 1, F.lit(0))
-            results.append(F.when(warm, F.sqrt(variance)).alias(name))
-        return out.select(*names, *results)
-
-    return add
-
-
-# Columns of value i: (n, m, v) count, mean and variance of h, the run up to this row, and of
-# w, the whole run; (en, em, eq) count, mean and squared deviation of the rest of the run, which
-# after the lag belongs to the previous run.
-
-
-def _rest_mean(i: int) -> Column:
-    whole, head = (F.col(f"_{t}m{i}") * F.col(f"_{t}n{i}") for t in "wh")
-    rest = whole - F.coalesce(head, F.lit(0.0))
-    return F.coalesce(rest / F.nullif(F.col(f"_en{i}"), F.lit(0)), F.lit(0.0))
-
-
-def _rest_square(i: int) -> Column:
-    """The run's squared deviation less that of its head and of the step between them."""
-    whole, head = (F.coalesce(F.col(f"_{t}v{i}") * F.col(f"_{t}n{i}"), F.lit(0.0)) for t in "wh")
-    step = F.col(f"_em{i}") - F.coalesce(F.col(f"_hm{i}"), F.lit(0.0))
-    weight = F.col(f"_hn{i}") * F.col(f"_en{i}") / F.greatest(F.col(f"_wn{i}"), F.lit(1))
-    return F.greatest(whole - head - step * step * weight, F.lit(0.0))
-
-
-def _joint_mean(i: int) -> Column:
-    head = F.coalesce(F.col(f"_hm{i}") * F.col(f"_hn{i}"), F.lit(0.0))
-    return (F.col(f"_em{i}") * F.col(f"_en{i}") + head) / F.col(f"_n{i}")
+            total = f"_{f}t{index[v]}"
+            _, square = _joined(f"_h{{}}{index[v]}", f"_{f}{{}}{index[v]}", signs[f], total)
+            spread = F.greatest(square, F.lit(0.0)) / F.nullif(F.greatest(F.col(total) - 1, F.lit(0)), F.lit(0))
+            results.append(F.when(warm, F.sqrt(spread)).alias(name))
+    return out.select(*names, *results)
 
 
-def _joint_square(i: int) -> Column:
-    head = F.coalesce(F.col(f"_hv{i}") * F.col(f"_hn{i}"), F.lit(0.0))
-    step = F.coalesce(F.col(f"_hm{i}"), F.lit(0.0)) - F.col(f"_em{i}")
-    return F.col(f"_eq{i}") + head + step * step * F.col(f"_en{i}") * F.col(f"_hn{i}") / F.col(f"_n{i}")
+def _joined(one: str, other: str, sign: Column, total: str) -> tuple[Column, Column]:
+    """Mean and squared deviation of one part with (+1) or without (-1) the other."""
+    n1, m1, q1 = (F.col(one.format(k)) for k in "nmq")
+    n2, m2, q2 = (F.col(other.format(k)) for k in "nmq")
+    n = F.nullif(F.col(total), F.lit(0))
+    return (m1 * n1 + sign * (m2 * n2)) / n, q1 + sign * (q2 + (m1 - m2) * (m1 - m2) * n1 * n2 / n)
 
 
 def rolling_moments(
@@ -184,9 +192,7 @@ def rolling_moments(
     """Adds rolling means and deviations, null during warm-up, for several frame lengths at once."""
 
     def step(frame: DataFrame, part: list[str], order: list[Column]) -> DataFrame:
-        for rolling in frames:
-            frame = _frame_moments(rolling, part, order)(frame)
-        return frame
+        return _frame_moments(frame, frames, part, order)
 
     before = max(r.periods for r in frames) + 1
     return framed(

@@ -62,8 +62,9 @@ def upsert_partitions(
         return
     old = table.where(F.col(partition).isin(touched)) if len(touched) <= 10_000 else table
     merged = upsert(old, updates, keys)
+    # Rebalanced by AQE: few files for a small partition, several tasks for a large one.
     (
-        merged.repartition(partition, keys[0]).write.mode("overwrite")
+        merged.hint("rebalance", partition).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
     )
 
