@@ -20,7 +20,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _plain(value):
     if isinstance(value, float):
-        return 0.0 if value == 0 else value
+        return repr(value)  # keeps the sign of zero
     if isinstance(value, Decimal):
         raise TypeError("decimals compare unevenly; cast to double")
     return value
