@@ -428,12 +428,27 @@ def _described(column: str) -> str:
       quantile_disc({column}, 0.75) as q75, max({column}) as max from lineitem"""
 
 
-@bind("describe", "D11", f"{_described('l_quantity')} union all {_described('l_tax')}")
+@bind("describe", "D11", " union all ".join(
+    _described(c) for c in ("l_quantity", "l_extendedprice", "l_tax")))
 def _(spark, d):
-    out = reshape.describe(table(spark, d, "lineitem"), ["l_quantity", "l_tax"])
+    out = reshape.describe(table(spark, d, "lineitem"), ["l_quantity", "l_extendedprice", "l_tax"])
     return rounded(out, 2, "mean", "std")
 
 
+@bind("describe_sketched", "D11", _described("l_quantity"))
+def _(spark, d):
+    out = reshape.describe(table(spark, d, "lineitem"), ["l_quantity"], accuracy=100_000)
+    return rounded(out, 2, "mean", "std")
+
+
+@bind("running_total", "E11", """
+    select p_partkey, sum(p_size) over (order by p_retailprice, p_partkey)::bigint as upto from part""")
+def _(spark, d):
+    p = table(spark, d, "part").select("p_partkey", "p_retailprice", "p_size")
+    out = ordering.with_running_total(p, ["p_retailprice", "p_partkey"], "p_size")
+    return out.select("p_partkey", "upto")
+
+
 @bind("rmse", "D12", """
     select round(sqrt(avg((p_retailprice - (900 + p_partkey / 10.0)) ** 2)), 3) as rmse from part""")
 def _(spark, d):

@@ -35,6 +35,29 @@ def with_row_index(
     )
 
 
+def with_running_total(
+    df: DataFrame, order: Sequence[Column | str], weight: str, name: str = "upto",
+) -> DataFrame:
+    """Sum of ``weight`` over all rows up to and including each row in ``order`` (a total order).
+
+    Totals run within sorted partitions of about equal size and are shifted by
+    the partitions before.
+    """
+    stored = checkpointed(df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()))
+    stored = stored.withColumn("_part", F.shiftright("_mid", _LOCAL_BITS))
+    earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = stored.groupBy("_part").agg(F.sum(weight).alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"),
+    )
+    within = W.partitionBy("_part").orderBy("_mid").rowsBetween(W.unboundedPreceding, 0)
+    return (
+        stored.withColumn(name, F.sum(weight).over(within))
+        .join(F.broadcast(offsets), "_part")
+        .withColumn(name, F.col(name) + F.col("_base"))
+        .drop("_part", "_mid", "_base")
+    )
+
+
 def half_split(keys: DataFrame, key: str, first: bool) -> DataFrame:
     """First floor(n/2) keys in order, or the rest."""
     indexed = with_row_index(keys, [F.col(key).asc_nulls_last()], "_index")

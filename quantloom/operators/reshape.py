@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quantloom.functions.scalars import quote_link
+from quantloom.operators.ordering import with_running_total
 
 # More distinct pivot values than this are a modelling error, not a table.
 MAX_PIVOT_COLUMNS = 10_000
@@ -121,10 +122,33 @@ def preview(df: DataFrame, order: Sequence[Column | str], n: int = 5) -> DataFra
     return df.orderBy(*order).limit(n)
 
 
-def describe(df: DataFrame, columns: Sequence[str], accuracy: int = 100_000) -> DataFrame:
-    """Count, nulls, mean, deviation, extremes and quartiles of numeric columns in one pass.
+_QUARTERS = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
-    Quartiles come from a mergeable sketch with rank error ``rows / accuracy``.
+
+def _exact_quartiles(df: DataFrame, column: str) -> dict[str, Column]:
+    """Smallest values that at least a quarter, half, three quarters of the rows do not exceed.
+
+    Equal values are counted first; the running count over the sorted values
+    then shows where each share is reached.
+    """
+    counts = (
+        df.select(F.col(column).cast("double").alias("_v")).where("_v is not null")
+        .groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
+    )
+    running = with_running_total(counts, ["_v"], "_n", "_upto")
+    total = running.agg(F.max("_upto")).scalar()
+    return {
+        name: running.agg(F.min(F.when(F.col("_upto") >= F.ceil(total * share), F.col("_v")))).scalar()
+        for name, share in _QUARTERS.items()
+    }
+
+
+def describe(df: DataFrame, columns: Sequence[str], accuracy: int | None = None) -> DataFrame:
+    """Count, nulls, mean, deviation, extremes and quartiles of numeric columns.
+
+    Quartiles are exact, at the cost of one sort of the distinct values per
+    column.  With ``accuracy`` they come from a mergeable sketch in the same
+    pass as the rest, with rank error ``rows / accuracy``.
     """
     aggregates: list[Column] = []
     for i, c in enumerate(columns):
@@ -133,16 +157,23 @@ def describe(df: DataFrame, columns: Sequence[str], accuracy: int = 100_000) ->
             F.count(v).alias(f"n{i}"), F.count_if(v.isNull()).alias(f"z{i}"),
             F.avg(v).alias(f"m{i}"), F.stddev_samp(v).alias(f"s{i}"),
             F.min(v).alias(f"a{i}"), F.max(v).alias(f"b{i}"),
-            F.percentile_approx(v, [0.25, 0.5, 0.75], accuracy).alias(f"q{i}"),
         ]
+        if accuracy is not None:
+            aggregates.append(
+                F.percentile_approx(v, list(_QUARTERS.values()), accuracy).alias(f"q{i}"),
+            )
     one = df.agg(*aggregates)
+    quartiles = [
+        _exact_quartiles(df, c) if accuracy is None
+        else {name: F.get(f"q{i}", F.lit(j)) for j, name in enumerate(_QUARTERS)}
+        for i, c in enumerate(columns)
+    ]
     rows = F.array(*[
         F.struct(
             F.lit(c).alias("column"), F.col(f"n{i}").alias("count"),
             F.col(f"z{i}").alias("null_count"), F.col(f"m{i}").alias("mean"),
             F.col(f"s{i}").alias("std"), F.col(f"a{i}").alias("min"),
-            F.get(f"q{i}", F.lit(0)).alias("q25"), F.get(f"q{i}", F.lit(1)).alias("q50"),
-            F.get(f"q{i}", F.lit(2)).alias("q75"), F.col(f"b{i}").alias("max"),
+            *[q.alias(name) for name, q in quartiles[i].items()], F.col(f"b{i}").alias("max"),
         )
         for i, c in enumerate(columns)
     ])

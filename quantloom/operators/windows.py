@@ -43,7 +43,10 @@ def framed(
 ) -> DataFrame:
     """Runs ``step`` on rows of each key in time order.
 
-    ``step`` may look ``before`` rows back and ``after`` rows ahead.
+    ``step`` may look ``before`` rows back and ``after`` rows ahead.  Cutting a
+    hot key reads the input several times, so the input must be repeatable
+    (state a ``tie_break`` where times repeat), and worth writing first where
+    it is expensive.
     """
     order = [F.col(c).asc() for c in (time, *tie_break)]
 

@@ -16,6 +16,8 @@ def local_session(app_name: str = "quantloom", cores: str = "8", **conf: str) ->
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.session.timeZone", "UTC")
+        # Call sites are looked up for every column expression; plans here have thousands.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for name, value in conf.items():
         builder = builder.config(name, value)

@@ -31,6 +31,8 @@ def test_positions_batches_and_picks(letters):
     assert rows(ordering.with_row_index(letters, ["key"])) == [(c, i) for i, c in enumerate("abcdefg")]
     assert rows(ordering.assign_batches(letters, "key", 3)) == [(c, i // 3) for i, c in enumerate("abcdefg")]
     assert {r[1] for r in rows(ordering.assign_batches(letters, "key", 0))} == {0}
+    total = ordering.with_running_total(letters.withColumn("w", F.ascii("key") - 96), ["key"], "w")
+    assert rows(total, "key", "upto") == list(zip("abcdefg", [1, 3, 6, 10, 15, 21, 28]))
     assert rows(ordering.pick_rows(letters, [F.col("key").desc()], [0, 6])) == [("a",), ("g",)]
 
 
@@ -147,10 +149,11 @@ def test_pivots(spark):
 def test_profile_and_describe(spark):
     df = spark.createDataFrame([(1.0, "a"), (2.0, None), (3.0, "c"), (4.0, "d"), (None, "e")], "v double, s string")
     assert rows(reshape.profile_table(df)) == [(5, 0, "v", "double", 1), (5, 1, "s", "string", 1)]
-    d = reshape.describe(df, ["v"]).first()
-    assert (d["count"], d["null_count"], d["mean"], d["min"], d["q25"], d["q50"], d["q75"], d["max"]) == (
-        4, 1, 2.5, 1.0, 1.0, 2.0, 3.0, 4.0,
-    )
+    for accuracy in (None, 1000):
+        d = reshape.describe(df, ["v"], accuracy).first()
+        assert (d["count"], d["null_count"], d["mean"], d["min"], d["q25"], d["q50"], d["q75"], d["max"]) == (
+            4, 1, 2.5, 1.0, 1.0, 2.0, 3.0, 4.0,
+        )
     assert d["std"] == pytest.approx(1.2909944487)
 
 
