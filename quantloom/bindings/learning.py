@@ -6,6 +6,7 @@ model: part sizes, one score per row, contributions that add up.
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quantloom.bindings.registry import bind, table
@@ -101,25 +102,54 @@ def _(spark, d):
     )
 
 
-@bind("explain_key", "I9 B19 F3")
+_FEATURES = "(values ('sector'), ('quantity'), ('money'), ('discount'), ('tax')) f(feature)"
+
+
+@bind("explain_key", "I9 B19 F3", f"""
+    select ticker, date, feature, '{TARGET}' as pred_col, round({TARGET}, 6) as actual_value_log,
+      true as adds_up
+    from samples, {_FEATURES} where ticker = 'T3' and date >= date '2001-01-01'""")
 def _(spark, d):
-    return boosting.explain_key(
+    out = boosting.explain_key(
         table(spark, d, "samples"), _model(spark, d), "t3", start="2001-01-01", permutations=4,
     )
+    total = F.sum("shap_value").over(W.partitionBy("ticker", "date")) + F.col("bias")
+    return out.select(
+        "ticker", "date", "feature", "pred_col", F.round("actual_value_log", 6).alias("actual_value_log"),
+        (F.abs(total - F.col("predicted_value_log")) < 1e-9).alias("adds_up"),
+    )
 
 
-@bind("key_history", "I6 B19")
+@bind("key_history", "I6 B19", f"""
+    select ticker, date, round(exp({TARGET}), 5) as actual_excess_return, true as sound
+    from samples where ticker = 'T3' and date > date '2000-01-01'""")
 def _(spark, d):
-    return boosting.key_history(table(spark, d, "samples"), _model(spark, d), "t3", "2000-01-01")
+    out = boosting.key_history(table(spark, d, "samples"), _model(spark, d), "t3", "2000-01-01")
+    sound = (F.col("predicted_std") > 0) & (F.col("predicted_excess_return") > 0)
+    return out.select(
+        "ticker", "date", F.round("actual_excess_return", 5).alias("actual_excess_return"),
+        sound.alias("sound"),
+    )
 
 
-@bind("feature_importance", "I10 F6")
+@bind("feature_importance", "I10 F6", f"select feature, true as sound from {_FEATURES}")
 def _(spark, d):
-    return boosting.feature_importance(_model(spark, d), table(spark, d, "samples"))
+    out = boosting.feature_importance(_model(spark, d), table(spark, d, "samples"))
+    return out.select("feature", F.col("importance").between(0, 1).alias("sound"))
 
 
-@bind("train_all", "I4 I8 G1")
+@bind("train_all", "I4 I8 G1", f"""
+    with latest as (
+      select * from samples qualify row_number() over (partition by ticker order by date desc) = 1)
+    select ticker, date, feature, pred_col, round(case pred_col
+        when 'excess_return_ln_12m' then excess_return_ln_12m
+        when 'excess_return_ln_24m' then excess_return_ln_24m else excess_return_ln_36m end, 6)
+      as actual_value_log
+    from latest, {_FEATURES},
+      (values ('excess_return_ln_12m'), ('excess_return_ln_24m'), ('excess_return_ln_36m')) p(pred_col)""")
 def _(spark, d):
-    rows = table(spark, d, "samples")
     models = {t: _model(spark, d, t) for t in boosting.TRAINED_TARGETS}
-    return boosting.all_predictions(rows, models, permutations=4)
+    out = boosting.all_predictions(table(spark, d, "samples"), models, permutations=4)
+    return out.select(
+        "ticker", "date", "feature", "pred_col", F.round("actual_value_log", 6).alias("actual_value_log"),
+    )

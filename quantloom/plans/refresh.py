@@ -26,8 +26,9 @@ from quantloom.sources.csv import (
     read_csv_by_name,
     read_csv_strings,
 )
-from quantloom.sources.payloads import classify_payloads
-from quantloom.sources.tables import upsert
+from quantloom.sources.archive import read_zipped_csv
+from quantloom.sources.payloads import classify_payloads, ingest_report
+from quantloom.sources.tables import full_refresh, upsert
 
 
 @dataclass(frozen=True)
@@ -111,3 +112,52 @@ def write_version(df: DataFrame, root: str, version: str) -> str:
     path = f"{root.rstrip('/')}/version={version}"
     df.write.mode("errorifexists").parquet(path)
     return path
+
+
+@dataclass(frozen=True)
+class DailyReport:
+    prices_path: str
+    n_restated: int
+    failed: DataFrame
+
+
+def run_daily(
+    spark: SparkSession, archives: str, snapshot: str, histories: str, prices_path: str, root: str,
+    version: str,
+) -> DailyReport:
+    """The daily job from landed files to a new price version.
+
+    Universe and snapshot replace their tables; selected prices are upserted;
+    tickers with a split or dividend are restated from their history files.
+    """
+    tickers, rejects = read_zipped_csv(spark, archives, schemas.SUPPORTED_TICKERS_DDL)
+    problem = rejects.first()
+    if problem is not None:
+        raise ValueError(f"{problem['path']}: {problem['problem']}")
+    full_refresh(tickers, f"{root}/supported_tickers")
+    full_refresh(
+        read_csv_by_name(spark, snapshot, schemas.LAST_TRADING_DAY_DDL), f"{root}/last_trading_day",
+    )
+    done = daily_refresh(
+        spark.read.parquet(f"{root}/supported_tickers"),
+        spark.read.parquet(f"{root}/last_trading_day"), spark.read.parquet(prices_path),
+    )
+    history, _ = read_landed(spark, histories, schemas.PRICE_HISTORY_DDL, wanted=done.restate)
+    restated, failed = restate_history(done.prices, done.restate, history)
+    path = write_version(restated, f"{root}/daily_adjusted", version)
+    return DailyReport(path, done.restate.count() - failed.count(), failed)
+
+
+def run_fundamentals(
+    spark: SparkSession, landing: str, table_path: str, root: str, version: str,
+    keys: Sequence[str], ddl: str, wanted: DataFrame | None = None,
+) -> tuple[str, DataFrame]:
+    """``(path of the new version, report of processed and empty keys per batch)``."""
+    merged, classified = load_fundamentals(
+        spark, landing, spark.read.parquet(table_path), keys, ddl, wanted,
+    )
+    if wanted is not None and "batch" in wanted.columns:
+        classified = classified.join(wanted.select("ticker", "batch"), "ticker")
+    else:
+        classified = classified.withColumn("batch", F.lit(0).cast("bigint"))
+    return write_version(merged, root, version), ingest_report(classified)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -13,7 +14,8 @@ from quantloom.session import local_session, scratch_path  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tests", cores="4")
+    warehouse = tempfile.mkdtemp(prefix="quantloom-warehouse-")
+    session = local_session("tests", cores="4", **{"spark.sql.warehouse.dir": warehouse})
     yield session
     session.stop()
 

@@ -9,8 +9,6 @@ import __spark_entry__
 from quantloom.bindings.catalog import REGISTRY
 
 SF_DIR = "/root/testdata/sf0.001"
-# Trained models are checked in test_models.py on data made for it.
-SLOW = {"train_all"}
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +18,7 @@ def con():
     connection.close()
 
 
-@pytest.mark.parametrize("name", sorted(set(REGISTRY) - SLOW))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query(spark, con, name):
     bound = REGISTRY[name]
     df = bound.run(spark, SF_DIR)
