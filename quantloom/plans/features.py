@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quantloom.functions.scalars import (
     company_ratios,
@@ -106,6 +107,8 @@ def sampled_prices(
     Averages see the full history; volatility and volume metrics see the
     history that remains after the universe and index-day filters.
     """
+    if not isinstance(prices.schema["date"].dataType, T.DateType):
+        raise ValueError("prices must hold one row per ticker and DATE")
     prices = prices.select(
         "ticker", "date", "close", F.col("adjClose").cast("double").alias("adjClose"),
         F.col("adjVolume").cast("double").alias("adjVolume"),

@@ -52,7 +52,9 @@ def upsert_partitions(
 
     Only partitions that receive updates are read and written again.  The
     partition list is a scalar-size filter, so the scan is pruned; the rest of
-    the table is not touched.
+    the table is not touched.  Task retries are safe, since new files replace
+    old ones only when all are written; where readers need one switch for the
+    whole table, write a new version folder instead.
     """
     if order is not None:
         updates = dedupe_latest(updates, keys, order)
