@@ -28,15 +28,18 @@ class Bound:
 
 REGISTRY: dict[str, Bound] = {}
 STANDINS: dict[str, str] = {}
+SPARK_STANDINS: dict[str, str] = {}
 _OPENED: dict[tuple, DataFrame] = {}
 
 
-def standin(name: str, text: str) -> None:
+def standin(name: str, text: str, spark_text: str | None = None) -> None:
     """An input table derived from the driver's tables; ``{name}`` refers to a table.
 
-    The text is plain SQL that both engines read alike.
+    The text is plain SQL that both engines read alike, unless Spark has a
+    better way to say the same in ``spark_text``.
     """
     STANDINS[name] = text
+    SPARK_STANDINS[name] = spark_text or text
 
 
 def _parents(text: str) -> list[str]:
@@ -51,7 +54,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         if key not in _OPENED:  # opening a file costs a job that reads its schema
             _OPENED[key] = spark.read.parquet(path)
         return _OPENED[key]
-    text = STANDINS[name]
+    text = SPARK_STANDINS[name]
     return spark.sql(text, **{p: table(spark, sf_dir, p) for p in _parents(text)})
 
 
