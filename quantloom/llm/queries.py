@@ -5,13 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quantloom.llm import language, licenses
+from quantloom.llm import decontaminate, language, licenses, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, each distinct text scanned once."""
+    found = secrets.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"] < secrets.BASE_KINDS)
+    number = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
+    return found.select(
+        "doc_id", number(0).alias("n_assign"), number(1).alias("n_access"), number(2).alias("n_hex"),
+        F.sha2(secrets.joined_spans(base), 256).alias("base_sha256"), secrets.joined_spans(F.col("spans")).alias("spans"),
+    )
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stand in a window of a benchmark item."""
+    found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("text_key", "items")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from two of three folds."""
     docs = language.held_out(_table(spark, sf_dir, "documents"))
@@ -26,5 +43,5 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("detections", F.concat_ws(",", texts))
 
 
-QUERIES = {f.__name__: f for f in (op4_language_id, op9_license_scan)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_secret_scan, op3_decontamination, op4_language_id, op9_license_scan)}
+ORACLE_SQL: dict[str, str] = {"op2_secret_scan": secrets.ORACLE}
