@@ -71,9 +71,12 @@ def _unit(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 def _sample(train: DataFrame, text: str, lang: str, ident: str, per_language: int) -> DataFrame:
     """About ``per_language`` rows of each language by hash, never more than twice as many."""
-    sizes = train.groupBy(lang).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = {r[lang]: r["n"] for r in train.groupBy(lang).agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per language
+    if not sizes:
+        return train.limit(0).select(lang, text)
+    total = F.element_at(F.create_map(*(F.lit(x) for pair in sizes.items() for x in pair)), F.col(lang))
     share = (F.xxhash64(F.col(ident), F.xxhash64(text)) % (1 << 30) + (1 << 30)) / F.lit(float(1 << 31))
-    few = train.join(sizes, lang).where(share * F.col("_n") <= per_language)
+    few = train.where(share * total <= per_language)
     rank = F.row_number().over(Window.partitionBy(lang).orderBy(F.xxhash64(ident), F.xxhash64(text)))
     return few.withColumn("_rank", rank).where(F.col("_rank") <= 2 * per_language).select(lang, text)
 

@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quantloom.llm import decontaminate, language, licenses, secrets
+from quantloom.llm import decontaminate, language, licenses, lm, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log10 probability of every document, learned from six of seven folds."""
+    docs = lm.folds(_table(spark, sf_dir, "documents"))
+    return lm.score(docs, lm.train(docs.where(~F.col("held_out"))))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document, each distinct text scanned once."""
     found = secrets.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -43,5 +49,5 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("detections", F.concat_ws(",", texts))
 
 
-QUERIES = {f.__name__: f for f in (op2_secret_scan, op3_decontamination, op4_language_id, op9_license_scan)}
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_secret_scan, op3_decontamination, op4_language_id, op9_license_scan)}
 ORACLE_SQL: dict[str, str] = {"op2_secret_scan": secrets.ORACLE}
