@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quantloom.llm import decontaminate, language, licenses, lm, secrets
+from quantloom.llm import decontaminate, language, licenses, lm, minhash, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,12 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, model, keep=("doc_id", "held_out"))
 
 
+def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    found = minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "class_size")
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License labels of every document; the detections as ``label:first:last``."""
     found = licenses.scan_licenses(_table(spark, sf_dir, "documents"))
@@ -49,5 +55,5 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("detections", F.concat_ws(",", texts))
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_secret_scan, op3_decontamination, op4_language_id, op9_license_scan)}
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_secret_scan, op3_decontamination, op4_language_id, op7_minhash_dedup, op9_license_scan)}
 ORACLE_SQL: dict[str, str] = {"op2_secret_scan": secrets.ORACLE}
