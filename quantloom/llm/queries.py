@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quantloom.llm import decontaminate, language, licenses, lm, minhash, secrets
+from quantloom.llm import decontaminate, language, licenses, lm, minhash, passages, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,5 +55,11 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("detections", F.concat_ws(",", texts))
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_secret_scan, op3_decontamination, op4_language_id, op7_minhash_dedup, op9_license_scan)}
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stretches of documents, in words, that are made of passages which stand elsewhere too."""
+    found = passages.repeated_passages(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "first_word", "last_word", "others")
+
+
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_secret_scan, op3_decontamination, op4_language_id, op7_minhash_dedup, op9_license_scan, op10_suffix_dedup)}
 ORACLE_SQL: dict[str, str] = {"op2_secret_scan": secrets.ORACLE}
