@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quantloom.llm import decontaminate, language, licenses, lm, minhash, passages, secrets
+from quantloom.llm import decontaminate, language, licenses, lm, minhash, packing, passages, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +43,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, model, keep=("doc_id", "held_out"))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in training sequences of 2048 tokens."""
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document."""
     found = minhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -61,5 +67,5 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "first_word", "last_word", "others")
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_secret_scan, op3_decontamination, op4_language_id, op7_minhash_dedup, op9_license_scan, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_secret_scan, op3_decontamination, op4_language_id, op6_best_fit_packing, op7_minhash_dedup, op9_license_scan, op10_suffix_dedup)}
 ORACLE_SQL: dict[str, str] = {"op2_secret_scan": secrets.ORACLE}
