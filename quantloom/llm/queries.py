@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quantloom.llm import decontaminate, language, licenses, lm, minhash, packing, passages, secrets
+from quantloom.llm import decontaminate, language, licenses, lm, minhash, packing, passages, secrets, vectors, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,12 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, model, keep=("doc_id", "held_out"))
 
 
+def op5_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record, read back through the capture index."""
+    found = warc.archive_and_read(spark, _table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in training sequences of 2048 tokens."""
     return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -54,6 +60,11 @@ def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "class_size")
 
 
+def op8_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest rows of every fiftieth vector."""
+    return vectors.nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License labels of every document; the detections as ``label:first:last``."""
     found = licenses.scan_licenses(_table(spark, sf_dir, "documents"))
@@ -67,5 +78,5 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "first_word", "last_word", "others")
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_secret_scan, op3_decontamination, op4_language_id, op6_best_fit_packing, op7_minhash_dedup, op9_license_scan, op10_suffix_dedup)}
-ORACLE_SQL: dict[str, str] = {"op2_secret_scan": secrets.ORACLE}
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_secret_scan, op3_decontamination, op4_language_id, op5_warc_index, op6_best_fit_packing, op7_minhash_dedup, op8_vector_search, op9_license_scan, op10_suffix_dedup)}
+ORACLE_SQL: dict[str, str] = {"op2_secret_scan": secrets.ORACLE, "op5_warc_index": warc.ORACLE}
