@@ -134,7 +134,7 @@ def phrase_candidates(index: DataFrame, anchored: DataFrame) -> DataFrame:
     windows of one passage, share one look-up.
     """
     first = F.col("anchors")[0]
-    gap = lambda k: F.transform(F.slice("anchors", 2, ANCHORS), lambda a: F.struct(a["term"].alias("term"), (a["offset"] - first["offset"]).alias("gap")))[k]
+    gap = lambda k: F.get(F.transform(F.slice("anchors", 2, ANCHORS), lambda a: F.struct(a["term"].alias("term"), (a["offset"] - first["offset"]).alias("gap"))), k)
     lookups = anchored.select(first["term"].alias("t1"), first["offset"].alias("offset"), gap(0).alias("a2"), gap(1).alias("a3"))
     lookups = lookups.groupBy("t1", "a2", "a3").agg(F.sort_array(F.collect_set("offset")).alias("offsets"))
     one = index.select("block", F.col("term").alias("t1"), F.col("docs").alias("d1"), F.col("rows").alias("r1"), F.col("positions").alias("p1"))
@@ -234,20 +234,13 @@ def _verify(keyed: DataFrame, candidates: DataFrame, windows: pd.DataFrame) -> D
                         named.update(owners[a:b])
                 if named:
                     rows.append(row)
-                    hits.append(np.unique(np.concatenate(struck)).astype("<i4").tobytes())
+                    hits.append(np.unique(np.concatenate(struck)))
                     items.append(sorted(named))
             picked = part.take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([picked.column("doc_id"), picked.column("text_key"), pa.array(hits, pa.binary()), pa.array(items, pa.list_(pa.string()))], ["doc_id", "text_key", "hits", "items"])
+            yield pa.RecordBatch.from_arrays([picked.column("doc_id"), picked.column("text_key"), pa.array(hits, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))], ["doc_id", "text_key", "hits", "items"])
 
     joined = keyed.join(candidates.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")))
-    return joined.select("doc_id", "text_key", "text", "starts").mapInArrow(check, "doc_id long, text_key long, hits binary, items array<string>")
-
-
-def _union(frame: pd.DataFrame) -> pd.DataFrame:
-    """What the blocks of the benchmark and the repeats of a row say of one text, together."""
-    hits = np.unique(np.frombuffer(b"".join(frame["hits"]), "<i4"))
-    items = sorted({i for each in frame["items"] for i in each})
-    return pd.DataFrame({"doc_id": frame["doc_id"].iloc[:1], "text_key": frame["text_key"].iloc[:1], "n_hit": [len(hits)], "items": [items]})
+    return joined.select("doc_id", "text_key", "text", "starts").mapInArrow(check, "doc_id long, text_key long, hits array<long>, items array<string>")
 
 
 def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
@@ -281,7 +274,9 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH, block_w
     if found is None:
         merged = sizes.limit(0).select("doc_id", "text_key", F.lit(0).alias("n_hit"), F.array().cast("array<string>").alias("items"))
     else:
-        merged = found.groupBy("doc_id", "text_key").applyInPandas(_union, "doc_id long, text_key long, n_hit long, items array<string>")
+        # What the blocks of the benchmark and the repeats of a row say of one text, together.
+        every = lambda c: F.array_distinct(F.flatten(F.collect_list(c)))
+        merged = found.groupBy("doc_id", "text_key").agg(F.size(every("hits")).alias("n_hit"), F.array_sort(every("items")).alias("items"))
     merged = written(merged, "hits").withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})
     same: Column = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
     listed = F.coalesce("items", F.array().cast("array<string>"))

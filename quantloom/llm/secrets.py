@@ -125,8 +125,8 @@ def findings(spark: SparkSession, ledger: str, rules: tuple[Rule, ...] = RULES)
     return found.groupBy("blob").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end"))).alias("spans"))
 
 
-def scan(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """All columns of ``docs`` but the text, with ``blob`` and ``spans`` of every row.
+def scan(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = RULES, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The ``keep`` columns of every row with ``blob`` and ``spans``.
 
     A null text counts as empty.  Rows without findings get an empty list,
     repeated rows repeated results.  Without ``ledger`` a new one is begun in
@@ -135,8 +135,9 @@ def scan(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = R
     spark = docs.sparkSession
     ledger = ledger or scratch_path(spark, "ledger")
     update_ledger(spark, docs, ledger, rules, text)
-    paths = docs.withColumn("blob", blob_of(text)).drop(text)
-    return paths.join(findings(spark, ledger, rules), "blob", "left").withColumn("spans", F.coalesce("spans", F.array().cast("array<struct<start:int,kind:int,end:int>>")))
+    paths = docs.select(F.struct(*(F.col(c) for c in keep)).alias("_kept"), blob_of(text).alias("blob"))
+    found = paths.join(findings(spark, ledger, rules), "blob", "left")
+    return found.select("_kept.*", "blob", F.coalesce("spans", F.array().cast("array<struct<start:int,kind:int,end:int>>")).alias("spans"))
 
 
 def joined_spans(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
