@@ -162,6 +162,11 @@ def resolve(found: list[Detection]) -> list[Detection]:
     return sorted(accepted, key=lambda d: (d.start, d.end))
 
 
+def _spaced(pattern: str) -> str:
+    """A blank in a rule is any short run of white space."""
+    return pattern.replace("[- ]", r"[-\s]").replace(" ?", r"\s{0,4}").replace(" ", r"\s{1,4}")
+
+
 @lru_cache(maxsize=1)
 def _compiled() -> tuple[np.ndarray, list[tuple[Rule, tuple[int, ...], re.Pattern[bytes]]], list[tuple[str, np.ndarray]]]:
     every = rules()
@@ -169,7 +174,7 @@ def _compiled() -> tuple[np.ndarray, list[tuple[Rule, tuple[int, ...], re.Patter
     gates = np.array([word_hash(w) for w in words], np.uint64)
     order = np.argsort(gates)
     place = {words[i]: k for k, i in enumerate(order)}
-    gated = [(r, tuple(place[w] for w in r.words), re.compile(r.pattern.replace(" ", r"\s{1,4}").encode("latin-1"), re.DOTALL)) for r in every]
+    gated = [(r, tuple(place[w] for w in r.words), re.compile(_spaced(r.pattern).encode("latin-1"), re.DOTALL)) for r in every]
     phrases = [(label, np.array([word_hash(w) for w in phrase.split()], np.uint64)) for phrase, label in BASE_PHRASES]
     return gates[order], gated, phrases
 
