@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import bisect
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -27,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quantloom.llm.store import written
-from quantloom.llm.text import chunks, mix_int
+from quantloom.llm.text import chunks, mix_int, raw_bytes
 
 CAPACITY = 2048
 SHARD = 4096
@@ -36,17 +35,20 @@ EPOCHS = 2
 POPULATION = 4
 GENERATIONS = 6
 SEPARATOR = 0
-CACHE_WORDS = 400_000
+CACHE_WORDS = 500_000
+#: Islands share tasks beyond this number; it bounds scheduling, not work.
+MAX_TASKS = 10_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, slot long"
 
 
 class WordEncoder:
-    """A tokenizer that keeps what it has seen.
+    """The ids of a word-level BPE tokenizer that lower-cases, drops white space and never joins what it parts.
 
-    Only for tokenizers whose pieces never reach over white space and that drop
-    it, as the word-level BPE does: there a text's ids are those of its
-    stretches between white space, one after another.
+    A text's ids are those of its stretches between white space, one after
+    another, and most stretches are known already.  A new one that is letters
+    with a tail of punctuation goes straight to the BPE model, letters and tail
+    each for itself; anything else is left to the whole tokenizer.
     """
 
     def __init__(self, path: str) -> None:
@@ -55,24 +57,62 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [_BLANK.split(t) for t in texts]
-        known = self.known
-        fresh = list({w for words in split for w in words if w not in known})
-        for at in range(0, len(fresh), 4096):
-            part = fresh[at : at + 4096]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[word] = np.array(found.ids, "<u4").tobytes()
-        out = [np.frombuffer(b"".join([known[w] for w in words]), "<u4") for words in split]
-        if len(known) > CACHE_WORDS:
-            known.clear()
+        self.stretches: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _part(self, part: bytes, letters: str | None) -> bytes:
+        found = self.parts.get(part)
+        if found is None:
+            if letters is None:
+                found = self._whole(part.decode())
+            else:
+                mapped = letters if letters.isascii() else "".join([_BYTE_LETTERS[b] for b in part])
+                found = np.array([t.id for t in self.tokenizer.model.tokenize(mapped)], "<u4").tobytes()
+            self.parts[part] = found
+        return found
+
+    def _stretch(self, stretch: bytes) -> bytes:
+        word = stretch.rstrip(_TAIL)
+        letters = word.decode()
+        if letters.isalpha() and (letters.isascii() or (max(letters) < "\u0180" and letters.lower() == letters)):
+            ids = self._part(word, letters)
+            return ids + self._part(stretch[len(word) :], None) if len(word) < len(stretch) else ids
+        return self._part(stretch, None)
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of UTF-8 texts."""
+        out = []
+        known = self.stretches
+        for text in texts:
+            if b"\xcc" in text or b"\xcd" in text:  # combining marks: composition depends on the case
+                out.append(np.frombuffer(self._whole(text.decode()), "<u4"))
+                continue
+            words = text.lower().split()  # of bytes: A-Z and ASCII white space only
+            for word in words:
+                if word not in known:
+                    known[word] = self._stretch(word)
+            out.append(np.frombuffer(b"".join([known[w] for w in words]), "<u4"))
+            for cache in (known, self.parts):
+                if len(cache) > CACHE_WORDS:
+                    cache.clear()
         return out
 
 
-#: Other white space is left to the tokenizer itself.
-_BLANK = re.compile("[\t\n\x0b\x0c\r ]+")
+#: ASCII punctuation without the apostrophe, which begins contractions.
+_TAIL = bytes(b for b in range(33, 127) if not chr(b).isalnum() and b != 39)
+
+
+def _byte_letters() -> list[str]:
+    """Byte-level BPE writes printable bytes as themselves and the others from U+0100 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return [chr(b) if b in plain else chr(256 + others.index(b)) for b in range(256)]
+
+
+_BYTE_LETTERS = _byte_letters()
 
 
 @lru_cache(maxsize=2)
@@ -93,7 +133,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, text: str
         base, n = mix_int(TaskContext.get().partitionId() + 1), 0
         for part in chunks(batches):
             rows = []
-            texts = [t or "" for t in part.column("text").to_pylist()]
+            data, offsets = raw_bytes(part.column("text"))
+            texts = [data[a:b].tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
             for ident, ids in zip(part.column("doc_id").to_pylist(), own.encode(texts)):
                 ids = np.append(ids, np.uint32(SEPARATOR)).astype("<u4")
                 for nth, start in enumerate(range(0, len(ids), capacity)):
@@ -251,9 +292,10 @@ def pack(table: DataFrame, capacity: int = CAPACITY, shard: int = SHARD, islands
 
     start = dealt.select("shard", "length", "slot").groupBy("shard").applyInPandas(gather, "shard long, sizes binary")
     state = start.select("shard", F.explode(F.array(*map(F.lit, range(islands)))).alias("island"), "sizes", F.array().cast("array<binary>").alias("population"))
-    state = written(state.repartition("shard", "island").mapInArrow(_evolve(capacity, 0), _STATE), "islands")
+    tasks = min(MAX_TASKS, n_shards * islands)
+    state = written(state.repartition(tasks, "shard", "island").mapInArrow(_evolve(capacity, 0), _STATE), "islands")
     for epoch in range(1, epochs):
-        state = written(_migrate(state, islands).repartition("shard", "island").mapInArrow(_evolve(capacity, epoch), _STATE), "islands")
+        state = written(_migrate(state, islands).repartition(tasks, "shard", "island").mapInArrow(_evolve(capacity, epoch), _STATE), "islands")
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -237,8 +237,9 @@ def test_word_encoder_equals_the_tokenizer():
     import public_tokenizers
 
     own = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
-    odd = ["it's a  test\n\nDON'T", "a b c　d", "é É ́x", "x\x1cy\x1fz", "<|endoftext|> 12 34.5", "ﬁ ½ ＡＢＣ 漢字かな", "a​b ﻿", "\x85x\x0by\x0cz", "İ ß ŉ", "'s 't 're x's y"]
-    assert [o.tolist() for o in own.encode(odd)] == [e.ids for e in own.tokenizer.encode_batch(odd, add_special_tokens=False)]
+    odd = ["it's a  test\n\nDON'T", "a\u00a0b\u2003c\u3000d", "e\u0301 \u00e9 \u00c9 \u0301x", "x\x1cy\x1fz", "<|endoftext|> 12 34.5", "\ufb01 \u00bd \uff21\uff22\uff23 \u6f22\u5b57", "a\u200bb \ufeff"]
+    odd += ["\x85x\x0by\x0cz", "\u0130 \u00df \u0149 \u01c5 T\u0308 J\u030c", "'s 't 're x's y", "\u00c9t\u00e9, na\u00efve. Gr\u00f6\u00dfe! word\u00bb. a.b c--d ...", "", " ", "\u03a3\u03a3 \u03c3\u03c2"]
+    assert [o.tolist() for o in own.encode([t.encode() for t in odd])] == [e.ids for e in own.tokenizer.encode_batch(odd, add_special_tokens=False)]
 
 
 def test_breeding_never_gets_worse_and_finds_a_better_packing():
