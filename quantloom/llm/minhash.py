@@ -130,7 +130,7 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
 def _pairs(buckets: DataFrame, turn: int) -> DataFrame:
     """Candidate pairs (a, b), a < b, of the ``turn``-th round from (key, node, n, next, size)."""
     rank = F.struct(F.xxhash64("node", F.lit(turn)).alias("at"), F.col("node").alias("node"), F.col("n").alias("n"))
-    leaders = buckets.groupBy("key").agg(F.min(rank).alias("leader"))
+    leaders = written(buckets.groupBy("key").agg(F.min(rank).alias("leader")), "leaders")
     starred = buckets.join(leaders, "key").select("node", "n", F.col("leader.node").alias("other"), F.col("leader.n").alias("m"))
     close = F.least("n", "m") >= THRESHOLD * F.greatest("n", "m")
     ordered = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
@@ -213,7 +213,8 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     nodes = written(named.select(F.monotonically_increasing_id().alias("node"), "content", "who", "rows", "n", "bands"), "nodes")
     spread = nodes.select("node", "n", "bands", F.posexplode("bands").alias("band", "key"))
     spread = spread.select("node", "n", "key", F.get("bands", (F.col("band") + 1) % BANDS).alias("next"))
-    sizes = spread.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    # Written apart, so that a full bucket can be split in the join.
+    sizes = written(spread.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "bucket-sizes")
     buckets = written(spread.join(sizes, "key"), "buckets")
     wanted = nodes.select("node", "content", "who.*").join(buckets.select("node").distinct(), "node", "left_semi")
     texts = written(_texts(docs, wanted, text), "candidate-texts")

@@ -208,7 +208,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").isNotNull()).withColumn("text_key", F.xxhash64("text"))
     kept = written(suffixes(rows), "suffixes")
-    shared = kept.groupBy("head").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("head")
+    # Written apart, so that a common head can be split in the join.
+    shared = written(kept.groupBy("head").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("head"), "heads")
     places = kept.join(shared, "head").select("doc_id", "text_key", "word")
     ordered = _contexts(_with_places(rows, places)).repartitionByRange(*_ORDER).sortWithinPartitions(*_ORDER)
     compared = written(ordered.select(*_ORDER).mapInArrow(_compare, _COMPARED), "compared")
