@@ -136,7 +136,7 @@ def duration_seconds(text: str) -> float:
         return 0.0
     parts = _DURATION_PART.findall(body)
     if not parts or "".join(n + u for n, u in parts) != body:
-        raise ValueError(f"failed to parse duration: {text!r}")
+        raise ValueError(f"{text!r} is no duration")
     return sign * sum(float(n) * _DURATION_UNITS[u] for n, u in parts)
 
 
@@ -147,9 +147,9 @@ def relative_date(text: str, now: Column | None = None) -> Column:
         return now.cast("date")
     parts = text.split("-")
     if len(parts) != 2:
-        raise ValueError(f"invalid today string format: {text}")
+        raise ValueError(f"{text!r} is neither today nor today-<duration>")
     if parts[0] != "today":
-        raise ValueError(f"string must start with 'today': {text}")
+        raise ValueError(f"{text!r} does not begin with today")
     seconds = F.lit(duration_seconds(parts[1])).cast("decimal(18,6)")
     return (now - F.make_dt_interval(secs=seconds)).cast("date")
 

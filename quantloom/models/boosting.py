@@ -314,7 +314,7 @@ def latest_predictions(df: DataFrame, model: HorizonModel, start: str | None = N
     if start is None:
         rows = latest_per_key(df, "ticker", "date")
     else:
-        rows = require_rows(since(df, "date", start), f"no data found since {start}")
+        rows = require_rows(since(df, "date", start), f"no rows from {start} on")
     return prediction_long(rows, model, **options)
 
 

@@ -19,7 +19,7 @@ from quantloom.operators.skew import (
     find_hot_keys,
     join_on_keys,
     split_hot,
-    with_time_slice,
+    with_slices,
 )
 
 
@@ -75,7 +75,7 @@ def asof_join(
         matched = carried(stream, on)
     else:
         ordinary, hot_rows = split_hot(stream, hot)
-        sliced = with_time_slice(hot_rows, hot, "_time")
+        sliced = with_slices(hot_rows, hot, ["_time", "_side", *ties])
         rank = F.when(F.col("_side") == 0, F.struct("_time", *ties))
         closing = sliced.groupBy(*on, "_slice").agg(F.max_by("_right", rank).alias("_closing"))
         before = W.partitionBy(*on).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
@@ -103,10 +103,20 @@ def inner_join(left: DataFrame, right: DataFrame, using: Sequence[str]) -> DataF
 
 
 def join_calendar(df: DataFrame, days: DataFrame, time: str) -> DataFrame:
-    """Inner join to a table with one row per calendar day, which bounds its size."""
+    """Inner join to a table with one row per calendar day, which bounds its size.
+
+    Both halves of that bound are checked: the type is DATE, and a day that
+    occurs twice fails the query.
+    """
     if not isinstance(days.schema[time].dataType, T.DateType):
         raise ValueError(f"{time} must be a DATE to be joined as a calendar")
-    return df.join(F.broadcast(days), time, "inner")
+    others = [c for c in days.columns if c != time]
+    single = days.where(F.col(time).isNotNull()).groupBy(time).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in others],
+    )
+    twice = F.raise_error(F.concat(F.lit("calendar day occurs twice: "), F.col(time).cast("string")))
+    checked = single.withColumn(time, F.when(F.col("_n") == 1, F.col(time)).otherwise(twice.cast("date")))
+    return df.join(F.broadcast(checked.select(*days.columns)), time, "inner")
 
 
 def left_join(left: DataFrame, right: DataFrame, using: Sequence[str]) -> DataFrame:

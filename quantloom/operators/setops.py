@@ -16,19 +16,17 @@ def union_checked(frames: Sequence[DataFrame]) -> DataFrame:
     """Union of parts whose columns agree in number, name and position."""
     frames = [f for f in frames if f is not None and f.columns]
     if not frames:
-        raise ValueError("received no data")
+        raise ValueError("nothing to join: no part has a column")
     first = frames[0].columns
     for i, frame in enumerate(frames[1:], start=2):
         if len(frame.columns) != len(first):
             raise ValueError(
-                f"mismatched number of columns in part {i}: "
-                f"expected {len(first)}, got {len(frame.columns)}",
+                f"part {i} has {len(frame.columns)} columns, not {len(first)}",
             )
         for j, (want, got) in enumerate(zip(first, frame.columns), start=1):
             if want != got:
                 raise ValueError(
-                    f"mismatched column name in part {i}: expected '{want}', got '{got}' "
-                    f"at position {j}",
+                    f"part {i}: column {j} is '{got}', not '{want}'",
                 )
     return union_all(frames)
 

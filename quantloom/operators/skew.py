@@ -3,7 +3,7 @@
 An ordered window puts every row of a key into one task.  That is right for
 ordinary keys and ruinous for a key that holds a large share of a big table.
 The helpers here find keys above a row limit with one map-side-combined count
-and cut only those keys into slices of about equal size along the time axis.
+and cut only those keys into slices of about equal size along their order.
 Ordinary keys keep the plain one-shuffle plan.
 """
 
@@ -26,21 +26,21 @@ MAX_BROADCAST_ROWS = 200_000
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Keys above the limit: at most ``total rows / limit`` of them."""
+    """Keys above the limit: at most ``total rows / limit`` of them, with ``rows`` rows together."""
 
     keys: DataFrame
     columns: list[str]
     n_keys: int
-    largest: int
+    rows: int
     limit: int
 
     @property
     def n_slices(self) -> int:
-        return max(2, ceil(self.largest / self.limit))
+        return max(2, ceil(self.rows / self.limit))
 
     @property
     def small(self) -> bool:
-        return self.n_keys * self.n_slices <= MAX_BROADCAST_ROWS
+        return self.n_keys + self.n_slices <= MAX_BROADCAST_ROWS
 
 
 def find_hot_keys(df: DataFrame, columns: list[str], limit: int = MAX_GROUP_ROWS) -> HotKeys | None:
@@ -49,10 +49,10 @@ def find_hot_keys(df: DataFrame, columns: list[str], limit: int = MAX_GROUP_ROWS
         df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > limit)
     )
-    seen = counts.agg(F.count(F.lit(1)).alias("n"), F.max("_rows").alias("top")).first()
+    seen = counts.agg(F.count(F.lit(1)).alias("n"), F.sum("_rows").alias("rows")).first()
     if seen["n"] == 0:
         return None
-    return HotKeys(checkpointed(counts.select(*columns)), columns, seen["n"], seen["top"], limit)
+    return HotKeys(checkpointed(counts.select(*columns)), columns, seen["n"], seen["rows"], limit)
 
 
 def _same_key(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
@@ -87,16 +87,17 @@ def join_on_keys(left: DataFrame, right: DataFrame, columns: list[str], small: b
     return joined.drop(*[f"_k{i}" for i in range(len(columns))])
 
 
-def with_time_slice(hot_rows: DataFrame, hot: HotKeys, time: str) -> DataFrame:
-    """Adds ``_slice``: rows of a key in time order, cut at equal-depth quantiles."""
-    n = hot.n_slices
-    cuts = [i / n for i in range(1, n)]
-    bounds = hot_rows.groupBy(*hot.columns).agg(
-        F.percentile_approx(time, cuts, max(10_000, 20 * n)).alias("_bounds"),
-    )
-    joined = join_on_keys(hot_rows, bounds, hot.columns, hot.small)
-    below = F.size(F.filter("_bounds", lambda b: b < F.col(time)))
-    return joined.withColumn("_slice", F.coalesce(below, F.lit(0))).drop("_bounds")
+def with_slices(hot_rows: DataFrame, hot: HotKeys, order: list[str]) -> DataFrame:
+    """Adds ``_slice``: rows of hot keys cut along ``order`` into pieces of about equal size.
+
+    Rows are range-partitioned by key, order and a hash of the row
+    (``_spread``), so many rows of one instant are cut as well; a slice is a
+    partition of the checkpointed result, and slices follow the order.
+    """
+    hashed = [c for c in hot_rows.columns if "map" not in hot_rows.schema[c].dataType.simpleString()]
+    spread = hot_rows.withColumn("_spread", F.xxhash64(*hashed))
+    cut = spread.repartitionByRange(hot.n_slices, *hot.columns, *order, "_spread")
+    return checkpointed(cut.withColumn("_slice", F.spark_partition_id()))
 
 
 def with_exact_row_number(
@@ -109,5 +110,5 @@ def with_exact_row_number(
         *hot.columns, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
     )
     joined = join_on_keys(sliced, offsets, [*hot.columns, "_slice"], hot.small)
-    within = F.row_number().over(W.partitionBy(*hot.columns, "_slice").orderBy(*order))
+    within = F.row_number().over(W.partitionBy(*hot.columns, "_slice").orderBy(*order, "_spread"))
     return joined.withColumn(name, F.col("_offset") + within).drop("_offset")

@@ -24,7 +24,7 @@ from quantloom.operators.skew import (
     join_on_keys,
     split_hot,
     with_exact_row_number,
-    with_time_slice,
+    with_slices,
 )
 
 # (frame, partition columns, order columns) -> frame; ``_rn`` is the row number in the key.
@@ -61,7 +61,7 @@ def framed(
         return plain(df)
 
     ordinary, hot_rows = split_hot(df, hot)
-    numbered = with_exact_row_number(with_time_slice(hot_rows, hot, time), hot, order)
+    numbered = with_exact_row_number(with_slices(hot_rows, hot, [time, *tie_break]), hot, order)
     size = max(hot.limit, before, after, 1)
     own = F.floor((F.col("_rn") - 1) / size)
     place = (F.col("_rn") - 1) % size
@@ -71,7 +71,7 @@ def framed(
         F.when((place < after) & (own > 0), own - 1),
     ))
     blocks = (
-        numbered.drop("_slice").withColumn("_own", own)
+        numbered.drop("_slice", "_spread").withColumn("_own", own)
         .select("*", F.explode(copies).alias("_block"))
     )
     done = step(blocks, [key, "_block"], [F.col("_rn").asc()])
@@ -91,97 +91,65 @@ class Rolling:
         return sorted({*self.means.values(), *self.deviations.values()})
 
 
-def _frame_moments(
-    frame: DataFrame, frames: Sequence[Rolling], part: list[str], order: list[Column],
-) -> DataFrame:
+def _frame_moments(frame: DataFrame, frames: Sequence[Rolling], part: list[str]) -> DataFrame:
     """Rolling moments of a table that carries ``_rn``, at constant cost per row.
 
     Spark evaluates a sliding frame anew for every row.  Here the rows of a key
-    are cut into runs as long as the longest frame.  Within a run, ``head`` is
-    the running aggregate up to a row and ``rest`` what follows it.  A frame is
-    the head of its last row plus the rest of the row before its first (when it
-    starts in the previous run), or minus that row's head (when it starts in the
-    same run).  Runs follow time, so one sort serves all frames and values.
+    are cut into runs as long as the frame, so that every frame is the end of
+    one run and the beginning of the next.  Running aggregates along a run give
+    the beginnings, those against it the ends, and two parts are added; nothing
+    is ever taken away, so a NaN or an outlier is gone once it has left the frame.
     """
-    length = max(r.periods for r in frames) + 1
-    squares = sorted({v for r in frames for v in r.deviations.values()})
-    values = sorted({*squares, *(v for r in frames for v in r.means.values())})
-    kinds = {v: "nmq" if v in squares else "nm" for v in values}
-    run = W.partitionBy(*part, "_run").orderBy(*order)
-    spans = {
-        "h": run.rowsBetween(W.unboundedPreceding, 0),
-        "w": run.rowsBetween(W.unboundedPreceding, W.unboundedFollowing),
-    }
-    along = W.partitionBy(*part).orderBy("_run", *order)
-    index = {v: i for i, v in enumerate(values)}
     names = list(frame.columns)
-
-    out = frame.withColumns({
-        "_run": F.floor((F.col("_rn") - 1) / length), "_pos": (F.col("_rn") - 1) % length,
-    })
-    running: dict[str, Column] = {}
-    for v, i in index.items():
-        number = F.col(v).cast("double")
-        for tag, spec in spans.items():
-            running[f"_{tag}n{i}"] = F.count(number).over(spec)
-            running[f"_{tag}m{i}"] = F.coalesce(F.avg(number).over(spec), F.lit(0.0))
-            if v in squares:
-                running[f"_{tag}v{i}"] = F.coalesce(F.var_pop(number).over(spec), F.lit(0.0))
-    out = out.withColumns(running)
-    # Small steps: a long expression that reuses its parts is compiled many times over.
-    out = out.withColumns({
-        f"_{t}q{i}": F.col(f"_{t}v{i}") * F.col(f"_{t}n{i}")
-        for t in spans for v, i in index.items() if v in squares
-    } | {f"_rn{i}": F.col(f"_wn{i}") - F.col(f"_hn{i}") for i in index.values()})
-    rests = {}
-    for v, i in index.items():
-        mean, square = _joined(f"_w{{}}{i}", f"_h{{}}{i}", F.lit(-1), f"_rn{i}")
-        rests[f"_rm{i}"] = F.coalesce(mean, F.lit(0.0))
-        if v in squares:
-            rests[f"_rq{i}"] = F.coalesce(F.greatest(square, F.lit(0.0)), F.lit(0.0))
-    out = out.withColumns(rests)
-
-    edges = {}
-    for f, rolling in enumerate(frames):
-        crosses = F.col("_pos") + (rolling.periods + 1) >= length
-        for v in rolling.values():
-            for k in kinds[v]:
-                name = f"{k}{index[v]}"
-                edges[f"_{f}{name}"] = F.when(crosses, F.col(f"_r{name}")).otherwise(F.col(f"_h{name}"))
-    kept = [f"_h{k}{index[v]}" for v in values for k in kinds[v]]
-    out = out.select(*names, "_run", "_pos", *kept, *[c.alias(n) for n, c in edges.items()])
-    out = out.withColumns({
-        f"_{f}{k}{index[v]}": F.coalesce(
-            F.lag(f"_{f}{k}{index[v]}", r.periods + 1).over(along), F.lit(0),
-        )
-        for f, r in enumerate(frames) for v in r.values() for k in kinds[v]
-    })
-
-    signs = {f: F.when(F.col("_pos") < r.periods + 1, 1).otherwise(-1) for f, r in enumerate(frames)}
-    out = out.withColumns({
-        f"_{f}t{index[v]}": F.col(f"_hn{index[v]}") + signs[f] * F.col(f"_{f}n{index[v]}")
-        for f, r in enumerate(frames) for v in r.values()
-    })
-    results = []
+    out = frame
+    results: dict[str, Column] = {}
     for f, rolling in enumerate(frames):
+        length = rolling.periods + 1
+        squares = set(rolling.deviations.values())
+        run = f"_run{f}"
+        out = out.withColumn(run, F.floor((F.col("_rn") - 1) / length))
+        same_run = W.partitionBy(*part, run)
+        spans = {
+            "h": same_run.orderBy(F.col("_rn").asc()).rowsBetween(W.unboundedPreceding, 0),
+            "t": same_run.orderBy(F.col("_rn").desc()).rowsBetween(W.unboundedPreceding, 0),
+        }
+        index = {v: i for i, v in enumerate(rolling.values())}
+        for tag, spec in spans.items():
+            running = {}
+            for v, i in index.items():
+                number = F.col(v).cast("double")
+                running[f"_{tag}n{f}_{i}"] = F.count(number).over(spec)
+                running[f"_{tag}m{f}_{i}"] = F.coalesce(F.avg(number).over(spec), F.lit(0.0))
+                if v in squares:
+                    running[f"_{tag}v{f}_{i}"] = F.coalesce(F.var_pop(number).over(spec), F.lit(0.0))
+            out = out.withColumns(running)
+        # The end of the run before, from the frame's first row on; none where the frame is one whole run.
+        along = W.partitionBy(*part).orderBy("_rn")
+        crosses = F.col("_rn") % length != 0
+        ends = [f"_t{k}{f}_{i}" for v, i in index.items() for k in ("nmv" if v in squares else "nm")]
+        out = out.withColumns({c: F.coalesce(F.when(crosses, F.lag(c, rolling.periods).over(along)), F.lit(0)) for c in ends})
+        totals = {f"_n{f}_{i}": F.col(f"_hn{f}_{i}") + F.col(f"_tn{f}_{i}") for i in index.values()}
+        out = out.withColumns(totals)
         warm = F.col("_rn") > rolling.periods
         for name, v in rolling.means.items():
-            mean, _ = _joined(f"_h{{}}{index[v]}", f"_{f}{{}}{index[v]}", signs[f], f"_{f}t{index[v]}")
-            results.append(F.when(warm, mean).alias(name))
+            n1, m1, n2, m2, n = _parts(f, index[v])
+            results[name] = F.when(warm, _weighted(n1, m1, n2, m2) / F.nullif(n, F.lit(0)))
         for name, v in rolling.deviations.items():
-            total = f"_{f}t{index[v]}"
-            _, square = _joined(f"_h{{}}{index[v]}", f"_{f}{{}}{index[v]}", signs[f], total)
-            spread = F.greatest(square, F.lit(0.0)) / F.nullif(F.greatest(F.col(total) - 1, F.lit(0)), F.lit(0))
-            results.append(F.when(warm, F.sqrt(spread)).alias(name))
-    return out.select(*names, *results)
+            n1, m1, n2, m2, n = _parts(f, index[v])
+            q1, q2 = n1 * F.col(f"_hv{f}_{index[v]}"), n2 * F.col(f"_tv{f}_{index[v]}")
+            apart = F.when((n1 == 0) | (n2 == 0), 0.0).otherwise((m1 - m2) * (m1 - m2) * n1 * n2 / n)
+            results[name] = F.when(warm, F.sqrt((q1 + q2 + apart) / F.nullif(F.greatest(n - 1, F.lit(0)), F.lit(0))))
+    return out.select(*names, *[c.alias(n) for n, c in results.items()])
+
+
+def _parts(f: int, i: int) -> list[Column]:
+    """Number and mean of a frame's beginning in its last run and of its end in the run before, and the number of both."""
+    return [F.col(c.format(f"{f}_{i}")) for c in ("_hn{}", "_hm{}", "_tn{}", "_tm{}", "_n{}")]
 
 
-def _joined(one: str, other: str, sign: Column, total: str) -> tuple[Column, Column]:
-    """Mean and squared deviation of one part with (+1) or without (-1) the other."""
-    n1, m1, q1 = (F.col(one.format(k)) for k in "nmq")
-    n2, m2, q2 = (F.col(other.format(k)) for k in "nmq")
-    n = F.nullif(F.col(total), F.lit(0))
-    return (m1 * n1 + sign * (m2 * n2)) / n, q1 + sign * (q2 + (m1 - m2) * (m1 - m2) * n1 * n2 / n)
+def _weighted(n1: Column, m1: Column, n2: Column, m2: Column) -> Column:
+    """Sum of two parts; an empty part adds nothing."""
+    return F.when(n1 == 0, m2 * n2).when(n2 == 0, m1 * n1).otherwise(m1 * n1 + m2 * n2)
 
 
 def rolling_moments(
@@ -195,7 +163,7 @@ def rolling_moments(
     """Adds rolling means and deviations, null during warm-up, for several frame lengths at once."""
 
     def step(frame: DataFrame, part: list[str], order: list[Column]) -> DataFrame:
-        return _frame_moments(frame, frames, part, order)
+        return _frame_moments(frame, frames, part)
 
     before = max(r.periods for r in frames) + 1
     return framed(
@@ -287,15 +255,16 @@ def with_relative_developments(
 
     out = framed(df, key, time, step, before=1, **options)
     if index_lag == "global":
-        # One row per date, so its order fits one task and a DATE axis may be broadcast.
-        calendar = isinstance(df.schema[time].dataType, T.DateType)
+        # One row per date, so its order fits one task and it may be broadcast.
+        if not isinstance(df.schema[time].dataType, T.DateType):
+            raise ValueError(f"{time} must be a DATE for a lag over the whole table")
         days = df.groupBy(time).agg(
             F.min(key).alias("_first_key"), *[F.max_by(i, key).alias(f"_day_{i}") for i in indices],
         )
         days = days.select(time, "_first_key", *[
             F.lag(f"_day_{i}", 1).over(W.orderBy(time)).alias(f"_previous_{i}") for i in indices
         ])
-        out = join_on_keys(out, days, [time], small=calendar)
+        out = join_on_keys(out, days, [time], small=True)
         first = F.col(key) == F.col("_first_key")
         out = out.withColumns({
             f"_last_{i}": F.when(first, F.col(f"_previous_{i}")).otherwise(F.col(i)) for i in indices

@@ -1,14 +1,14 @@
 """Daily work: refresh prices, restate histories, load fundamentals and metadata.
 
-Tables are Parquet folders.  A step reads its table, computes the new content
-lazily and leaves writing to ``write_version``, which never overwrites a
-folder that is being read.
+Tables are Parquet folders.  The steps compute new content lazily; the jobs
+upsert it into sliced tables, of which only slices with updates are written.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,18 +17,27 @@ from pyspark.sql import types as T
 from quantloom import schemas
 from quantloom.operators.filters import corporate_actions
 from quantloom.operators.windows import dedupe_latest
-from quantloom.plans.universe import selected_last_trading_day, selected_us_tickers
+from quantloom.plans.universe import (
+    select_keys,
+    selected_fundamentals,
+    selected_last_trading_day,
+    selected_us_tickers,
+)
+from quantloom.session import checkpointed
+from quantloom.sources.archive import read_zipped_csv
 from quantloom.sources.csv import (
     FILE_KEY,
     cast_to,
     dedupe_rows,
     key_from_file,
+    named_cell,
+    read_cells,
     read_csv_by_name,
     read_csv_strings,
 )
-from quantloom.sources.archive import read_zipped_csv
-from quantloom.sources.payloads import classify_payloads, ingest_report
-from quantloom.sources.tables import full_refresh, upsert
+from quantloom.sources.payloads import EMPTY_BODIES, classify_payloads, ingest_report
+from quantloom.sources.tables import full_refresh, upsert, upsert_partitions
+from quantloom.streaming import landing
 
 
 @dataclass(frozen=True)
@@ -58,32 +67,71 @@ def restate_history(
     Rows of the listed keys are replaced by their history where both have the
     date; a key whose history is missing is reported and the others continue.
     """
+    rows, failed = history_of(keys, history, order)
+    return upsert(prices, rows, schemas.DAILY_ADJUSTED_KEY), failed
+
+
+def history_of(
+    keys: DataFrame, history: DataFrame, order: Sequence[Column] = (),
+) -> tuple[DataFrame, DataFrame]:
+    """``(one row per listed key and date, listed keys without any)``."""
     wanted = keys.select(F.upper("ticker").alias("ticker")).distinct()
     rows = history.withColumn("ticker", F.upper("ticker")).join(wanted, "ticker", "left_semi")
     rows = dedupe_latest(rows, schemas.DAILY_ADJUSTED_KEY, list(order) or [F.col("adjClose").desc()])
     failed = wanted.join(rows.select("ticker").distinct(), "ticker", "left_anti")
-    return upsert(prices, rows, schemas.DAILY_ADJUSTED_KEY), failed
+    return rows, failed
 
 
 def read_landed(
     spark: SparkSession, path: str, ddl: str, wanted: DataFrame | None = None,
     key_pattern: str = FILE_KEY,
 ) -> tuple[DataFrame, DataFrame]:
-    """``(rows of good files with their key, one row per file and its class)``.
+    """``(rows of good files with their key, one row per file or wanted key and its class)``.
 
-    Only files that carry data are read, and all of them must show the header
-    of the feed.
+    The landing is scanned once: lines are kept as cells with their file, every
+    file is bound by the header that it shows itself, and a file with a ragged
+    line, a bad value, another header or no data fails alone.  A wanted key
+    without a file is failed as well.
     """
-    classified = classify_payloads(spark, path, key_pattern=key_pattern)
+    layout = T.StructType.fromDDL(ddl)
+    names = layout.fieldNames()
+    lines = read_cells(spark, path, names)
+    lines = lines.withColumn("ticker", key_from_file("path", key_pattern))
+    if wanted is not None:
+        wanted = wanted.select(F.upper("ticker").alias("ticker")).distinct()
+        lines = lines.join(wanted, "ticker", "left_semi")
+    lines = checkpointed(lines)
+    body = F.trim(F.col("cells")[0])
+    files = lines.groupBy("path", "ticker").agg(
+        F.max(F.when(F.col("is_header"), F.transform("cells", lambda c: F.trim(c)))).alias("header"), F.count(F.lit(1)).alias("n_lines"),
+        F.bool_or(F.col("ragged")).alias("ragged"), F.min(body).alias("body"),
+    )
+    data = lines.where("not is_header").join(files.where("header is not null").select("path", "header"), "path")
+    texts = {f.name: named_cell(f.name) for f in layout}
+    values = {f.name: _try_typed(texts[f.name], f.dataType) for f in layout}
+    unread = reduce(lambda x, y: x | y, [texts[n].isNotNull() & values[n].isNull() for n in names])
+    typed = data.select("path", *[values[n].alias(n) for n in names], F.col("ticker").alias("_key"), unread.alias("_unread"))
+    broken = typed.where("_unread").select("path", F.lit(True).alias("broken")).distinct()
+    single = F.col("n_lines") == 1
+    kind = (
+        F.when(single & F.col("body").isin(*EMPTY_BODIES), "empty")
+        .when(single | F.col("header").isNull() | F.col("ragged") | F.col("broken"), "failed").otherwise("ok")
+    )
+    classified = files.join(broken, "path", "left").select("path", "ticker", F.col("n_lines"), kind.alias("class"))
+    classified = checkpointed(classified)
+    rows = typed.join(classified.where("class = 'ok'").select("path"), "path", "left_semi")
+    rows = rows.select(*[c for c in names if c != "ticker"], F.col("_key").alias("ticker"))
     if wanted is not None:
-        classified = classified.join(wanted.select("ticker"), "ticker", "left_semi")
-    # File names only: the same list Spark's file index keeps on the driver.
-    good = [r["path"] for r in classified.where("class = 'ok'").select("path").toLocalIterator()]
-    if not good:
-        layout = T.StructType.fromDDL(ddl).add("ticker", T.StringType())
-        return spark.createDataFrame([], layout), classified
-    rows = read_csv_by_name(spark, good, ddl, with_file=True)
-    return rows.withColumn("ticker", key_from_file("_file", key_pattern)).drop("_file"), classified
+        found = wanted.join(classified, "ticker", "left")
+    else:  # files of no bytes have no lines, only a name
+        listed = classify_payloads(spark, path, key_pattern=key_pattern).where("n_bytes = 0")
+        found = classified.unionByName(listed.select("path", "ticker", "n_lines", "class"))
+    return rows, found.select("path", "ticker", F.coalesce("n_lines", F.lit(0)).cast("bigint").alias("n_lines"), F.coalesce("class", F.lit("failed")).alias("class"))
+
+
+def _try_typed(text: Column, kind: T.DataType) -> Column:
+    """The value of a cell, timestamps accepted for dates; null where it has none."""
+    return (text.try_cast(T.TimestampNTZType()) if isinstance(kind, T.DateType) else text).try_cast(kind)
 
 
 def load_fundamentals(
@@ -107,28 +155,21 @@ def update_metadata(
     return upsert(meta, rows, schemas.FUNDAMENTALS_META_KEY), rows
 
 
-def write_version(df: DataFrame, root: str, version: str) -> str:
-    """Writes a new version folder and returns its path; readers keep the old one."""
-    path = f"{root.rstrip('/')}/version={version}"
-    df.write.mode("errorifexists").parquet(path)
-    return path
-
-
 @dataclass(frozen=True)
 class DailyReport:
-    prices_path: str
     n_restated: int
     failed: DataFrame
 
 
 def run_daily(
     spark: SparkSession, archives: str, snapshot: str, histories: str, prices_path: str, root: str,
-    version: str,
 ) -> DailyReport:
-    """The daily job from landed files to a new price version.
+    """The daily job from landed files into the price table.
 
     Universe and snapshot replace their tables; selected prices are upserted;
     tickers with a split or dividend are restated from their history files.
+    Only slices that receive rows are written, and a repeated run gives the
+    same table.
     """
     tickers, rejects = read_zipped_csv(spark, archives, schemas.SUPPORTED_TICKERS_DDL)
     problem = rejects.first()
@@ -138,26 +179,48 @@ def run_daily(
     full_refresh(
         read_csv_by_name(spark, snapshot, schemas.LAST_TRADING_DAY_DDL), f"{root}/last_trading_day",
     )
-    done = daily_refresh(
-        spark.read.parquet(f"{root}/supported_tickers"),
-        spark.read.parquet(f"{root}/last_trading_day"), spark.read.parquet(prices_path),
-    )
-    history, _ = read_landed(spark, histories, schemas.PRICE_HISTORY_DDL, wanted=done.restate)
-    restated, failed = restate_history(done.prices, done.restate, history)
-    path = write_version(restated, f"{root}/daily_adjusted", version)
-    return DailyReport(path, done.restate.count() - failed.count(), failed)
+    universe = selected_us_tickers(spark.read.parquet(f"{root}/supported_tickers"))
+    selected = checkpointed(selected_last_trading_day(spark.read.parquet(f"{root}/last_trading_day"), universe))
+    columns = landing.read_table(spark, prices_path).columns
+
+    def into_table(rows: DataFrame) -> None:
+        upsert_partitions(
+            spark, prices_path, landing.with_partition(rows.select(*columns)), schemas.DAILY_ADJUSTED_KEY, landing.PARTITION,
+        )
+
+    into_table(selected)
+    restate = corporate_actions(selected).select("ticker")
+    history, _ = read_landed(spark, histories, schemas.PRICE_HISTORY_DDL, wanted=restate)
+    rows, failed = history_of(restate, history)
+    into_table(rows)
+    return DailyReport(restate.count() - failed.count(), failed)
 
 
 def run_fundamentals(
-    spark: SparkSession, landing: str, table_path: str, root: str, version: str,
-    keys: Sequence[str], ddl: str, wanted: DataFrame | None = None,
-) -> tuple[str, DataFrame]:
-    """``(path of the new version, report of processed and empty keys per batch)``."""
-    merged, classified = load_fundamentals(
-        spark, landing, spark.read.parquet(table_path), keys, ddl, wanted,
+    spark: SparkSession, folder: str, table_path: str, keys: Sequence[str], ddl: str,
+    time: str = "date", wanted: DataFrame | None = None,
+) -> DataFrame:
+    """Upserts landed files into a sliced table; the report counts keys per batch."""
+    rows, classified = read_landed(spark, folder, ddl, wanted)
+    columns = landing.read_table(spark, table_path).columns
+    updates = dedupe_rows(rows).select(*columns)
+    order = [F.col(c).desc() for c in columns if c not in keys]
+    upsert_partitions(
+        spark, table_path, landing.with_partition(updates, time), keys, landing.PARTITION, order,
     )
     if wanted is not None and "batch" in wanted.columns:
-        classified = classified.join(wanted.select("ticker", "batch"), "ticker")
+        batches = wanted.select(F.upper("ticker").alias("ticker"), "batch").distinct()
+        classified = classified.join(batches, "ticker")
     else:
         classified = classified.withColumn("batch", F.lit(0).cast("bigint"))
-    return write_version(merged, root, version), ingest_report(classified)
+    return ingest_report(classified)
+
+
+def update_fundamentals(
+    spark: SparkSession, meta: DataFrame, universe: DataFrame, folder: str, table_path: str,
+    keys: Sequence[str], ddl: str, time: str = "date", **selection,
+) -> DataFrame:
+    """The fundamentals job from key selection to report; ``selection`` goes to ``select_keys``."""
+    companies = selected_fundamentals(meta, universe)
+    wanted = checkpointed(select_keys(companies, **selection))
+    return run_fundamentals(spark, folder, table_path, keys, ddl, time, wanted)

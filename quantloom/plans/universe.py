@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from quantloom.operators.filters import (
     exclude_keys,
     filter_universe,
-    include_keys,
     lookback,
     skip_existing,
 )
@@ -66,7 +65,9 @@ def select_keys(
     upper case; batches.
     """
     if tickers:
-        keys = include_keys(companies.select(key).distinct(), key, tickers)
+        # As they are given: a key that is not in the table yet is loaded too.
+        given = sorted({t.upper() for t in tickers})
+        keys = companies.sparkSession.createDataFrame([(t,) for t in given], f"{key} string")
     else:
         rows = lookback(companies, updated, lookback_days, as_of) if updated else companies
         keys = rows.select(key).distinct()

@@ -25,7 +25,7 @@ def _rows_of(path: str, content: bytes) -> Iterator[tuple[int, list[str] | None,
         return
     names = archive.namelist()
     if len(names) != 1:
-        yield 0, None, f"expected exactly one file in the zip archive, but found {len(names)}"
+        yield 0, None, f"the archive holds {len(names)} files instead of 1"
         return
     with archive.open(names[0]) as member:
         text = io.TextIOWrapper(member, encoding="utf-8", newline="")

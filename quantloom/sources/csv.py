@@ -8,11 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quantloom.operators.setops import union_all
-
-# Different header lines one feed may show.
-MAX_LAYOUTS = 100
-
 # Comma separated, double quote as quote and escape.
 _FORMAT = {"header": "true", "sep": ",", "quote": '"', "escape": '"'}
 
@@ -57,32 +52,38 @@ def cast_to(df: DataFrame, ddl: str, strict: bool = True) -> DataFrame:
     return df.select(*out)
 
 
-def file_layouts(spark: SparkSession, path: str | Sequence[str]) -> dict[str, list[str]]:
-    """Header line -> files that carry it.
+def read_cells(spark: SparkSession, path: str | Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Lines of a feed as text: file, cells, whether the line is ragged, and whether it is the header.
 
-    The header is the line at byte offset zero; only the (few) distinct headers
-    and the file names reach the driver, as in any file listing.
+    The header is any line whose cells are the column names, in whatever order.
     """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
-        F.col("value"), F.monotonically_increasing_id().alias("position"),
+    cells = [f"c{i}" for i in range(len(names))]
+    lines = (
+        spark.read.options(**{**_FORMAT, "header": "false"}).option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "_bad").option("recursiveFileLookup", "true")
+        .schema(", ".join([*(f"{c} string" for c in cells), "_bad string"])).csv(path)
+        .select(F.col("_metadata.file_path").alias("path"), F.array(*cells).alias("cells"), F.col("_bad").isNotNull().alias("ragged"))
     )
-    # The first split of a file holds its header as the first line.
-    heads = (
-        lines.where("at = 0").groupBy("file").agg(F.min_by("value", "position").alias("header"))
-    )
-    layouts = heads.groupBy("header").agg(F.collect_list("file").alias("files"))
-    rows = layouts.limit(MAX_LAYOUTS + 1).collect()
-    if len(rows) > MAX_LAYOUTS:
-        raise ValueError("files have too many different headers")
-    return {r["header"]: sorted(r["files"]) for r in rows}
+    sorted_names = F.array(*[F.lit(n) for n in sorted(names)])
+    is_header = F.array_sort(F.transform("cells", lambda c: F.trim(c))) == sorted_names
+    return lines.withColumn("is_header", F.coalesce(is_header, F.lit(False)))
+
+
+def named_cell(name: str) -> Column:
+    """The cell of a column, by the ``header`` array that the row carries."""
+    return F.element_at("cells", F.array_position("header", name).cast("int"))
+
+
+def headers(lines: DataFrame) -> DataFrame:
+    """(path, header) of every file that shows one."""
+    return lines.where("is_header").groupBy("path").agg(F.first(F.transform("cells", lambda c: F.trim(c))).alias("header"))
 
 
 def first_header(spark: SparkSession, path: str | Sequence[str]) -> str:
     """Header line of one file; stops at the first line found."""
     line = spark.read.text(path).where(F.col("_metadata.file_block_start") == 0).first()
     if line is None:
-        raise ValueError("received empty CSV data")
+        raise ValueError("no file in the landing has a line")
     return line["value"]
 
 
@@ -101,27 +102,33 @@ def read_csv_by_name(
     """A feed of many files whose columns may come in any order, bound by name.
 
     One header is read ahead and every file is checked against it while it is
-    read.  ``mixed`` allows different orders within the feed, at the price of a
-    pass that collects the distinct headers.
+    read.  ``mixed`` allows another order in every file: headers travel as rows,
+    one for each file, and meet the lines of their file in a join.  A bad value,
+    a ragged line and a file without the header fail the read.
     """
-    if mixed:
-        groups = sorted(file_layouts(spark, path).items())
-        if not groups:
-            raise ValueError("received empty CSV data")
-    else:
-        groups = [(first_header(spark, path), path)]
-    names = T.StructType.fromDDL(ddl).fieldNames()
-    parts = []
-    for header, files in groups:
+    if not mixed:
+        layout = _layout(first_header(spark, path), ddl)
         part = (
             spark.read.options(**_FORMAT).option("mode", "FAILFAST")
-            .option("enforceSchema", "false").schema(_layout(header, ddl)).csv(files)
+            .option("enforceSchema", "false").schema(layout).csv(path)
         )
-        columns = [F.col(f"`{n}`") for n in names]
-        if with_file:
-            columns.append(F.col("_metadata.file_path").alias("_file"))
-        parts.append(part.select(*columns))
-    return union_all(parts)
+        columns = [F.col(f"`{n}`") for n in T.StructType.fromDDL(ddl).fieldNames()]
+        return part.select(*columns, *[F.col("_metadata.file_path").alias("_file")] * with_file)
+    layout = T.StructType.fromDDL(ddl)
+    lines = read_cells(spark, path, layout.fieldNames())
+    data = lines.where("not is_header").join(headers(lines), "path", "left")
+    problem = (
+        F.when(F.col("header").isNull(), "no header in ").when(F.col("ragged"), "ragged line in ")
+    )
+    checked = data.withColumn("cells", F.when(problem.isNull(), F.col("cells")).otherwise(
+        F.raise_error(F.concat(problem, F.col("path"))).cast("array<string>"),
+    ))
+    typed = checked.select(*[named_cell(n).alias(n) for n in layout.fieldNames()], F.col("path").alias("_file"))
+    out = cast_to(typed, ddl)
+    if not with_file:
+        return out
+    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in layout]
+    return typed.select(*columns, "_file")
 
 
 def with_key_column(df: DataFrame, key: str, name: str = "ticker") -> DataFrame:
@@ -129,8 +136,8 @@ def with_key_column(df: DataFrame, key: str, name: str = "ticker") -> DataFrame:
     return df.withColumn(name, F.lit(key))
 
 
-# The leading part of a file name such as ``AAPL_1995-01-01.csv``.
-FILE_KEY = r"([^/_.]+)[^/]*$"
+# A file name without the start date and the extension, such as ``BRK.A_1995-01-01.csv``.
+FILE_KEY = r"([^/]+?)(?:_\d{4}-\d{2}-\d{2})?(?:\.(?:csv|txt|json))?(?:\.gz)?$"
 
 
 def key_from_file(path: Column | str, pattern: str = FILE_KEY) -> Column:

@@ -44,25 +44,36 @@ def upsert(
     return kept.unionByName(updates)
 
 
+def with_slice(df: DataFrame, key: str, time: str, buckets: int, name: str = "slice") -> DataFrame:
+    """Adds the partition of a keyed time series: year and hash bucket of the key.
+
+    A daily load touches the slices of one year, a restated key one bucket of
+    every year.  It is never null; rows without a time share a slice per bucket.
+    """
+    year = F.coalesce(F.year(time).cast("string"), F.lit("none"))
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("string")
+    return df.withColumn(name, F.concat(F.lit("y"), year, F.lit("-b"), bucket))
+
+
 def upsert_partitions(
     spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str], partition: str,
     order: Sequence[Column] | None = None,
 ) -> None:
     """Upserts into a Parquet table partitioned by ``partition``, which must follow from the keys.
 
-    Only partitions that receive updates are read and written again.  The
-    partition list is a scalar-size filter, so the scan is pruned; the rest of
-    the table is not touched.  Task retries are safe, since new files replace
+    Only partitions that receive updates are written again.  They are found by
+    a semi join, which prunes the scan where the partitions are few; a null
+    partition is one of them.  Task retries are safe, since new files replace
     old ones only when all are written; where readers need one switch for the
     whole table, write a new version folder instead.
     """
     if order is not None:
         updates = dedupe_latest(updates, keys, order)
     table = spark.read.parquet(path)
-    touched = [r[0] for r in updates.select(partition).distinct().limit(10_001).collect()]
-    if not touched:
-        return
-    old = table.where(F.col(partition).isin(touched)) if len(touched) <= 10_000 else table
+    touched = updates.select(partition).distinct()
+    named = table.join(touched.where(F.col(partition).isNotNull()), partition, "left_semi")
+    unnamed = table.where(F.col(partition).isNull() & touched.where(F.col(partition).isNull()).exists())
+    old = named.select(*table.columns).unionByName(unnamed.select(*table.columns))
     merged = upsert(old, updates, keys)
     # Rebalanced by AQE: few files for a small partition, several tasks for a large one.
     (

@@ -8,11 +8,13 @@ import statistics
 
 import pytest
 from conftest import rows
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quantloom.functions import macros
 from quantloom.operators import windows
-from quantloom.operators.joins import asof_join
+from quantloom.operators.joins import asof_join, join_calendar
+from quantloom.operators.skew import find_hot_keys, with_exact_row_number, with_slices
 from quantloom.operators.windows import Rolling
 
 SKEWED = {"hot": 400, "warm": 40, "one": 1, "exact": 6, "short": 5}
@@ -180,3 +182,43 @@ def test_dedupe_reduces_before_the_shuffle(spark, series):
     df = _frame(spark, series)
     plan = windows.latest_per_key(df, "key", "t")._jdf.queryExecution().executedPlan().toString()
     assert "row_number(), 1, Partial" in plan
+
+
+@pytest.mark.parametrize("limit", [None, 60])
+def test_nan_infinity_and_outliers_leave_with_their_row(spark, limit):
+    draw = random.Random(7)
+    values = [round(draw.uniform(1, 2), 3) for _ in range(200)]
+    values[5], values[40], values[90], values[91] = float("nan"), 1e17, float("inf"), float("-inf")
+    df = spark.createDataFrame([("k", i, v) for i, v in enumerate(values)], "key string, t int, v double")
+    frames = [Rolling(4, {"m4": "v"}, {"d4": "v"}), Rolling(17, {"m17": "v"}, {"d17": "v"})]
+    got = windows.rolling_moments(df, "key", "t", frames, max_group_rows=limit)
+    plain = df
+    for n in (4, 17):
+        spec = W.partitionBy("key").orderBy("t").rowsBetween(-n, 0)
+        warm = F.row_number().over(W.partitionBy("key").orderBy("t")) > n
+        plain = plain.withColumns({f"m{n}": F.when(warm, F.avg("v").over(spec)), f"d{n}": F.when(warm, F.stddev_samp("v").over(spec))})
+    names = ("m4", "d4", "m17", "d17")
+    want = {r["t"]: [r[c] for c in names] for r in plain.collect()}
+    for r in got.collect():
+        for one, other in zip([r[c] for c in names], want[r["t"]]):
+            assert (one is None and other is None) or (math.isnan(one) and math.isnan(other)) or math.isclose(one, other, rel_tol=1e-9), (r, want[r["t"]])
+
+
+def test_one_instant_of_a_hot_key_is_cut(spark):
+    df = spark.range(1000).select(F.lit("k").alias("key"), F.lit(5).alias("t"), F.col("id").alias("v"))
+    hot = find_hot_keys(df, ["key"], 100)
+    sizes = [r["count"] for r in with_slices(df, hot, ["t"]).groupBy("_slice").count().collect()]
+    assert len(sizes) >= 8 and max(sizes) < 300
+    numbered = with_exact_row_number(with_slices(df, hot, ["t"]), hot, [F.col("t")])
+    assert sorted(r["_rn"] for r in numbered.collect()) == list(range(1, 1001))
+    left = df.select("key", F.col("t").alias("at"), F.col("v").alias("id"))
+    got = asof_join(left, df, ["key"], "at", "t", tie_break=["v"], max_group_rows=100)
+    assert got.where("v <> 999").count() == 0 and got.count() == 1000
+
+
+def test_a_calendar_day_must_not_occur_twice(spark):
+    df = spark.sql("select date '2020-01-01' as d, 1 as x")
+    days = spark.sql("select date '2020-01-01' as d, 2.0 as i")
+    assert rows(join_calendar(df, days, "d"), "x", "i") == [(1, 2)]
+    with pytest.raises(Exception, match="occurs twice"):
+        join_calendar(df, days.unionByName(days), "d").collect()
