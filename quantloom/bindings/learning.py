@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from quantloom.bindings.registry import bind, table
 from quantloom.models import boosting
+from quantloom.operators.filters import latest_only
+from quantloom.session import scratch_path
 
 TARGET = "excess_return_ln_12m"
 ITERATIONS = 6
@@ -153,3 +155,34 @@ def _(spark, d):
     return out.select(
         "ticker", "date", "feature", "pred_col", F.round("actual_value_log", 6).alias("actual_value_log"),
     )
+
+
+@bind("training_job", "I8 K13", f"""
+    with latest as (
+      select * from samples qualify row_number() over (partition by ticker order by date desc) = 1)
+    select ticker, date, feature, cast({TARGET} as float) as actual_value_log,
+      cast(exp({TARGET}) as float) as actual_value, true as adds_up
+    from latest, {_FEATURES}""")
+def _(spark, d):
+    """Published twice: the second run replaces the first one's rows."""
+    path = scratch_path(spark, "predictions")
+    boosting.create_predictions(spark, path)
+    out = boosting.latest_predictions(table(spark, d, "samples"), _model(spark, d), permutations=4)
+    boosting.publish_predictions(out.withColumn("shap_value", F.lit(0.0)), path)
+    boosting.publish_predictions(out, path)
+    stored = latest_only(spark.read.parquet(path), "trained_date")
+    total = F.sum("shap_value").over(W.partitionBy("ticker", "date", "pred_col")) + F.col("bias")
+    return stored.select(
+        "ticker", "date", "feature", "actual_value_log", "actual_value",
+        (F.abs(total - F.col("predicted_value_log")) < 1e-5).alias("adds_up"),
+    )
+
+
+@bind("category_means", "I2", f"""
+    with {_SPLIT}, train as (
+      select sector, {TARGET} as y from samples join parts using (ticker, date) where split = 'train')
+    select coalesce(sector, 'None') as category, count(*) as n, round(avg(y), 6) as mean_target from train group by 1""")
+def _(spark, d):
+    sums = _model(spark, d).categories.where("feature = 'sector'")
+    number, total = F.col("n0") + F.col("n1"), F.col("s0") + F.col("s1")
+    return sums.select("category", number.alias("n"), F.round(total / number, 6).alias("mean_target"))

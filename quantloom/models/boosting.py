@@ -1,7 +1,8 @@
 """One boosted regressor per horizon, with uncertainty and per-feature attributions.
 
 Training, scoring and attribution are Spark ML and DataFrame jobs; the driver
-holds the model and a few numbers per feature, never rows.
+holds the trees and a few numbers per feature.  Category means are a table of
+their own, grouped and joined by Spark, whatever the number of categories.
 """
 
 from __future__ import annotations
@@ -13,11 +14,9 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.ml import PipelineModel, Pipeline
-from pyspark.ml.feature import StringIndexer, TargetEncoder
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quantloom.functions.scalars import back_transform, hash_unit, predicted_std
@@ -25,7 +24,10 @@ from quantloom.operators.filters import drop_null_target, normalise_types, requi
 from quantloom.operators.reshape import rmse, unpivot_features
 from quantloom.operators.setops import other_columns, union_all
 from quantloom.operators.windows import latest_per_key
+from quantloom.schemas import PREDICTIONS_DDL, PREDICTIONS_KEY
 from quantloom.session import checkpointed
+from quantloom.sources.csv import cast_to
+from quantloom.sources.tables import upsert_partitions
 
 # What a model must not see, and how it is trained.
 TARGETS = (
@@ -39,6 +41,8 @@ DEPTH, LEARNING_RATE = 6, 0.15
 ITERATIONS = {"prod": 2000, "dev": 200, "test": 1}
 # Below every real value, as trees order missing numbers first.
 MISSING = -1e30
+# Rows that a category's mean borrows from the overall mean.
+SMOOTHING = 10.0
 # Mean of log(z^2) for a standard normal z, with the sign turned.
 LOG_CHI2_SHIFT = 1.2703628454614782
 
@@ -85,7 +89,8 @@ class HorizonModel:
     seed: int
     features: list[str]
     categorical: list[str]
-    encoder: PipelineModel
+    categories: DataFrame
+    prior: float
     mean: GBTRegressionModel
     variance: GBTRegressionModel
     baseline: list[float]
@@ -108,28 +113,37 @@ def _numeric(df: DataFrame, features: Sequence[str], categorical: Sequence[str])
     return df.withColumns(columns)
 
 
-def _encoder(
-    train: DataFrame, categorical: Sequence[str], target: str,
-) -> PipelineModel:
-    """Turns each category into its smoothed mean target."""
-    stages = []
-    if categorical:
-        indexed = [f"_i_{c}" for c in categorical]
-        stages += [
-            StringIndexer(
-                inputCols=[f"_c_{c}" for c in categorical], outputCols=indexed,
-                handleInvalid="keep",
-            ),
-            TargetEncoder(
-                inputCols=indexed, outputCols=[f"_f_{c}" for c in categorical], labelCol=target,
-                targetType="continuous", handleInvalid="keep", smoothing=10.0,
-            ),
-        ]
-    return Pipeline(stages=stages).fit(train)
+def _category_sums(train: DataFrame, categorical: Sequence[str], target: str) -> DataFrame:
+    """(feature, category, sum and number of targets in either half of the training rows)."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"_c_{c}").alias("category")) for c in categorical])
+    long = train.select(F.inline(pairs.cast("array<struct<feature:string,category:string>>")), "_fold", F.col(target).alias("_y"))
+    half = lambda k: F.col("_fold") == k
+    return long.groupBy("feature", "category").agg(
+        *[F.sum(F.when(half(k), F.col("_y")).otherwise(0.0)).alias(f"s{k}") for k in (0, 1)],
+        *[F.count_if(half(k)).alias(f"n{k}") for k in (0, 1)],
+    )
+
+
+def _encode(
+    df: DataFrame, categories: DataFrame, prior: float, categorical: Sequence[str],
+) -> DataFrame:
+    """Each category as its smoothed mean target.
+
+    A training row (``_fold`` 0 or 1) takes the mean of the other half, so its
+    own target is no part of it; all other rows take the mean of both.
+    """
+    out = df
+    for c in categorical:
+        own = categories.where(F.col("feature") == c).select(F.col("category").alias(f"_c_{c}"), "s0", "s1", "n0", "n1")
+        joined = out.join(own, f"_c_{c}", "left")
+        picked = lambda x: F.when(F.col("_fold") == 0, F.col(f"{x}1")).when(F.col("_fold") == 1, F.col(f"{x}0")).otherwise(F.col(f"{x}0") + F.col(f"{x}1"))
+        total, number = F.coalesce(picked("s"), F.lit(0.0)), F.coalesce(picked("n"), F.lit(0))
+        out = joined.withColumn(f"_f_{c}", (total + SMOOTHING * prior) / (number + SMOOTHING)).drop("s0", "s1", "n0", "n1")
+    return out
 
 
 def _with_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """The numbers as one vector, free of the nominal marks that encoders leave behind."""
+    """The numbers as one vector."""
     numbers = F.array(*[F.col(f"_f_{c}").cast("double") for c in features])
     return df.withColumn("_features", array_to_vector(numbers))
 
@@ -147,38 +161,48 @@ def train_horizon(
     df: DataFrame, target: str, seed: int = 0, iterations: int = ITERATIONS["dev"],
     identity: Sequence[str] = IDENTITY, labels: Sequence[str] = LABEL_COLUMNS,
 ) -> HorizonModel:
-    """Fits the mean, then the log variance of its residuals.
+    """Fits the mean, then the log variance of residuals that the mean did not see.
 
-    Boosting stops when the validation error no longer falls.
+    Boosting stops when the validation error no longer falls.  For the variance
+    either half of the training rows is predicted by a model of the other half.
     """
     rows = split(training_frame(normalise_types(df), target, labels), seed, identity=identity)
     features = feature_names(rows, target, labels, identity)
     kinds = dict(rows.dtypes)
     categorical = [c for c in features if kinds[c] not in ("double", "float")]
-    usable = _numeric(rows.where("split <> 'test'"), features, categorical).withColumn(
-        "_validation", F.col("split") == "validation",
-    )
-    encoder = _encoder(usable.where("split = 'train'"), categorical, target)
+    fold = F.when(F.col("split") == "train", F.when(hash_unit(*identity, seed=seed + 2) < 0.5, 0).otherwise(1))
+    usable = _numeric(rows.where("split <> 'test'"), features, categorical).withColumns({
+        "_validation": F.col("split") == "validation", "_fold": fold,
+    })
+    train = usable.where("split = 'train'")
+    categories = checkpointed(_category_sums(train, categorical, target)) if categorical else None
+    prior = float(train.agg(F.avg(target)).first()[0] or 0.0)
     encoded = checkpointed(
-        _with_features(encoder.transform(usable), features)
-        .select(target, "_validation", "_features"),
+        _with_features(_encode(usable, categories, prior, categorical), features)
+        .select(target, "_validation", "_fold", "_features"),
     )
     mean = _booster(target, target, iterations, seed).fit(encoded)
+    unseen = [mean.transform(encoded.where("_validation"))]
+    for k in (0, 1):
+        other = _booster(target, target, iterations, seed).fit(encoded.where(F.col("_validation") | (F.col("_fold") != k)))
+        unseen.append(other.transform(encoded.where(F.col("_fold") == k)))
     squared = F.pow(F.col(target) - F.col("_prediction"), 2)
-    residuals = mean.transform(encoded).select(
+    residuals = union_all(unseen).select(
         "_validation", "_features", F.ln(F.greatest(squared, F.lit(1e-12))).alias("_log_square"),
     )
-    variance = _booster("_log_square", target, iterations, seed).fit(residuals)
+    variance = _booster("_log_square", target, iterations, seed).fit(checkpointed(residuals))
     values = vector_to_array("_features")
-    means = encoded.agg(*[F.avg(values[i]).alias(str(i)) for i in range(len(features))]).first()
-    return HorizonModel(
-        target, seed, features, categorical, encoder, mean, variance, [float(m) for m in means],
-    )
+    means = encoded.agg(*[
+        F.avg(F.when(values[i] != MISSING, values[i])).alias(str(i)) for i in range(len(features))
+    ]).first()
+    baseline = [MISSING if m is None else float(m) for m in means]
+    return HorizonModel(target, seed, features, categorical, categories, prior, mean, variance, baseline)
 
 
 def _encoded(df: DataFrame, model: HorizonModel) -> DataFrame:
     numeric = _numeric(normalise_types(df), model.features, model.categorical)
-    return _with_features(model.encoder.transform(numeric), model.features)
+    scored = _encode(numeric.withColumn("_fold", F.lit(None).cast("int")), model.categories, model.prior, model.categorical)
+    return _with_features(scored, model.features)
 
 
 def score(
@@ -354,3 +378,25 @@ def train_all(
 
 def all_predictions(df: DataFrame, models: Mapping[str, HorizonModel], **options) -> DataFrame:
     return union_all([latest_predictions(df, m, **options) for m in models.values()])
+
+
+def create_predictions(spark: SparkSession, path: str) -> None:
+    """An empty table of predictions, partitioned by the day of training."""
+    layout = spark.createDataFrame([], PREDICTIONS_DDL).drop("trained_date")
+    layout.coalesce(1).write.parquet(f"{path}/trained_date=1970-01-01")
+
+
+def publish_predictions(rows: DataFrame, path: str) -> None:
+    """Upserts long predictions into the table, in its own types."""
+    typed = cast_to(rows, PREDICTIONS_DDL)
+    upsert_partitions(rows.sparkSession, path, typed, PREDICTIONS_KEY, "trained_date")
+
+
+def train_and_publish(
+    df: DataFrame, path: str, targets: Sequence[str] = TRAINED_TARGETS, seed: int = 0,
+    iterations: int = ITERATIONS["dev"], **options,
+) -> dict[str, HorizonModel]:
+    """The training job: a model per horizon, the latest predictions of all into the table."""
+    models = train_all(df, targets, seed, iterations)
+    publish_predictions(all_predictions(df, models, **options), path)
+    return models

@@ -103,7 +103,7 @@ def test_long_predictions(frame, model):
     assert out.where("sector" == F.col("feature")).where("feature_value = 'None'").count() > 0
     since = boosting.latest_predictions(frame, model, start="2023-01-01")
     assert since.select("date").distinct().count() > 1
-    with pytest.raises(ValueError, match="no data"):
+    with pytest.raises(ValueError, match="no rows from"):
         boosting.latest_predictions(frame, model, start="2099-01-01")
 
 
@@ -132,3 +132,43 @@ def test_train_all_and_relevant(spark, frame):
     assert rows(kept.select("ticker", "name").distinct()) == [("T1", "One")]
     assert predictions.preds_per_horizon(kept).count() == 3
     assert predictions.forecasts(kept, ["t1"], jitter_days=20).count() == 3
+
+
+def test_missing_values_do_not_shift_the_baseline(frame, model):
+    noise = model.baseline[model.features.index("noise")]
+    assert 0.4 < noise < 0.6
+    bias = boosting.attributions(frame.where("ticker = 'T1'"), model).first()["bias"]
+    center = boosting.score(frame, model).agg(F.avg("predicted_value_log")).first()[0]
+    assert abs(bias - center) < 0.2
+
+
+def test_a_category_of_every_row_teaches_nothing(spark):
+    """Encoded out of fold, a column with as many values as rows is no leak of the target."""
+    rows_ = spark.range(1500).select(
+        F.concat(F.lit("T"), F.col("id") % 50).alias("ticker"),
+        F.date_add(F.lit("2014-01-01").cast("date"), F.floor(F.col("id") / 50).cast("int")).alias("date"),
+        F.lit("n").alias("name"), F.col("id").cast("string").alias("code"), ((F.col("id") * 37) % 101 / 50.0).alias("margin"),
+    )
+    value = F.col("margin") / 2 + (F.crc32("code") % 1000) / 1000.0
+    learned = boosting.train_horizon(rows_.withColumns({t: value for t in boosting.TARGETS}), TARGET, seed=2, iterations=8)
+    weights = dict(zip(learned.features, learned.mean.featureImportances.toArray()))
+    assert weights["margin"] > 0.9
+    scored = boosting.split(boosting.training_frame(rows_.withColumns({t: value for t in boosting.TARGETS}), TARGET), 2).where("split = 'test'")
+    band = boosting.score(scored, learned).select(F.avg((F.abs(F.col("actual_value_log") - F.col("predicted_value_log")) <= 2 * F.sqrt("variance")).cast("double")))
+    assert band.first()[0] > 0.8
+
+
+def test_the_training_job_fills_a_table_that_is_pruned(spark, scratch, frame, model):
+    path = f"{scratch.path}/predictions"
+    boosting.create_predictions(spark, path)
+    assert spark.read.parquet(path).count() == 0
+    old = boosting.latest_predictions(frame, model).withColumn("trained_date", F.lit("2020-02-02").cast("date"))
+    boosting.publish_predictions(old, path)
+    boosting.train_and_publish(frame.where("ticker in ('T1', 'T2')"), path, targets=[TARGET], iterations=2)
+    table = spark.read.parquet(path)
+    assert dict(table.dtypes)["shap_value"] == "float" and table.select("trained_date").distinct().count() == 2
+    meta = spark.sql("select 't1' as ticker, true as isActive, 'N' as name, 's' as sector, 'i' as industry, 'x' as sicSector, 'l' as location, date '2020-01-01' as statementLastUpdated, 1 as permaTicker")
+    got = predictions.relevant_preds(table, meta, one_company=False)
+    assert {r["trained_date"] for r in got.collect()} == {table.agg(F.max("trained_date")).first()[0]}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(trained_date" in plan
