@@ -9,7 +9,7 @@ from quantloom.bindings.registry import bind, table
 from quantloom.bindings.standins import METRIC_NAMES
 from quantloom.plans import features, predictions, refresh, universe
 from quantloom.session import scratch_path
-from quantloom.sources.tables import full_refresh
+from quantloom.sources.tables import full_refresh, upsert_partitions
 from quantloom.streaming import landing
 
 # ---- universe and refresh -------------------------------------------------------------------
@@ -401,6 +401,10 @@ def _relevant(spark, d):
     return predictions.relevant_preds(table(spark, d, "predictions"), table(spark, d, "meta"))
 
 
+def _horizons(spark, d):
+    return predictions.relevant_horizons(table(spark, d, "predictions"), table(spark, d, "meta"))
+
+
 @bind("relevant_preds", "K13 C7 C8", f"with {_RELEVANT} select * from relevant")
 def _(spark, d):
     return _relevant(spark, d)
@@ -421,7 +425,7 @@ def _(spark, d):
 
 @bind("preds_per_horizon", "K15 H3 F4", f"with {_RELEVANT}, {_PER_HORIZON} select * from per_horizon")
 def _(spark, d):
-    return predictions.preds_per_horizon(_relevant(spark, d))
+    return predictions.preds_per_horizon(_horizons(spark, d))
 
 
 @bind("top_features", "K16 F2", f"""
@@ -439,7 +443,7 @@ def _(spark, d):
       predicted_value + 2 * predicted_std as band_high
     from relevant where ticker in ('T4', 'T5', 'T6', 'T7')""")
 def _(spark, d):
-    return predictions.forecasts(_relevant(spark, d), ["t4", "T5", "T6", "t7"])
+    return predictions.forecasts(_horizons(spark, d), ["t4", "T5", "T6", "t7"])
 
 
 @bind("stock_picker", "K18 B12 D7 D8", f"""
@@ -448,7 +452,7 @@ def _(spark, d):
       and predicted_value between 0.9 and 1.1 and predicted_std between 0 and 0.5""")
 def _(spark, d):
     return predictions.stock_picker(
-        _relevant(spark, d),
+        _horizons(spark, d),
         {"pred_horizon": ["12m", "36m"], "sector": ["ASIA", "AFRICA"], "industry": []},
         {"predicted_value": (0.9, 1.1), "predicted_std": (0, 0.5)},
     )
@@ -460,7 +464,7 @@ def _(spark, d):
       from per_horizon where sector = 'ASIA')
     select * exclude (i) from numbered where i in (1, 5, 20)""")
 def _(spark, d):
-    return predictions.stock_picker(_relevant(spark, d), {"sector": ["ASIA"]}, positions=[1, 5, 20])
+    return predictions.stock_picker(_horizons(spark, d), {"sector": ["ASIA"]}, positions=[1, 5, 20])
 
 
 @bind("price_summary", "K19 D6 B8", """
@@ -551,6 +555,36 @@ def _(spark, d):
     return landing.read_table(spark, target)
 
 
+@bind("upsert_null_partition", "A9 J1", """
+    select o_orderkey, case when o_orderpriority = '1-URGENT' then null else o_orderpriority end as priority,
+      case when o_orderpriority = '1-URGENT' and o_orderkey % 2 = 0 then o_totalprice + 1 else o_totalprice end as o_totalprice
+    from orders""")
+def _(spark, d):
+    """Updates of a null partition: its other rows stay."""
+    path = scratch_path(spark, "null_parts")
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    o = table(spark, d, "orders").select("o_orderkey", F.when(~urgent, F.col("o_orderpriority")).alias("priority"), "o_totalprice")
+    o.write.partitionBy("priority").parquet(path)
+    late = o.where("priority is null and o_orderkey % 2 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    upsert_partitions(spark, path, late, ["o_orderkey"], "priority")
+    return spark.read.parquet(path).select("o_orderkey", "priority", "o_totalprice")
+
+
+@bind("daily_upsert", "A9 K5", f"""
+    with {_UNIVERSE}, {_SELECTED}
+    select date, close, adjClose, adjVolume, ticker from stock_prices
+    where (ticker, date) not in (select (ticker, date) from selected)
+    union all select date, close, adjClose, adjVolume, ticker from selected""")
+def _(spark, d):
+    """The selected prices of the day into the sliced price table."""
+    prices = table(spark, d, "stock_prices").select("date", "close", "adjClose", "adjVolume", "ticker")
+    path = scratch_path(spark, "sliced")
+    landing.create_table(prices, path)
+    day = landing.with_partition(_refreshed(spark, d).snapshot.select(*prices.columns))
+    upsert_partitions(spark, path, day, schemas.DAILY_ADJUSTED_KEY, landing.PARTITION)
+    return landing.read_table(spark, path).select(*prices.columns)
+
+
 @bind("refresh_then_read", "A8 K5", f"with {_UNIVERSE} select ticker, exchange from universe")
 def _(spark, d):
     path = scratch_path(spark, "universe")

@@ -435,6 +435,16 @@ def _(spark, d):
     return rounded(out, 2, "mean", "std")
 
 
+def _described_values(column: str) -> str:
+    return f"""select '{column}' as column, count({column}) as count, count(*) filter ({column} is null) as null_count,
+      cast(min({column}) as varchar) as min, cast(max({column}) as varchar) as max from orders"""
+
+
+@bind("describe_values", "D11", " union all ".join(map(_described_values, ("o_orderstatus", "o_orderpriority", "o_orderkey"))))
+def _(spark, d):
+    return reshape.describe_values(table(spark, d, "orders"), ["o_orderstatus", "o_orderpriority", "o_orderkey"])
+
+
 @bind("describe_sketched", "D11", _described("l_quantity"))
 def _(spark, d):
     out = reshape.describe(table(spark, d, "lineitem"), ["l_quantity"], accuracy=100_000)

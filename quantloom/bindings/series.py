@@ -187,3 +187,28 @@ def _(spark, d):
 
     o = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
     return with_row_index(o, ["o_totalprice", "o_orderkey"]).drop("o_totalprice")
+
+
+_ODD = "case when event_id % 97 = 0 then 'nan'::double when event_id % 89 = 0 then 1e17 else value end"
+
+
+def _odd_frame(n: int) -> str:
+    frame = f"(partition by user_id order by ts, event_id rows between {n} preceding and current row)"
+    return f"""case when row_number() over (partition by user_id order by ts, event_id) <= {n} then null
+        when count(*) filter (isnan(x)) over {frame} > 0 then -1.0
+        when max(x) filter (not isnan(x)) over {frame} > 1e9 then -2.0
+        else round(avg(case when isnan(x) then null else x end) over {frame}, 6) end as m{n}"""
+
+
+@bind("rolling_moments_extremes", "E1 E2", f"""
+    with odd as (select event_id, user_id, ts, {_ODD} as x from events)
+    select event_id, {_odd_frame(4)}, {_odd_frame(11)} from odd""")
+def _(spark, d):
+    """NaN and outliers leave a frame together with their rows, for two frame lengths at once and with cut keys."""
+    events = table(spark, d, "events").select("event_id", "user_id", "ts", "value")
+    key = F.col("event_id")
+    odd = F.when(key % 97 == 0, F.lit(float("nan"))).when(key % 89 == 0, 1e17).otherwise(F.col("value"))
+    frames = [windows.Rolling(n, means={f"m{n}": "x"}) for n in (4, 11)]
+    out = windows.rolling_moments(events.withColumn("x", odd), "user_id", "ts", frames, ["event_id"], max_group_rows=200)
+    shown = lambda m: F.when(F.isnan(m), -1.0).when(F.abs(F.col(m)) > 1e9, -2.0).otherwise(F.round(m, 6))
+    return out.select("event_id", *[F.when(F.col(m).isNotNull(), shown(m)).alias(m) for m in ("m4", "m11")])

@@ -125,29 +125,31 @@ def preview(df: DataFrame, order: Sequence[Column | str], n: int = 5) -> DataFra
 _QUARTERS = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
-def _exact_quartiles(df: DataFrame, column: str) -> dict[str, Column]:
-    """Smallest values that at least a quarter, half, three quarters of the rows do not exceed.
+def _exact_quartiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, q25, q50, q75): smallest values that at least a quarter, half, three quarters do not exceed.
 
-    Equal values are counted first; the running count over the sorted values
-    then shows where each share is reached.
+    Equal values are counted first; one running count over the sorted values of
+    all columns then shows where each share is reached.
     """
+    pairs = F.array(*[F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(columns)])
     counts = (
-        df.select(F.col(column).cast("double").alias("_v")).where("_v is not null")
-        .groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
+        df.select(F.inline(pairs)).where("_v is not null").groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
     )
-    running = with_running_total(counts, ["_v"], "_n", "_upto")
-    total = running.agg(F.max("_upto")).scalar()
-    return {
-        name: running.agg(F.min(F.when(F.col("_upto") >= F.ceil(total * share), F.col("_v")))).scalar()
+    running = with_running_total(counts, ["_c", "_v"], "_n", "_upto")
+    totals = running.groupBy("_c").agg(F.sum("_n").alias("_total"), F.min(F.col("_upto") - F.col("_n")).alias("_before"))
+    placed = running.join(F.broadcast(totals), "_c")  # one row for each described column
+    return placed.groupBy("_c").agg(*[
+        F.min(F.when(F.col("_upto") - F.col("_before") >= F.ceil(F.col("_total") * share), F.col("_v"))).alias(name)
         for name, share in _QUARTERS.items()
-    }
+    ])
 
 
 def describe(df: DataFrame, columns: Sequence[str], accuracy: int | None = None) -> DataFrame:
     """Count, nulls, mean, deviation, extremes and quartiles of numeric columns.
 
-    Quartiles are exact, at the cost of one sort of the distinct values per
-    column.  With ``accuracy`` they come from a mergeable sketch in the same
+    Quartiles are exact, at the cost of one sort of the distinct values of all
+    columns; a quartile is the smallest value that so many rows do not exceed.
+    With ``accuracy`` they come from a mergeable sketch in the same
     pass as the rest, with rank error ``rows / accuracy``.
     """
     aggregates: list[Column] = []
@@ -162,22 +164,35 @@ def describe(df: DataFrame, columns: Sequence[str], accuracy: int | None = None)
             aggregates.append(
                 F.percentile_approx(v, list(_QUARTERS.values()), accuracy).alias(f"q{i}"),
             )
-    one = df.agg(*aggregates)
-    quartiles = [
-        _exact_quartiles(df, c) if accuracy is None
-        else {name: F.get(f"q{i}", F.lit(j)) for j, name in enumerate(_QUARTERS)}
-        for i, c in enumerate(columns)
-    ]
     rows = F.array(*[
         F.struct(
-            F.lit(c).alias("column"), F.col(f"n{i}").alias("count"),
+            F.lit(i).alias("_c"), F.lit(c).alias("column"), F.col(f"n{i}").alias("count"),
             F.col(f"z{i}").alias("null_count"), F.col(f"m{i}").alias("mean"),
             F.col(f"s{i}").alias("std"), F.col(f"a{i}").alias("min"),
-            *[q.alias(name) for name, q in quartiles[i].items()], F.col(f"b{i}").alias("max"),
+            *([] if accuracy is None else [F.get(f"q{i}", F.lit(j)).alias(n) for j, n in enumerate(_QUARTERS)]),
+            F.col(f"b{i}").alias("max"),
         )
         for i, c in enumerate(columns)
     ])
-    return one.select(F.inline(rows))
+    out = df.agg(*aggregates).select(F.inline(rows))
+    if accuracy is None:
+        out = out.join(_exact_quartiles(df, columns), "_c", "left")
+    return out.select("column", "count", "null_count", "mean", "std", "min", *_QUARTERS, "max")
+
+
+def describe_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Count, nulls and extremes of columns of any type, the extremes as text."""
+    aggregates = []
+    for i, c in enumerate(columns):
+        aggregates += [
+            F.count(c).alias(f"n{i}"), F.count_if(F.col(c).isNull()).alias(f"z{i}"),
+            F.min(c).cast("string").alias(f"a{i}"), F.max(c).cast("string").alias(f"b{i}"),
+        ]
+    rows = F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"), F.col(f"z{i}").alias("null_count"), F.col(f"a{i}").alias("min"), F.col(f"b{i}").alias("max"))
+        for i, c in enumerate(columns)
+    ])
+    return df.agg(*aggregates).select(F.inline(rows))
 
 
 def rmse(df: DataFrame, actual: str, predicted: str, name: str = "rmse") -> DataFrame:

@@ -44,6 +44,21 @@ def relevant_preds(
     return latest.join(companies, latest["ticker"] == companies["_upper"], "inner").drop("_upper")
 
 
+# What a prediction has once, whatever the number of its features.
+HORIZON_COLUMNS = (
+    "date", "ticker", "predicted_value_log", "actual_value_log", "predicted_value", "predicted_std",
+    "actual_value", "pred_col", "trained_at", "trained_date",
+)
+
+
+def relevant_horizons(
+    predictions: DataFrame, meta: DataFrame, one_company: bool = True,
+) -> DataFrame:
+    """``relevant_preds`` without the features: reduced to one row per prediction before any join."""
+    columns = [c for c in HORIZON_COLUMNS if c in predictions.columns]
+    return relevant_preds(predictions.select(*columns).distinct(), meta, one_company)
+
+
 def preds_per_horizon(preds: DataFrame) -> DataFrame:
     """One row per ticker and horizon, in that order."""
     return (
