@@ -114,7 +114,7 @@ def test_null_filter_follows_dedupe(spark):
     meta = _meta(spark, [
         ("1", "qlm", True, "2019-01-01", None), ("2", "qlm", False, "2019-02-01", "2019-02-01"),
         ("3", "VLT", True, "2019-01-01", "2019-01-01"), ("4", "VLT", True, "2019-03-01", "2019-03-01"),
-        ("5", "FRGN", True, "2019-01-01", "2019-01-01"),
+        ("5", "AWAY", True, "2019-01-01", "2019-01-01"),
     ])
     got = universe.selected_fundamentals(meta, _tickers(spark, FEED))
     assert rows(got, "permaTicker") == [("4",)]
