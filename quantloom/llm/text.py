@@ -9,6 +9,9 @@ probability of about 3 %, two words of one document practically never.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -135,6 +138,14 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", size: int =
             at = to
 
 
+def release() -> None:
+    """Gives memory that a worker no longer needs back to the system; workers live on between tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries return it by themselves
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def windowed(hashes: np.ndarray, width: int) -> np.ndarray:
     """Hashes of all runs of ``width`` tokens; the caller drops those across texts."""
     n = len(hashes) - width + 1
