@@ -284,3 +284,31 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH, block_w
         "doc_id", "text_key", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.size(listed).cast("long").alias("n_items"),
         F.sha2(F.array_join(listed, ","), 256).alias("items_sha256"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"), listed.alias("items"),
     )
+
+
+#: The same for DuckDB.
+ORACLE = rf"""
+with lowered as (
+    select row_number() over () as rid, doc_id, regexp_extract_all(
+        translate(coalesce("text", ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9\x{{80}}-\x{{10FFFF}}]+') as w
+    from documents),
+items as (
+    select cast(item_id as varchar) as item, regexp_extract_all(
+        translate(coalesce("text", ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9\x{{80}}-\x{{10FFFF}}]+') as w
+    from benchmark where item_id is not null),
+starts as (
+    select item, w, unnest(range(1, greatest(len(w) - {WIDTH} + 1, 1) + 1)) as k from items where len(w) > 0),
+windows as (select distinct item, w[k:k + {WIDTH - 1}] as g from starts),
+lengths as (select distinct len(g) as n from windows),
+grams as (
+    select rid, k, n, w[k:k + n - 1] as g
+    from (select rid, w, n, unnest(range(1, len(w) - n + 2)) as k from lowered, lengths where len(w) >= n)),
+found as (select rid, k, n, item from grams join windows using (g)),
+hits as (select rid, count(distinct p) as n_hit from (select rid, unnest(range(k, k + n)) as p from found) group by rid),
+named as (
+    select rid, count(*) as n_items, string_agg(item, ',' order by item) as items
+    from (select distinct rid, item from found) group by rid)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+    sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from lowered left join hits using (rid) left join named using (rid)
+"""

@@ -79,4 +79,4 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_secret_scan, op3_decontamination, op4_language_id, op5_warc_index, op6_best_fit_packing, op7_minhash_dedup, op8_vector_search, op9_license_scan, op10_suffix_dedup)}
-ORACLE_SQL: dict[str, str] = {"op2_secret_scan": secrets.ORACLE, "op5_warc_index": warc.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op2_secret_scan": secrets.ORACLE, "op3_decontamination": decontaminate.ORACLE, "op5_warc_index": warc.ORACLE}
