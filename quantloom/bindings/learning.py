@@ -184,5 +184,4 @@ def _(spark, d):
     select coalesce(sector, 'None') as category, count(*) as n, round(avg(y), 6) as mean_target from train group by 1""")
 def _(spark, d):
     sums = _model(spark, d).categories.where("feature = 'sector'")
-    number, total = F.col("n0") + F.col("n1"), F.col("s0") + F.col("s1")
-    return sums.select("category", number.alias("n"), F.round(total / number, 6).alias("mean_target"))
+    return sums.select("category", F.col("number").alias("n"), F.round(F.col("total") / F.col("number"), 6).alias("mean_target"))

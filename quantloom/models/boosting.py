@@ -43,6 +43,9 @@ ITERATIONS = {"prod": 2000, "dev": 200, "test": 1}
 MISSING = -1e30
 # Rows that a category's mean borrows from the overall mean.
 SMOOTHING = 10.0
+# Parts of the training rows whose own targets stay out of their category means; steps of a mean in a deviation.
+FOLDS = 5
+CATEGORY_STEPS = 20
 # Mean of log(z^2) for a standard normal z, with the sign turned.
 LOG_CHI2_SHIFT = 1.2703628454614782
 
@@ -89,8 +92,9 @@ class HorizonModel:
     seed: int
     features: list[str]
     categorical: list[str]
-    categories: DataFrame
+    categories: DataFrame | None
     prior: float
+    step: float
     mean: GBTRegressionModel
     variance: GBTRegressionModel
     baseline: list[float]
@@ -114,31 +118,35 @@ def _numeric(df: DataFrame, features: Sequence[str], categorical: Sequence[str])
 
 
 def _category_sums(train: DataFrame, categorical: Sequence[str], target: str) -> DataFrame:
-    """(feature, category, sum and number of targets in either half of the training rows)."""
+    """(feature, category, sum and number of targets, and both by fold) of the training rows."""
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"_c_{c}").alias("category")) for c in categorical])
     long = train.select(F.inline(pairs.cast("array<struct<feature:string,category:string>>")), "_fold", F.col(target).alias("_y"))
-    half = lambda k: F.col("_fold") == k
-    return long.groupBy("feature", "category").agg(
-        *[F.sum(F.when(half(k), F.col("_y")).otherwise(0.0)).alias(f"s{k}") for k in (0, 1)],
-        *[F.count_if(half(k)).alias(f"n{k}") for k in (0, 1)],
+    by_fold = long.groupBy("feature", "category", "_fold").agg(F.sum("_y").alias("s"), F.count("_y").alias("n"))
+    entry = F.struct("_fold", F.struct("s", "n"))
+    return by_fold.groupBy("feature", "category").agg(
+        F.sum("s").alias("total"), F.sum("n").alias("number"), F.map_from_entries(F.collect_list(entry)).alias("folds"),
     )
 
 
 def _encode(
-    df: DataFrame, categories: DataFrame, prior: float, categorical: Sequence[str],
+    df: DataFrame, categories: DataFrame | None, prior: float, step: float, categorical: Sequence[str],
 ) -> DataFrame:
-    """Each category as its smoothed mean target.
+    """Each category as its smoothed mean target, in steps.
 
-    A training row (``_fold`` 0 or 1) takes the mean of the other half, so its
-    own target is no part of it; all other rows take the mean of both.
+    A training row (with a ``_fold``) takes the mean of the other folds, so its
+    own target is no part of it; all other rows take the mean of all.  The steps
+    are so wide that the folds of a large category agree; else trees would tell
+    folds apart, which says nothing about new rows.
     """
     out = df
     for c in categorical:
-        own = categories.where(F.col("feature") == c).select(F.col("category").alias(f"_c_{c}"), "s0", "s1", "n0", "n1")
+        own = categories.where(F.col("feature") == c).select(F.col("category").alias(f"_c_{c}"), "total", "number", "folds")
         joined = out.join(own, f"_c_{c}", "left")
-        picked = lambda x: F.when(F.col("_fold") == 0, F.col(f"{x}1")).when(F.col("_fold") == 1, F.col(f"{x}0")).otherwise(F.col(f"{x}0") + F.col(f"{x}1"))
-        total, number = F.coalesce(picked("s"), F.lit(0.0)), F.coalesce(picked("n"), F.lit(0))
-        out = joined.withColumn(f"_f_{c}", (total + SMOOTHING * prior) / (number + SMOOTHING)).drop("s0", "s1", "n0", "n1")
+        fold = F.col("folds")[F.col("_fold")]
+        total = F.coalesce("total", F.lit(0.0)) - F.coalesce(fold["s"], F.lit(0.0))
+        number = F.coalesce("number", F.lit(0)) - F.coalesce(fold["n"], F.lit(0))
+        value = (total + SMOOTHING * prior) / (number + SMOOTHING)
+        out = joined.withColumn(f"_f_{c}", F.round(value / step) * step).drop("total", "number", "folds")
     return out
 
 
@@ -170,22 +178,23 @@ def train_horizon(
     features = feature_names(rows, target, labels, identity)
     kinds = dict(rows.dtypes)
     categorical = [c for c in features if kinds[c] not in ("double", "float")]
-    fold = F.when(F.col("split") == "train", F.when(hash_unit(*identity, seed=seed + 2) < 0.5, 0).otherwise(1))
+    fold = F.when(F.col("split") == "train", F.floor(hash_unit(*identity, seed=seed + 2) * FOLDS).cast("int"))
     usable = _numeric(rows.where("split <> 'test'"), features, categorical).withColumns({
         "_validation": F.col("split") == "validation", "_fold": fold,
     })
     train = usable.where("split = 'train'")
     categories = checkpointed(_category_sums(train, categorical, target)) if categorical else None
-    prior = float(train.agg(F.avg(target)).first()[0] or 0.0)
+    center = train.agg(F.avg(target), F.stddev_samp(target)).first()
+    prior, step = float(center[0] or 0.0), float(center[1] or 0.0) / CATEGORY_STEPS or 1.0
     encoded = checkpointed(
-        _with_features(_encode(usable, categories, prior, categorical), features)
+        _with_features(_encode(usable, categories, prior, step, categorical), features)
         .select(target, "_validation", "_fold", "_features"),
     )
     mean = _booster(target, target, iterations, seed).fit(encoded)
     unseen = [mean.transform(encoded.where("_validation"))]
     for k in (0, 1):
-        other = _booster(target, target, iterations, seed).fit(encoded.where(F.col("_validation") | (F.col("_fold") != k)))
-        unseen.append(other.transform(encoded.where(F.col("_fold") == k)))
+        other = _booster(target, target, iterations, seed).fit(encoded.where(F.col("_validation") | (F.col("_fold") % 2 != k)))
+        unseen.append(other.transform(encoded.where(F.col("_fold") % 2 == k)))
     squared = F.pow(F.col(target) - F.col("_prediction"), 2)
     residuals = union_all(unseen).select(
         "_validation", "_features", F.ln(F.greatest(squared, F.lit(1e-12))).alias("_log_square"),
@@ -196,12 +205,12 @@ def train_horizon(
         F.avg(F.when(values[i] != MISSING, values[i])).alias(str(i)) for i in range(len(features))
     ]).first()
     baseline = [MISSING if m is None else float(m) for m in means]
-    return HorizonModel(target, seed, features, categorical, categories, prior, mean, variance, baseline)
+    return HorizonModel(target, seed, features, categorical, categories, prior, step, mean, variance, baseline)
 
 
 def _encoded(df: DataFrame, model: HorizonModel) -> DataFrame:
     numeric = _numeric(normalise_types(df), model.features, model.categorical)
-    scored = _encode(numeric.withColumn("_fold", F.lit(None).cast("int")), model.categories, model.prior, model.categorical)
+    scored = _encode(numeric.withColumn("_fold", F.lit(None).cast("int")), model.categories, model.prior, model.step, model.categorical)
     return _with_features(scored, model.features)
 
 
