@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -41,6 +43,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     fallback = tempfile.mkdtemp(prefix="quantloom-")
+    atexit.register(shutil.rmtree, fallback, ignore_errors=True)  # a local session's own folder
     spark.sparkContext.setCheckpointDir(fallback)
     return fallback
 

@@ -12,38 +12,47 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quantloom.session import checkpointed
+
 _CHUNK = 10_000
 _ROWS = "path string, row bigint, fields array<string>, problem string"
 
 
-def _rows_of(path: str, content: bytes) -> Iterator[tuple[int, list[str] | None, str | None]]:
-    """Records of the archive's only file, header first; or one problem."""
+def _rows_of(content: bytes, names: list[str]) -> Iterator[tuple[int, list[str] | None, str | None]]:
+    """Records of the archive's only file; where the header is another one, only that problem."""
     try:
         archive = zipfile.ZipFile(io.BytesIO(content))
     except zipfile.BadZipFile:
         yield 0, None, "not a zip archive"
         return
-    names = archive.namelist()
-    if len(names) != 1:
-        yield 0, None, f"the archive holds {len(names)} files instead of 1"
+    members = archive.namelist()
+    if len(members) != 1:
+        yield 0, None, f"the archive holds {len(members)} files instead of 1"
         return
-    with archive.open(names[0]) as member:
+    with archive.open(members[0]) as member:
         text = io.TextIOWrapper(member, encoding="utf-8", newline="")
         for i, record in enumerate(csv.reader(text)):
-            yield i, record, None
+            if i == 0 and record != names:
+                yield 0, None, "unexpected header"
+                return
+            if i:
+                yield i, record, None if len(record) == len(names) else "wrong number of fields"
 
 
-def _unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            rows: list[tuple] = []
-            for number, fields, problem in _rows_of(path, content):
-                rows.append((path, number, fields, problem))
-                if len(rows) == _CHUNK:
+def _unzip(names: list[str]):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                rows: list[tuple] = []
+                for number, fields, problem in _rows_of(content, names):
+                    rows.append((path, number, fields, problem))
+                    if len(rows) == _CHUNK:
+                        yield pd.DataFrame(rows, columns=["path", "row", "fields", "problem"])
+                        rows = []
+                if rows:
                     yield pd.DataFrame(rows, columns=["path", "row", "fields", "problem"])
-                    rows = []
-            if rows:
-                yield pd.DataFrame(rows, columns=["path", "row", "fields", "problem"])
+
+    return run
 
 
 def read_zipped_csv(spark: SparkSession, path: str, ddl: str) -> tuple[DataFrame, DataFrame]:
@@ -54,27 +63,16 @@ def read_zipped_csv(spark: SparkSession, path: str, ddl: str) -> tuple[DataFrame
 def unpack_archives(archives: DataFrame, ddl: str) -> tuple[DataFrame, DataFrame]:
     """``(rows, rejects)`` of archives given as ``path`` and ``content``.
 
-    Archives are unpacked in parallel and emit records in chunks.  An archive
-    without exactly one file, or whose header or record width is off, is
-    reported with its path; its bad parts yield no rows.
+    Archives are unpacked once, in parallel, and emit records in chunks.  An
+    archive without exactly one file, or whose header is another one, is
+    reported with its path and yields no rows; so is every record of another width.
     """
     schema = T.StructType.fromDDL(ddl)
     names = [f.name for f in schema.fields]
-    records = archives.select("path", "content").mapInPandas(_unzip, _ROWS)
-    header = F.array(*[F.lit(n) for n in names])
-    is_header = F.col("row") == 0
-    problem = (
-        F.when(F.col("problem").isNotNull(), F.col("problem"))
-        .when(is_header & (F.col("fields") != header), F.lit("unexpected header"))
-        .when(F.size("fields") != len(names), F.lit("wrong number of fields"))
-    )
-    checked = records.withColumn("problem", problem)
-    rejects = checked.where("problem is not null").select("path", "row", "problem")
-    # Rows of an archive with another header must not be read under the wrong names.
-    refused = rejects.where("row = 0").select("path").distinct()
-    good = checked.where("row > 0 and problem is null").join(refused, "path", "left_anti")
+    records = checkpointed(archives.select("path", "content").mapInPandas(_unzip(names), _ROWS))
+    rejects = records.where("problem is not null").select("path", "row", "problem")
     typed = [
         F.nullif(F.col("fields")[i], F.lit("")).cast(f.dataType).alias(f.name)
         for i, f in enumerate(schema.fields)
     ]
-    return good.select(*typed), rejects
+    return records.where("problem is null").select(*typed), rejects
