@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quantloom.llm.store import remainder, written
-from quantloom.llm.text import CHUNK_BYTES, LOWER, chunks, raw_bytes
+from quantloom.llm.text import CHUNK_BYTES, LOWER, chunks, raw_bytes, release
 
 DIMENSIONS = 8192
 _SHIFT = np.uint32(32 - 13)
@@ -157,9 +157,14 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str,
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)  # bounded, see fit()
-    rows = docs.select(F.col(text).alias("text"), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("_letter"), F.struct(*(F.col(c) for c in keep)).alias("_kept"))
+    # A kept text travels once: it leaves as it came, beside the other kept columns.
+    others = [c for c in keep if c != text]
+    kept = F.struct(*(F.col(c) for c in others)) if others else F.struct(F.lit(0).alias("_none"))
+    rows = docs.select(F.col(text).alias("text"), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("_letter"), kept.alias("_kept"))
+    names_out = ["_kept", "lang_pred", "score", "rejected", *["text"] * (text in keep)]
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         known = shared.value
         for part in chunks(batches, size=CHUNK_BYTES // 2):
             for at in range(0, part.num_rows, 128):
@@ -173,10 +178,14 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str,
                     names[usable] = np.array(known.languages, object)[best[usable]]
                     scores[usable] = top[usable]
                     rejected[usable] = (top < known.floors[best])[usable]
-                yield pa.RecordBatch.from_arrays([piece.column("_kept"), pa.array(names, pa.string()), pa.array(scores), pa.array(rejected)], ["_kept", "lang_pred", "score", "rejected"])
+                out = [piece.column("_kept"), pa.array(names, pa.string()), pa.array(scores), pa.array(rejected), *[piece.column("text")] * (text in keep)]
+                yield pa.RecordBatch.from_arrays(out, names_out)
 
     schema = T.StructType([rows.schema["_kept"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
-    return rows.mapInArrow(label, schema).select("_kept.*", "lang_pred", "score", "rejected")
+    if text in keep:
+        schema.add("text", T.StringType())
+    columns = [F.col("text").alias(text) if c == text else F.col(f"_kept.{c}") for c in keep]
+    return rows.mapInArrow(label, schema).select(*columns, "lang_pred", "score", "rejected")
 
 
 def held_out(docs: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quantloom.llm.store import written
-from quantloom.llm.text import chunks, mix_int, raw_bytes
+from quantloom.llm.text import chunks, mix_int, raw_bytes, release
 
 CAPACITY = 2048
 SHARD = 4096
@@ -35,7 +35,7 @@ EPOCHS = 2
 POPULATION = 4
 GENERATIONS = 6
 SEPARATOR = 0
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 #: Islands share tasks beyond this number; it bounds scheduling, not work.
 MAX_TASKS = 10_000
 
@@ -143,6 +143,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, text: str
                     rows.append((ident, nth, start, len(piece), zlib.crc32(piece.tobytes()), mix_int(base + n) >> 1))
             columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32", "slot"])
+        own.stretches.clear()  # the worker lives on; what words are made of is worth keeping, all their spellings are not
+        release()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, PIECES)
 
