@@ -11,9 +11,11 @@ probability Jaccard similarity of their sets.
 Texts with the same words are one node from the start.  Nodes that agree in a
 band of registers are candidates.  Within a bucket each node is paired with the
 bucket's leader and its neighbour, in small buckets with all others; pairs are
-verified on the whole texts (plain Jaccard similarity of the distinct runs),
-and rounds with other leaders follow, for nodes of different classes only,
-until a round finds no further link.
+verified on the whole texts (plain Jaccard similarity of the distinct runs).
+That settles most classes.  What is left in larger buckets is joined exactly:
+of two sets of similarity 0.8 the rarest fifths, in one order for all, share a
+run, so nodes of different classes that share such a run are verified too, and
+no two similar nodes of a larger bucket are left in different classes.
 """
 
 from __future__ import annotations
@@ -35,6 +37,10 @@ THRESHOLD = 0.8
 BANDS, ROWS = 25, 5
 REGISTERS = 127
 SMALL_BUCKET = 8
+#: Counters of how common a run is; they only order runs, so sharing one costs time, not links.
+SLOTS = 1 << 20
+#: Nodes of one run that a task compares with as many others.
+BLOCK = 1024
 
 _UNIT = 2.0**-53
 
@@ -156,6 +162,72 @@ def _pairs(buckets: DataFrame, turn: int) -> DataFrame:
     return stars.unionByName(dealt.select("key", "salt", "node", "n", "size").mapInArrow(neighbours, "a long, b long")).distinct()
 
 
+def _slots(elements: np.ndarray) -> np.ndarray:
+    return (elements & np.uint64(SLOTS - 1)).astype(np.int64)
+
+
+def _commonness(texts: DataFrame) -> np.ndarray:
+    """By slot, the number of runs of all texts beyond a small bucket's; 0 for rare ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
+        for part in chunks(batches):
+            total += np.bincount(_slots(shingles(tokenise(part.column("text")))[1]), minlength=SLOTS)
+        at = np.flatnonzero(total)
+        for a in range(0, len(at), 65536):
+            piece = at[a : a + 65536]
+            yield pa.RecordBatch.from_arrays([pa.array(piece), pa.array(total[piece])], ["slot", "n"])
+
+    found = texts.mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).where(F.col("n") > SMALL_BUCKET).toPandas()
+    out = np.zeros(SLOTS, np.int64)
+    out[found["slot"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    return out
+
+
+def prefix_size(n: np.ndarray) -> np.ndarray:
+    """How many first runs of a set of ``n`` meet those of every similar set."""
+    return n - np.ceil(THRESHOLD * n - 1e-9).astype(np.int64) + 1
+
+
+def _prefixes(texts: DataFrame) -> DataFrame:
+    """(element, place, n, node, root): the rarest runs of every text and their places in its order."""
+    shared = texts.sparkSession.sparkContext.broadcast(_commonness(texts))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(batches):
+            owner, elements, _ = shingles(tokenise(part.column("text")))
+            order = np.lexsort((elements, shared.value[_slots(elements)], owner))
+            n = np.bincount(owner, minlength=part.num_rows)
+            place = np.arange(len(owner)) - (np.cumsum(n) - n)[owner]
+            kept = place < prefix_size(n)[owner]
+            rows = pa.array(owner[kept])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(elements[order][kept].view(np.int64)), pa.array(place[kept]), pa.array(n[owner[kept]]), part.column("node").take(rows), part.column("root").take(rows)],
+                ["element", "place", "n", "node", "root"],
+            )
+
+    return texts.mapInArrow(run, "element long, place long, n long, node long, root long")
+
+
+def _exact_pairs(texts: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of nodes of different roots, among them all similar ones, from (node, text, root)."""
+    runs = written(_prefixes(texts), "prefixes")
+    mixed = written(runs.groupBy("element").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("element", "size"), "mixed-runs")
+    rows = runs.join(mixed, "element").withColumn("blocks", F.ceil(F.col("size") / BLOCK)).withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
+    # Every block of a run's nodes meets itself and every other one in a group of its own.
+    names = ("place", "n", "node", "root")
+    side = lambda mark, low, high: rows.select("element", low.alias("low"), high.alias("high"), *(F.col(c).alias(f"{mark}_{c}") for c in names))
+    one = side("a", F.col("block"), F.explode(F.sequence("block", F.col("blocks") - 1)))
+    two = side("b", F.explode(F.sequence(F.lit(0).cast("long"), "block")), F.col("block"))
+    fresh = (F.col("a_root") != F.col("b_root")) & ((F.col("low") < F.col("high")) | (F.col("a_node") < F.col("b_node")))
+    close = F.least("a_n", "b_n") >= THRESHOLD * F.greatest("a_n", "b_n")
+    # The first run that two sets share leaves them at most the shorter rest in common.
+    rest = F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place"))
+    enough = rest * (1 + THRESHOLD) + 1e-6 >= THRESHOLD * (F.col("a_n") + F.col("b_n"))
+    pairs = one.join(two, ["element", "low", "high"]).where(fresh & close & enough)
+    return pairs.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
+
+
 def similarity(first: np.ndarray, second: np.ndarray) -> float:
     """Jaccard similarity of two sorted sets."""
     both = len(np.intersect1d(first, second, assume_unique=True))
@@ -218,12 +290,11 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     buckets = written(spread.join(sizes, "key"), "buckets")
     wanted = nodes.select("node", "content", "who.*").join(buckets.select("node").distinct(), "node", "left_semi")
     texts = written(_texts(docs, wanted, text), "candidate-texts")
-    tested, labels, links = None, None, None
-    turn = 0
-    while True:
-        pairs = _pairs(buckets, turn if turn < 2 else turn - 1)
-        if turn == 0:  # first only the pair with the foremost partner: it settles large groups at once
-            pairs = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    tested, labels = None, None
+
+    def settle(pairs: DataFrame) -> None:
+        """Verifies the pairs that are still in different classes and joins the classes of the similar ones."""
+        nonlocal tested, labels
         if labels is not None:
             side = lambda c: labels.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
             pairs = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
@@ -231,14 +302,21 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
         if tested is not None:
             pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
         fresh = written(_verified(pairs, texts), "compared")
-        found = fresh.where("similar").count()
         tested = fresh if tested is None else tested.unionByName(fresh)
-        if found:
-            links = written(tested.where("similar").select("a", "b"), "links")
-            labels = components(links)
-        if turn and not found:
-            break
-        turn += 1
+        if fresh.where("similar").count():
+            labels = components(written(tested.where("similar").select("a", "b"), "links"))
+
+    # First only the pair with the foremost partner: it settles large groups at once.
+    foremost = lambda pairs: pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    settle(foremost(_pairs(buckets, 0)))
+    settle(_pairs(buckets, 1))
+    crowded = buckets.where(F.col("size") > SMALL_BUCKET).select("node").distinct()
+    if not crowded.isEmpty():
+        inside = texts.join(crowded, "node", "left_semi")
+        rooted = inside.withColumn("root", F.col("node")) if labels is None else inside.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        rest = written(_exact_pairs(written(rooted, "crowded-texts")), "rest")
+        settle(foremost(rest))
+        settle(rest)
     if labels is None:
         labels = spark.createDataFrame([], "node long, root long")
     rooted = nodes.join(labels, "node", "left").select("node", "content", "who", "rows", F.coalesce("root", "node").alias("root"))

@@ -275,6 +275,16 @@ def test_near_duplicates_equal_all_pairs(spark, awkward, empty):
     assert minhash.near_duplicates(empty).count() == 0
 
 
+def test_crowded_buckets_lose_no_link(spark):
+    """Parts of one template: large buckets in which few of many pairs are similar."""
+    rng = random.Random(5)
+    segments = [prose(7000 + k, 8, 10**6).split() for k in range(50)]
+    rows = [(k, " ".join(w for s in segments if rng.random() > 0.1 for w in s)) for k in range(240)]
+    want = brute.near_classes(rows)
+    assert 20 < len(set(want.values())) < 200
+    assert {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(documents(spark, rows)).collect()} == want
+
+
 def test_registers_agree_with_the_probability_jaccard_similarity():
     rng = np.random.default_rng(1)
     shared, own = rng.integers(0, 2**63, 300).astype(np.uint64), rng.integers(0, 2**63, 200).astype(np.uint64)
