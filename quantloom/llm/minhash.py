@@ -1,7 +1,7 @@
 """Near-duplicate classes by ProbMinHash, banding and exact verification.
 
-A text is the weighted set of its runs of five words, a run that occurs c times
-weighing ``1 + ln c``.  Every element sends out the points of a Poisson process
+A text is the set of its distinct runs of five words, each of weight 1, so that
+candidates are found by the very similarity they are verified by.  Every element sends out the points of a Poisson process
 whose rate is its weight, each to another of ``REGISTERS`` registers; a register
 keeps the element that arrived first.  An element stops as soon as its next
 point comes later than the last arrival of all registers, so long texts cost
@@ -120,8 +120,8 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, size=2 * CHUNK_BYTES):
             tokens = tokenise(part.column("text"))
-            owner, elements, counts = shingles(tokens)
-            keys = band_keys(signatures(owner, elements, 1 + np.log(counts), part.num_rows)).view(np.int64)
+            owner, elements, _ = shingles(tokens)
+            keys = band_keys(signatures(owner, elements, np.ones(len(elements)), part.num_rows)).view(np.int64)
             n = np.bincount(owner, minlength=part.num_rows)
             bands = [row.tolist() if some else None for row, some in zip(keys, n)]
             yield pa.RecordBatch.from_arrays(

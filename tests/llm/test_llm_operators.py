@@ -285,6 +285,15 @@ def test_crowded_buckets_lose_no_link(spark):
     assert {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(documents(spark, rows)).collect()} == want
 
 
+def test_repeats_of_a_run_do_not_change_the_bands(spark):
+    """The same distinct runs in other numbers: similarity 1, so every band agrees."""
+    circles = [prose(600 + k, 6, 10**6) + " " for k in range(12)]
+    often = [" ".join((c * (40 if k % 2 == odd else 3)).strip() for k, c in enumerate(circles)) for odd in (0, 1)]
+    assert brute.shingle_set(often[0]) == brute.shingle_set(often[1])
+    first, second = (r["bands"] for r in minhash.fingerprints(documents(spark, list(enumerate(often)))).collect())
+    assert first == second
+
+
 def test_registers_agree_with_the_probability_jaccard_similarity():
     rng = np.random.default_rng(1)
     shared, own = rng.integers(0, 2**63, 300).astype(np.uint64), rng.integers(0, 2**63, 200).astype(np.uint64)
