@@ -48,7 +48,8 @@ class WordEncoder:
     A text's ids are those of its stretches between white space, one after
     another, and most stretches are known already.  A new one that is letters
     with a tail of punctuation goes straight to the BPE model, letters and tail
-    each for itself; anything else is left to the whole tokenizer.
+    each for itself; anything else is left to the whole tokenizer, and so are
+    texts with one of its added tokens.
     """
 
     def __init__(self, path: str) -> None:
@@ -56,7 +57,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = [t.lower().encode() for t in added]
         self.stretches: dict[bytes, bytes] = {}
         self.parts: dict[bytes, bytes] = {}
 
@@ -87,10 +89,12 @@ class WordEncoder:
         out = []
         known = self.stretches
         for text in texts:
-            if b"\xcc" in text or b"\xcd" in text:  # combining marks: composition depends on the case
+            low = text.lower()  # of bytes: A-Z only
+            # Combining marks: composition depends on the case; added tokens: so does their single id.
+            if b"\xcc" in text or b"\xcd" in text or any(t in low for t in self.added):
                 out.append(np.frombuffer(self._whole(text.decode()), "<u4"))
                 continue
-            words = text.lower().split()  # of bytes: A-Z and ASCII white space only
+            words = low.split()  # ASCII white space only
             for word in words:
                 if word not in known:
                     known[word] = self._stretch(word)

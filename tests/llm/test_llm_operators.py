@@ -242,6 +242,18 @@ def test_word_encoder_equals_the_tokenizer():
     assert [o.tolist() for o in own.encode([t.encode() for t in odd])] == [e.ids for e in own.tokenizer.encode_batch(odd, add_special_tokens=False)]
 
 
+def test_added_tokens_keep_their_ids():
+    """Against the tokenizer as its file says, without a flag."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    plain, own = Tokenizer.from_file(path), packing.WordEncoder(path)
+    texts = ["a <|endoftext|> b", "<|ENDOFTEXT|> A <|EndOfText|>", "x<|startoftext|>Y. It's", "<|endoftext", "a |> <|endoftext|>", "a b"]
+    assert [o.tolist() for o in own.encode([t.encode() for t in texts])] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert own.encode([texts[0].encode()])[0].tolist() == [320, 49407, 321]
+
+
 def test_breeding_never_gets_worse_and_finds_a_better_packing():
     rng = np.random.default_rng(5)
     sizes = np.sort(rng.integers(300, 900, 240))[::-1].copy()
