@@ -29,7 +29,7 @@ BASE_PHRASES = (
     ("all rights reserved", "reserved"),
 )
 
-#: Label, the words that must occur, how the license is named, versions.
+#: Label, the word that must occur (one of ``a|b``), how the license is named, versions.
 FAMILIES = (
     ("afl", "academic", r"academic free licen[cs]e", "1.1 1.2 2.0 2.1 3.0"),
     ("agpl", "affero", r"(?:gnu )?affero general public licen[cs]e", "1.0 3.0"),
@@ -38,17 +38,17 @@ FAMILIES = (
     ("artistic", "artistic", r"(?:perl )?artistic licen[cs]e", "1.0 2.0"),
     ("boost", "boost", r"boost software licen[cs]e", "1.0"),
     ("bsd-0-clause", "bsd", r"(?:zero[- ]clause bsd|bsd zero[- ]clause) licen[cs]e", ""),
-    ("bsd-2-clause", "bsd", r"(?:simplified bsd|bsd 2[- ]clause|2[- ]clause bsd|freebsd) licen[cs]e", ""),
+    ("bsd-2-clause", "bsd|freebsd", r"(?:simplified bsd|bsd 2[- ]clause|2[- ]clause bsd|freebsd) licen[cs]e", ""),
     ("bsd-3-clause", "bsd", r"(?:new bsd|modified bsd|revised bsd|bsd 3[- ]clause|3[- ]clause bsd) licen[cs]e", ""),
     ("bsd-4-clause", "bsd", r"(?:original bsd|bsd 4[- ]clause|4[- ]clause bsd) licen[cs]e", ""),
     ("bsd", "bsd", r"bsd[- ](?:style )?licen[cs]e", ""),
     ("cc-by", "creative", r"creative commons attribution(?: international| unported| generic)?(?: licen[cs]e)?", "1.0 2.0 2.5 3.0 4.0"),
-    ("cc-by-nc", "noncommercial", r"creative commons attribution[- ]noncommercial", "1.0 2.0 2.5 3.0 4.0"),
-    ("cc-by-nc-nd", "noderivatives", r"creative commons attribution[- ]noncommercial[- ]noderivatives", "3.0 4.0"),
-    ("cc-by-nc-sa", "sharealike", r"creative commons attribution[- ]noncommercial[- ]sharealike", "1.0 2.0 2.5 3.0 4.0"),
-    ("cc-by-nd", "noderivatives", r"creative commons attribution[- ]noderivatives", "1.0 2.0 2.5 3.0 4.0"),
-    ("cc-by-sa", "sharealike", r"creative commons attribution[- ]sharealike", "1.0 2.0 2.5 3.0 4.0"),
-    ("cc0", "cc0", r"cc0(?: universal)?(?: public domain dedication)?", "1.0"),
+    ("cc-by-nc", "creative", r"creative commons attribution[- ]noncommercial", "1.0 2.0 2.5 3.0 4.0"),
+    ("cc-by-nc-nd", "creative", r"creative commons attribution[- ]noncommercial[- ]noderivatives", "3.0 4.0"),
+    ("cc-by-nc-sa", "creative", r"creative commons attribution[- ]noncommercial[- ]sharealike", "1.0 2.0 2.5 3.0 4.0"),
+    ("cc-by-nd", "creative", r"creative commons attribution[- ]noderivatives", "1.0 2.0 2.5 3.0 4.0"),
+    ("cc-by-sa", "creative", r"creative commons attribution[- ]sharealike", "1.0 2.0 2.5 3.0 4.0"),
+    ("cc0", "cc0|cc01|cc0v|cc0v1|cc0version", r"cc0(?: universal)?(?: public domain dedication)?", "1.0"),
     ("cddl", "distribution", r"common development and distribution licen[cs]e", "1.0 1.1"),
     ("cecill", "cecill", r"cecill(?:-[abc])? (?:free software )?licen[cs]e", "1.0 1.1 2.0 2.1"),
     ("cpal", "attribution", r"common public attribution licen[cs]e", "1.0"),
@@ -64,7 +64,7 @@ FAMILIES = (
     ("lgpl", "lesser", r"(?:gnu )?lesser general public licen[cs]e", "2.1 3.0"),
     ("lgpl-library", "library", r"(?:gnu )?library general public licen[cs]e", "2.0"),
     ("lppl", "latex", r"latex project public licen[cs]e", "1.0 1.1 1.2 1.3"),
-    ("mit", "mit", r"(?:the )?(?:mit|expat)(?:/x11|/expat)? licen[cs]e", ""),
+    ("mit", "mit|expat", r"(?:the )?(?:mit|expat)(?:/x11|/expat)? licen[cs]e", ""),
     ("mit-0", "attribution", r"mit no attribution(?: licen[cs]e)?", ""),
     ("mpl", "mozilla", r"mozilla public licen[cs]e", "1.0 1.1 2.0"),
     ("ms-pl", "microsoft", r"microsoft public licen[cs]e", ""),
@@ -100,7 +100,7 @@ CLAUSES = (
     ("bsd-4-clause", "advertising acknowledgement", r"all advertising materials mentioning features or use of this software must display the following acknowledgement"),
     ("isc", "copy modify distribute", r"permission to use, copy, modify, and(?:/or)? distribute this software for any purpose with or without fee"),
     ("mit", "permission obtaining", r"permission is hereby granted, free of charge, to any person obtaining a copy"),
-    ("mit", "sublicense merchantability", r"the software is provided [\"']?as is[\"']?, without warranty of any kind"),
+    ("mit", "provided warranty", r"the software is provided [\"']?as is[\"']?, without warranty of any kind"),
     ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain"),
     ("public-domain", "public domain", r"(?:dedicated to|released into|placed in) the public domain"),
     ("proprietary", "proprietary confidential", r"(?:proprietary and confidential|confidential and proprietary)"),
@@ -110,7 +110,7 @@ CLAUSES = (
 
 @dataclass(frozen=True)
 class Rule:
-    """``priority`` orders the resolution; ``words`` gate the regex; ``label`` is what it says."""
+    """``priority`` orders the resolution; ``words`` gate the regex, of ``a|b`` one is enough; ``label`` is what it says."""
 
     priority: int
     label: str
@@ -162,19 +162,24 @@ def resolve(found: list[Detection]) -> list[Detection]:
     return sorted(accepted, key=lambda d: (d.start, d.end))
 
 
+#: Any run of white space, with the mark of a comment where a line begins; possessive, so that it is read once.
+_BLANK = r"(?:[^\S\r\n]|[\r\n]\s*+(?:(?:/?\*{1,2}|/{2,3}|\#{1,3}|;{1,3}|%{1,3}|!{1,3}|>{1,3}|--|\||dnl|rem)(?=\s))?+)++"
+
+
 def _spaced(pattern: str) -> str:
-    """A blank in a rule is any short run of white space."""
-    return pattern.replace("[- ]", r"[-\s]").replace(" ?", r"\s{0,4}").replace(" ", r"\s{1,4}")
+    """A blank in a rule is any run of white space, over the lines of a comment too."""
+    marks = {"[- ]": rf"(?:-|{_BLANK})", " ?": rf"(?:{_BLANK})?+", " ": _BLANK}
+    return re.sub(r"\[- \]| \??", lambda m: marks[m[0]], pattern)
 
 
 @lru_cache(maxsize=1)
-def _compiled() -> tuple[np.ndarray, list[tuple[Rule, tuple[int, ...], re.Pattern[bytes]]], list[tuple[str, np.ndarray]]]:
+def _compiled() -> tuple[np.ndarray, list[tuple[Rule, tuple[frozenset[int], ...], re.Pattern[bytes]]], list[tuple[str, np.ndarray]]]:
     every = rules()
-    words = sorted({w for r in every for w in r.words})
+    words = sorted({w for r in every for each in r.words for w in each.split("|")})
     gates = np.array([word_hash(w) for w in words], np.uint64)
     order = np.argsort(gates)
     place = {words[i]: k for k, i in enumerate(order)}
-    gated = [(r, tuple(place[w] for w in r.words), re.compile(_spaced(r.pattern).encode("latin-1"), re.DOTALL)) for r in every]
+    gated = [(r, tuple(frozenset(place[w] for w in each.split("|")) for each in r.words), re.compile(_spaced(r.pattern).encode("latin-1"), re.DOTALL)) for r in every]
     phrases = [(label, np.array([word_hash(w) for w in phrase.split()], np.uint64)) for phrase, label in BASE_PHRASES]
     return gates[order], gated, phrases
 
@@ -233,7 +238,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             confidence, detections = 0.5 if places else 0.0, []
             if have := opened.get(text):
                 body = LOWER[tokens.data[edges[text] : edges[text + 1]]].tobytes()
-                found = [Detection(m.start(), m.end(), rule) for rule, need, regex in gated if have.issuperset(need) for m in regex.finditer(body)]
+                found = [Detection(m.start(), m.end(), rule) for rule, need, regex in gated if not any(have.isdisjoint(each) for each in need) for m in regex.finditer(body)]
                 own = tokens.starts[tokens.bounds[text] : tokens.bounds[text + 1]] - edges[text]
                 for d in resolve(found):
                     first, last = (int(np.searchsorted(own, x)) for x in (d.start, d.end))

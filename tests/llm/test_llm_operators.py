@@ -379,6 +379,55 @@ def test_license_base_columns_and_labels(spark, empty):
     assert len(licenses.rules()) > 300 and licenses.scan_licenses(empty).count() == 0
 
 
+def test_license_names_over_lines_and_every_alternative(spark):
+    rows = {
+        "GNU GENERAL PUBLIC LICENSE\n" + " " * 23 + "Version 3": "gpl,gpl-3.0", "Apache License\n" + " " * 27 + "Version 2.0": "apache-2.0", "Mozilla\n" + " " * 40 + "Public License": "mpl",
+        " * GNU Lesser General\n *\n * Public License, version 2.1": "gpl,lgpl-2.1", "# Eclipse\n#  Public License 2.0": "epl-2.0", "the expat license": "mit", "freebsd license": "bsd-2-clause",
+        'the software is provided "as is", without warranty of any kind': "mit", "do what the\n**** you want to public license": "wtfpl",
+    }
+    found = {r["doc_id"]: r["labels"] for r in licenses.scan_licenses(documents(spark, list(enumerate(rows)))).collect()}
+    assert found == dict(enumerate(rows.values()))
+    scanned = licenses._compiled()[1]
+    assert not any(regex.search(b"copyright" + b" \n" * 200_000 + b"x") for rule, _, regex in scanned if rule.label in ("copyright", "apache"))
+
+
+def alternatives(parsed):
+    """Texts of a parsed rule: every branch, class and optional part in each of its forms; wide classes as one letter."""
+    out = [""]
+    for op, value in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            own = [chr(value)]
+        elif name == "IN":
+            own = [chr(v) for k, v in value if str(k) == "LITERAL"] or ["1"]
+            own = own[:1] if str(value[0][0]) == "NEGATE" else own
+        elif name in ("ANY", "NOT_LITERAL"):
+            own = ["x"]
+        elif name == "BRANCH":
+            own = [t for branch in value[1] for t in alternatives(branch)]
+        elif name == "SUBPATTERN":
+            own = alternatives(value[3])
+        elif name.endswith("REPEAT"):
+            low, high, inner = value
+            own = ([""] if low == 0 else []) + [t * max(low, 1) for t in alternatives(inner)]
+        else:
+            own = [""]
+        out = [a + b for a in out for b in own]
+    return out
+
+
+def test_every_alternative_of_every_license_rule_opens_its_gate():
+    gates, gated, _ = licenses._compiled()
+    for rule, need, regex in gated:
+        if rule.priority in (60, 61):  # a grant is the name of 40 or 41 behind other words, with the same gate
+            continue
+        texts = [t for t in alternatives(re._parser.parse(rule.pattern)) if regex.search(t.encode("latin-1"))]
+        assert texts, rule
+        opened = licenses._gates_open(text.tokenise(pa.array([t.encode("latin-1").decode("utf-8", "replace") for t in texts])), gates)
+        for k, t in enumerate(texts):
+            assert all(each & opened.get(k, set()) for each in need), (rule, t)
+
+
 def test_contained_detections_are_suppressed():
     rule = lambda p, label: licenses.Rule(p, label, (), "", 1.0)
     found = [licenses.Detection(0, 10, rule(5, "a")), licenses.Detection(2, 8, rule(1, "b")), licenses.Detection(8, 12, rule(1, "c")), licenses.Detection(8, 11, rule(1, "d")), licenses.Detection(0, 10, rule(5, "z"))]
