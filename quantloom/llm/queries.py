@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quantloom.llm import bpe, decontaminate, language, licenses, lm, minhash, packing, passages, ranking, secrets, vectors, warc
+from quantloom.llm import alignment, bpe, decontaminate, language, licenses, lm, minhash, packing, passages, ranking, secrets, vectors, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,6 +78,12 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "first_word", "last_word", "others")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlaps of byte-level and sentence-piece tokens of every document."""
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align(_table(spark, sf_dir, "documents"), *paths, digest=True).withColumnRenamed("groups", "groups_sha256")
+
+
 def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ids of every document by a public rank file, and what they decode to, as digests."""
     return bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -88,5 +94,5 @@ def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_secret_scan, op3_decontamination, op4_language_id, op5_warc_index, op6_best_fit_packing, op7_minhash_dedup, op8_vector_search, op9_license_scan, op10_suffix_dedup, op12_bpe_codec, op13_lexical_search)}
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_secret_scan, op3_decontamination, op4_language_id, op5_warc_index, op6_best_fit_packing, op7_minhash_dedup, op8_vector_search, op9_license_scan, op10_suffix_dedup, op11_token_alignment, op12_bpe_codec, op13_lexical_search)}
 ORACLE_SQL: dict[str, str] = {"op2_secret_scan": secrets.ORACLE, "op3_decontamination": decontaminate.ORACLE, "op5_warc_index": warc.ORACLE, "op13_lexical_search": ranking.ORACLE}
