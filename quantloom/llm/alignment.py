@@ -169,10 +169,10 @@ def tokens_of(a: _Side, b: _Side, texts: list[str]) -> tuple[Spans, Spans]:
     for side in (a, b):
         ids, counts = side.encode(wanted)
         data = side.vocabulary.decode(ids)
-        if data.tobytes() != b"".join(raw):
+        if data != b"".join(raw):
             ends = np.concatenate([[0], np.cumsum(counts)])
             sizes = np.concatenate([[0], np.cumsum(side.vocabulary.lengths[ids])])[ends]
-            good &= np.array([data[x:y].tobytes() == r for x, y, r in zip(sizes[:-1].tolist(), sizes[1:].tolist(), raw)], bool)
+            good &= np.array([data[x:y] == r for x, y, r in zip(sizes[:-1].tolist(), sizes[1:].tolist(), raw)], bool)
         found.append((ids, counts))
     return tuple(_take(side, texts, good, ids, counts) for side, (ids, counts) in zip((a, b), found))
 
@@ -181,16 +181,18 @@ def links(a: Spans, b: Spans) -> tuple[np.ndarray, np.ndarray]:
     """All pairs of token places (in a, in b) whose bytes overlap."""
     one = pd.DataFrame({"start": a.start, "doc": a.doc, "own": np.arange(len(a.ids))})
     two = pd.DataFrame({"start": b.start, "doc": b.doc, "other": np.arange(len(b.ids))})
-    forth = pd.merge_asof(one, two, on="start", by="doc")
-    back = pd.merge_asof(two, one.assign(begin=one["start"]), on="start", by="doc")
-    back = back[back["start"] > back["begin"]]  # equal starts are found already
-    return np.concatenate([forth["own"], back["own"]]).astype(np.int64), np.concatenate([forth["other"], back["other"]]).astype(np.int64)
+    cover_b = pd.merge_asof(one, two, on="start", by="doc")["other"].to_numpy(np.int64)
+    cover_a = pd.merge_asof(two, one, on="start", by="doc")["own"].to_numpy(np.int64)
+    later = np.flatnonzero(b.start > a.start[cover_a])  # equal starts are found already
+    return np.concatenate([np.arange(len(a.ids)), cover_a[later]]), np.concatenate([cover_b, later])
 
 
 def _groups(a: Spans, b: Spans) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The group of every token of both sides, and the text of every group; ends that both share close a group."""
-    ends, _, at = np.intersect1d(a.end, b.end, assume_unique=True, return_indices=True)
-    return np.searchsorted(ends, a.end), np.searchsorted(ends, b.end), b.doc[at]
+    ends = np.zeros((2, int(a.end[-1]) + 1 if len(a.end) else 1), bool)
+    ends[0, a.end] = ends[1, b.end] = True
+    shared_a, shared_b = ends[1, a.end], ends[0, b.end]
+    return np.cumsum(shared_a) - shared_a, np.cumsum(shared_b) - shared_b, b.doc[shared_b]
 
 
 class _Numbers:
@@ -239,7 +241,7 @@ def _block(block: int, part: pa.RecordBatch, own: tuple[_Side, _Side], digest: b
     n = part.num_rows
     a, b = tokens_of(*own, [t or "" for t in part.column("text").to_pylist()])
     one, two = links(a, b)
-    codes, nth = np.unique(a.ids[one] << 32 | b.ids[two], return_inverse=True)
+    nth, codes = pd.factorize(a.ids[one] << 32 | b.ids[two])
     held, times = np.unique(a.doc[one] * max(1, len(codes)) + nth, return_counts=True)
     doc, pair = held // max(1, len(codes)), held % max(1, len(codes))
     cuts = 4 * np.searchsorted(doc, np.arange(n + 1))

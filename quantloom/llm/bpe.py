@@ -209,7 +209,7 @@ def decode(rows: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = encoder(path, pattern).vocabulary
         for batch in batches:
-            data = [vocabulary.decode(np.array(ids or [], np.int64)).tobytes() for ids in batch.column("ids").to_pylist()]
+            data = [vocabulary.decode(np.array(ids or [], np.int64)) for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(data, pa.binary())], ["doc_id", "data"])
 
     return rows.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(run, "doc_id long, data binary")
@@ -231,7 +231,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             begins = ends - counts
             hashes = [hashlib.sha256(packed[4 * a : 4 * b]).hexdigest() for a, b in zip(begins.tolist(), ends.tolist())]
             back = np.frombuffer(packed, "<u4").astype(np.int64)
-            data = own.vocabulary.decode(back).tobytes()
+            data = own.vocabulary.decode(back)
             places = np.concatenate([[0], np.cumsum(own.vocabulary.lengths[back])])
             texts = [hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(places[begins].tolist(), places[ends].tolist())]
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(hashes), pa.array(texts)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])

@@ -8,6 +8,7 @@ gather.  It is emptied between batches as soon as it exceeds its bounds.
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import repeat
 
 import numpy as np
 
@@ -36,13 +37,15 @@ class PieceCache:
         """The ids of all pieces end to end, and how many ids each piece has."""
         if len(self.known) > MAX_PIECES or len(self.ids) > MAX_IDS:
             self._empty()
-        new = list(set(pieces).difference(self.known))
-        if new:
+        own = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        missing = np.flatnonzero(own < 0).tolist()
+        if missing:
+            new = list({pieces[k] for k in missing})
             ids, lengths = self.encode(new)
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
             self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum(lengths)])
             self.ids = np.concatenate([self.ids, ids])
-        own = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+            own[missing] = [self.known[pieces[k]] for k in missing]
         begins = self.begins[own]
         lengths = self.begins[own + 1] - begins
         return self.ids[spread(begins, lengths)], lengths
@@ -52,10 +55,9 @@ class Vocabulary:
     """The bytes of every id, end to end."""
 
     def __init__(self, tokens: list[bytes]) -> None:
+        self.tokens = tokens
         self.lengths = np.array([len(t) for t in tokens], np.int64)
-        self.begins = np.cumsum(self.lengths) - self.lengths
-        self.data = np.frombuffer(b"".join(tokens), np.uint8)
 
-    def decode(self, ids: np.ndarray) -> np.ndarray:
+    def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of all ids, end to end."""
-        return self.data[spread(self.begins[ids], self.lengths[ids])]
+        return b"".join(map(self.tokens.__getitem__, ids.tolist()))
