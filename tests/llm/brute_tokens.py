@@ -58,11 +58,15 @@ def alignments(docs):
                 pairs.append((i, b[k][0]))
                 k += 1
         cuts = sorted({e for *_, e in a} & {e for *_, e in b})
-        groups, low = [], 0
+        groups, at = [], [0, 0]
         for high in cuts:
-            inside = [[str(i) for i, _, e in side if low < e <= high] for side in (a, b)]
-            groups.append("|".join(map(",".join, inside)))
-            low = high
+            inside = []
+            for which, side in enumerate((a, b)):
+                first = at[which]
+                while at[which] < len(side) and side[at[which]][2] <= high:
+                    at[which] += 1
+                inside.append(",".join(str(i) for i, *_ in side[first : at[which]]))
+            groups.append("|".join(inside))
         found.append((doc, len(a), len(b), len(cuts), pairs, ";".join(groups)))
     count = Counter(p for *_, pairs, _ in found for p in set(pairs))
     best = defaultdict(int)

@@ -38,7 +38,7 @@ def test_queries_equal_their_sql(spark, con, name):
 
 def test_every_operator_is_registered():
     queries = __spark_entry__.queries()
-    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in queries)] == [] and "pipeline" in queries
+    assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in queries)] == [] and "pipeline" in queries
     assert set(ORACLE_SQL) <= set(__spark_entry__.oracle_sql())
 
 
