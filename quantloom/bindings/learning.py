@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quantloom.bindings.registry import bind, table
-from quantloom.models import boosting
+from quantloom.models import boosting, symmetric, uncertainty
 from quantloom.operators.filters import latest_only
 from quantloom.session import scratch_path
 
@@ -185,3 +185,118 @@ def _(spark, d):
 def _(spark, d):
     sums = _model(spark, d).categories.where("feature = 'sector'")
     return sums.select("category", F.col("number").alias("n"), F.round(F.col("total") / F.col("number"), 6).alias("mean_target"))
+
+
+# ---- mean and uncertainty together ----------------------------------------------------------
+
+_JOINT: dict[tuple, uncertainty.UncertaintyModel] = {}
+
+
+def _joint(spark, d):
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _JOINT:
+        _JOINT[key] = uncertainty.train_uncertainty(table(spark, d, "samples"), TARGET, SEED, ITERATIONS, depth=3, n_borders=16)
+    return _JOINT[key]
+
+
+@bind("train_uncertainty", "I3 I5", f"""
+    with {_SPLIT} select '{TARGET}' as pred_col, {SEED} as model_seed, count(*) as n_rows,
+      count(*) filter (split = 'train') as n_train,
+      count(*) filter (split = 'validation') as n_validation,
+      count(*) filter (split = 'test') as n_test, true as beats_the_mean, true as boosted
+    from parts""")
+def _(spark, d):
+    rows, model = table(spark, d, "samples"), _joint(spark, d)
+    spread = rows.agg(F.stddev_samp(TARGET)).scalar()
+    out = boosting.evaluate(rows, model)
+    return out.withColumns({
+        "beats_the_mean": F.col("test_rmse") < spread, "boosted": F.col("best_iteration") > 1,
+    }).drop("test_rmse", "best_iteration")
+
+
+@bind("ordered_category_means", "I2", f"""
+    select ticker, date, round((coalesce(sum({TARGET}) over w, 0) + (select avg({TARGET}) from samples))
+      / (count({TARGET}) over w + 1), 6) as sector_mean
+    from samples
+    window w as (partition by sector order by {_UNIT.format(SEED)}, ticker, date rows between unbounded preceding and 1 preceding)""")
+def _(spark, d):
+    rows = table(spark, d, "samples").select("ticker", "date", "sector", TARGET)
+    prior = rows.agg(F.avg(TARGET)).first()[0]
+    # so low a limit that large sectors are cut into slices
+    out = uncertainty.ordered_target_mean(rows, "sector", TARGET, ["ticker", "date"], SEED, prior, "sector_mean", max_group_rows=2000)
+    return out.select("ticker", "date", F.round("sector_mean", 6).alias("sector_mean"))
+
+
+@bind("model_history", "I5 I6", f"""
+    select '{TARGET}' as pred_col, f.feature, count(x) as n, count(*) - count(x) as missing, round(avg(x), 6) as mean,
+      min(x) as low, max(x) as high, true as loaded_alike
+    from samples, {{features}}, lateral (select case f.feature when 'quantity' then quantity when 'money' then money
+      when 'discount' then discount else tax end::double as x)
+    where {TARGET} is not null group by f.feature""".replace("{features}", "(values ('quantity'), ('money'), ('discount'), ('tax')) f(feature)"))
+def _(spark, d):
+    """The statistics of a model's training columns, and its scores after it was stored and loaded."""
+    rows, model = table(spark, d, "samples"), _joint(spark, d)
+    path = scratch_path(spark, "model")
+    uncertainty.save_model(model, spark, path)
+    both = [m.score(rows, ["ticker", "date"], "delta").select(F.sum("predicted_value_log"), F.sum("variance")).first() for m in (model, uncertainty.load_model(spark, path))]
+    alike = all(abs(a - b) < 1e-6 * (1 + abs(a)) for a, b in zip(*both))
+    facts = uncertainty.column_statistics(rows, model)
+    return facts.select("pred_col", "feature", "n", "missing", F.round("mean", 6).alias("mean"), "low", "high", F.lit(alike).alias("loaded_alike"))
+
+
+_CUTS = {"quantity": [10.0, 20.0, 30.0, 40.0], "discount": [0.025, 0.055, 0.085]}
+_STUMP = """
+    base as (select l_orderkey, l_linenumber, l_quantity::double as quantity, l_discount::double as discount,
+      ln(l_extendedprice::double) as y, l_orderkey % {modulus} = {modulus} - 1 as held from lineitem),
+    start as (select avg(y) as mu, stddev_pop(y) as sd from base where not held),
+    gradients as (select base.*, y - mu as g, (y - mu) / sd as z, 0.5 * (((y - mu) / sd) ** 2 - 1) as v from base, start),
+    cuts as (select * from (values ('quantity', 10.0), ('quantity', 20.0), ('quantity', 30.0), ('quantity', 40.0),
+      ('discount', 0.025), ('discount', 0.055), ('discount', 0.085)) c(feature, cut)),
+    sides as (select feature, cut, case feature when 'quantity' then quantity else discount end > cut as above,
+      count(*) as n, sum(g) as g, sum(z) as z, sum(v) as v from gradients, cuts where not held group by 1, 2, 3),
+    chosen as (select feature, cut from sides group by 1, 2 order by sum((z ** 2 + v ** 2) / n) desc limit 1),
+    leaves as (select feature, cut, above, g / n as step, v / n as deviation from sides join chosen using (feature, cut))"""
+
+
+def _stump(spark, d, modulus):
+    """One tree of one split: small enough for SQL to find it as well."""
+    rows = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_quantity").cast("double").alias("quantity"), F.col("l_discount").cast("double").alias("discount"),
+        F.ln(F.col("l_extendedprice").cast("double")).alias("y"), (F.col("l_orderkey") % modulus == modulus - 1).alias("held"),
+    )
+    return rows, symmetric.fit(rows, "y", list(_CUTS), F.col("held"), 1, depth=1, rate=1.0, l2=0.0, min_rows=1, borders=list(_CUTS.values()))
+
+
+@bind("exact_attributions", "I7 I9", f"""
+    with {_STUMP.format(modulus=2_000_000_000)}
+    select l_orderkey, l_linenumber, round(mu + step, 6) as prediction, round((sd * exp(deviation)) ** 2, 6) as variance,
+      round(case feature when 'quantity' then step else 0 end, 6) as quantity,
+      round(case feature when 'discount' then step else 0 end, 6) as discount,
+      round(case feature when 'quantity' then deviation else 0 end, 6) as log_deviation_of_quantity, round(mu, 6) as bias
+    from base, start, leaves where (case feature when 'quantity' then quantity else discount end > cut) = above""")
+def _(spark, d):
+    """Predictions, variances and contributions of every row; expected steps are 0, so the bias is the mean."""
+    rows, model = _stump(spark, d, 2_000_000_000)
+    out = symmetric.predict(rows, model, ["l_orderkey", "l_linenumber"])
+    number = lambda c: F.round(c, 6) + F.lit(0.0)  # noqa: E731  (no negative zero)
+    return out.select(
+        "l_orderkey", "l_linenumber", number(F.col("prediction")).alias("prediction"), number(F.col("variance")).alias("variance"),
+        number(F.col("contributions")[0]).alias("quantity"), number(F.col("contributions")[1]).alias("discount"),
+        number(F.col("log_deviation_contributions")[0]).alias("log_deviation_of_quantity"), number(F.col("bias")).alias("bias"),
+    )
+
+
+@bind("validation_curve", "I3 I5", f"""
+    with {_STUMP.format(modulus=4)},
+    after as (select y, held, mu, sd, step, deviation from base, start, leaves
+      where (case feature when 'quantity' then quantity else discount end > cut) = above),
+    states as (select 0 as iteration, y - mu as e, ln(sd) as s from after where held
+      union all select 1, y - mu - step, ln(sd) + deviation from after where held),
+    curve as (select iteration, count(*) as rows, sqrt(avg(e ** 2)) as rmse,
+      avg(0.5 * (e / exp(s)) ** 2 + s + 0.5 * ln(2 * pi())) as nll from states group by 1)
+    select iteration, rows, round(rmse, 6) as rmse, round(nll, 6) as negative_log_likelihood, nll = min(nll) over () as is_best from curve""")
+def _(spark, d):
+    """Held-out errors before and after the tree, and the position of the minimum."""
+    _, model = _stump(spark, d, 4)
+    out = symmetric.curve_table(model, spark)
+    return out.withColumns({c: F.round(c, 6) for c in ("rmse", "negative_log_likelihood")})

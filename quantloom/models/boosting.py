@@ -10,7 +10,7 @@ from __future__ import annotations
 import itertools
 import json
 import random
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -219,6 +219,8 @@ def score(
     std_formula: str = "delta",
 ) -> DataFrame:
     """Mean and variance on the log scale, and back on the return scale."""
+    if not isinstance(model, HorizonModel):  # such as uncertainty.UncertaintyModel
+        return model.score(df, keep, std_formula)
     means = model.mean.transform(_encoded(df, model)).withColumnRenamed(
         "_prediction", "predicted_value_log",
     )
@@ -280,8 +282,10 @@ def attributions(
     A feature that is absent takes its mean.  Each row is evaluated on a fixed
     set of feature subsets; since a contribution is a weighted sum of those
     predictions, the map side already adds up a row's evaluations before the
-    shuffle.
+    shuffle.  Models with exact contributions of their own give those.
     """
+    if not isinstance(model, HorizonModel):
+        return model.attributions(df, keep)
     n = len(model.features)
     subsets, weights = _coalitions(n, permutations, model.seed)
     plan = json.dumps([
@@ -371,18 +375,19 @@ def key_history(df: DataFrame, model: HorizonModel, key: str, start: str = "2019
 
 def feature_importance(model: HorizonModel, df: DataFrame) -> DataFrame:
     """Features by importance, largest first (one row per feature)."""
-    values = [(n, float(v)) for n, v in zip(model.features, model.mean.featureImportances.toArray())]
+    shares = model.mean.featureImportances.toArray() if isinstance(model, HorizonModel) else model.importances(df)
+    values = [(n, float(v)) for n, v in zip(model.features, shares)]
     table = df.sparkSession.createDataFrame(values, "feature string, importance double")
     return table.orderBy(F.col("importance").desc(), "feature")
 
 
 def train_all(
     df: DataFrame, targets: Sequence[str] = TRAINED_TARGETS, seed: int = 0,
-    iterations: int = ITERATIONS["dev"],
+    iterations: int = ITERATIONS["dev"], train: Callable[..., HorizonModel] | None = None,
 ) -> dict[str, HorizonModel]:
-    """One model per horizon from one materialised feature table."""
+    """One model per horizon from one materialised feature table; ``train`` may be ``uncertainty.train_uncertainty``."""
     stored = checkpointed(df)
-    return {t: train_horizon(stored, t, seed, iterations) for t in targets}
+    return {t: (train or train_horizon)(stored, t, seed, iterations) for t in targets}
 
 
 def all_predictions(df: DataFrame, models: Mapping[str, HorizonModel], **options) -> DataFrame:

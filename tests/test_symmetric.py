@@ -10,7 +10,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quantloom.models import symmetric
+from quantloom.functions.scalars import hash_unit
+from quantloom.models import boosting, symmetric, uncertainty
 from quantloom.models.symmetric import Ensemble, Tree
 
 NAMES = ["a", "b", "c"]
@@ -147,3 +148,63 @@ def test_no_rows_no_features_and_equal_targets(spark, noisy):
     assert none.trees == [] and symmetric.predict(noisy.limit(1), none, ["id"]).count() == 1
     with pytest.raises(ValueError, match="borders"):
         symmetric.fit(noisy, "y", NAMES, F.col("held"), n_borders=300)
+
+
+# ---- horizon models ---------------------------------------------------------------------------
+
+
+def panel_rows(spark, seed):
+    """Returns that follow the sector and whose spread follows ``risk``."""
+    rng = random.Random(seed)
+    means = {"x": 0.4, "y": -0.4, None: 0.0}
+    rows = []
+    for k in range(2500):
+        sector, risk = rng.choice(list(means)), rng.random()
+        rows.append((f"T{k % 50}", f"2001-01-{k // 50:02d}x", sector, risk, means[sector] + rng.gauss(0, 1.0 if risk > 0.5 else 0.1)))
+    return spark.createDataFrame(rows, "ticker string, date string, sector string, risk double, excess_return_ln_12m double").repartition(2).cache()
+
+
+@pytest.fixture(scope="module")
+def panel(spark):
+    return panel_rows(spark, 4)
+
+
+def test_joint_models_beat_two_separate_ones_on_rows_not_seen(spark, panel, scratch):
+    target = "excess_return_ln_12m"
+    joint = uncertainty.train_uncertainty(panel, target, 3, 40, depth=2, rate=0.3, n_borders=16)
+    apart = boosting.train_horizon(panel, target, 3, 8)
+    test = boosting.split(panel, 3).where("split = 'test'")
+    fresh, loss = panel_rows(spark, 5), {}
+    for name, own in (("joint", joint), ("apart", apart)):
+        scored = boosting.score(fresh, own).withColumn("y", F.col("actual_value_log"))
+        loss[name] = likelihood(scored, F.col("predicted_value_log"), F.col("variance"))
+    assert loss["joint"] < loss["apart"], loss
+    shares = boosting.attributions(test, joint)
+    assert shares.columns == ["ticker", "date", "shap_sector", "shap_risk", "bias"]
+    gap = shares.join(boosting.score(test, joint), ["ticker", "date"]).select(F.max(F.abs(F.col("shap_sector") + F.col("shap_risk") + F.col("bias") - F.col("predicted_value_log"))))
+    assert gap.first()[0] < 1e-9
+    assert boosting.feature_importance(joint, test).first()["feature"] == "sector"
+    facts = uncertainty.training_statistics(panel, joint).first()
+    assert facts["n_test"] == test.count() and facts["n_rows"] == 2500 and 0 < facts["test_r2"] < 1 and facts["test_rmse"] > 0 and facts["test_mape"] > 0
+    uncertainty.save_model(joint, spark, f"{scratch.path}/joint")
+    again = uncertainty.load_model(spark, f"{scratch.path}/joint")
+    pick = ["ticker", "date", "predicted_value_log", "variance"]
+    assert sorted(boosting.score(test, again).select(pick).collect()) == sorted(boosting.score(test, joint).select(pick).collect())
+    assert again.trained_at == joint.trained_at and again.features == joint.features
+
+
+def test_ordered_means_leave_out_the_own_target_and_survive_slices(spark, panel):
+    rows = [tuple(r) for r in panel.select("ticker", "date", "sector", "excess_return_ln_12m").collect()]
+    small = panel.select("ticker", "date", F.col("sector").alias("c"), F.col("excess_return_ln_12m").alias("y"))
+    found = []
+    for limit in (None, 5000, 300):
+        out = uncertainty.ordered_target_mean(small, "c", "y", ["ticker", "date"], 5, 0.25, "m", max_group_rows=limit)
+        assert out.columns == ["ticker", "date", "c", "y", "m"]
+        found.append({(r["ticker"], r["date"]): r["m"] for r in out.collect()})
+    order = {tuple(r[:2]): r[2] for r in small.select("ticker", "date", hash_unit("ticker", "date", seed=5)).collect()}
+    sums: dict = {}
+    for ticker, date, c, y in sorted(rows, key=lambda r: (order[r[:2]], r[:2])):
+        total, n = sums.get(c, (0.0, 0))
+        for values in found:
+            assert values[ticker, date] == pytest.approx((total + 0.25) / (n + 1), abs=1e-9)
+        sums[c] = total + y, n + 1
