@@ -9,6 +9,7 @@ from quantloom.bindings.registry import bind, table
 from quantloom.bindings.standins import METRIC_NAMES
 from quantloom.plans import features, predictions, refresh, universe
 from quantloom.session import scratch_path
+from quantloom.sources import versions
 from quantloom.sources.tables import full_refresh, upsert_partitions
 from quantloom.streaming import landing
 
@@ -517,6 +518,32 @@ def _(spark, d):
 
 
 
+@bind("stream_quarantine", "J1", """
+    select date, close, case when date >= date '2001-01-01' and day(date) > 3 then adjClose * 2 else adjClose end as adjClose,
+      adjVolume, ticker from stock_prices""")
+def _(spark, d):
+    """Good and broken files arrive, one of the good ones twice; the broken ones change nothing."""
+    prices = table(spark, d, "stock_prices").select("date", "close", "adjClose", "adjVolume", "ticker")
+    target, feed, marks = (scratch_path(spark, n) for n in ("quarantined", "feed", "offsets"))
+    landing.create_table(prices, target)
+    late = prices.where("date >= date '2001-01-01'").withColumn("adjClose", F.col("adjClose") * 2)
+    good = late.where("day(date) > 3").coalesce(2)
+    good.write.option("header", True).csv(feed)
+
+    def run():
+        landing.stream_landing_upsert(
+            spark, feed, target, marks, "date date, close double, adjClose double, adjVolume double, ticker string",
+            schemas.DAILY_ADJUSTED_KEY, [F.col("adjClose").desc()], ["date", "close", "adjClose", "adjVolume", "ticker"],
+        ).awaitTermination()
+
+    run()
+    broken = late.where("day(date) <= 3").withColumn("close", F.when(F.dayofmonth("date") == 1, "n/a").otherwise(F.col("close").cast("string")))
+    broken.coalesce(1).write.mode("append").option("header", True).csv(feed)
+    good.write.mode("append").option("header", True).csv(feed)
+    run()
+    return landing.read_table(spark, target)
+
+
 @bind("stream_restatement", "J2 K6", """
     with latest as (
       select date, close, adjClose, adjVolume, upper(ticker) as ticker from snapshot
@@ -570,6 +597,19 @@ def _(spark, d):
     return spark.read.parquet(path).select("o_orderkey", "priority", "o_totalprice")
 
 
+@bind("versioned_upsert", "A9 A11", """
+    select o_orderkey, o_orderpriority, case when o_orderkey % 3 = 0 and o_orderpriority in ('1-URGENT', '5-LOW') then o_totalprice + 1
+      else o_totalprice end as o_totalprice from orders""")
+def _(spark, d):
+    """Two priorities get updates, in one step for readers; the others keep their files."""
+    root = scratch_path(spark, "versions")
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    versions.create_versioned(o, root, "o_orderpriority")
+    late = o.where("o_orderkey % 3 = 0 and o_orderpriority in ('1-URGENT', '5-LOW')").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    versions.upsert_versioned(spark, root, late, ["o_orderkey"], "o_orderpriority")
+    return versions.read_versioned(spark, root)
+
+
 @bind("daily_upsert", "A9 K5", f"""
     with {_UNIVERSE}, {_SELECTED}
     select date, close, adjClose, adjVolume, ticker from stock_prices

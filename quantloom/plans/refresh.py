@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,15 +26,15 @@ from quantloom.session import checkpointed
 from quantloom.sources.archive import read_zipped_csv
 from quantloom.sources.csv import (
     FILE_KEY,
+    bound_files,
     cast_to,
     dedupe_rows,
     key_from_file,
-    named_cell,
     read_cells,
     read_csv_by_name,
     read_csv_strings,
 )
-from quantloom.sources.payloads import EMPTY_BODIES, classify_payloads, ingest_report
+from quantloom.sources.payloads import classify_payloads, ingest_report
 from quantloom.sources.tables import full_refresh, upsert, upsert_partitions
 from quantloom.streaming import landing
 
@@ -93,47 +92,23 @@ def read_landed(
     line, a bad value, another header or no data fails alone.  A wanted key
     without a file is failed as well.
     """
-    layout = T.StructType.fromDDL(ddl)
-    names = layout.fieldNames()
+    names = T.StructType.fromDDL(ddl).fieldNames()
     lines = read_cells(spark, path, names)
-    lines = lines.withColumn("ticker", key_from_file("path", key_pattern))
+    key = key_from_file("path", key_pattern)
     if wanted is not None:
         wanted = wanted.select(F.upper("ticker").alias("ticker")).distinct()
-        lines = lines.join(wanted, "ticker", "left_semi")
-    lines = checkpointed(lines)
-    body = F.trim(F.col("cells")[0])
-    files = lines.groupBy("path", "ticker").agg(
-        F.max(F.when(F.col("is_header"), F.transform("cells", lambda c: F.trim(c)))).alias("header"), F.count(F.lit(1)).alias("n_lines"),
-        F.bool_or(F.col("ragged")).alias("ragged"), F.min(body).alias("body"),
-    )
-    data = lines.where("not is_header").join(files.where("header is not null").select("path", "header"), "path")
-    texts = {f.name: named_cell(f.name) for f in layout}
-    values = {f.name: _try_typed(texts[f.name], f.dataType) for f in layout}
-    unread = reduce(lambda x, y: x | y, [texts[n].isNotNull() & values[n].isNull() for n in names])
-    typed = data.select("path", *[values[n].alias(n) for n in names], F.col("ticker").alias("_key"), unread.alias("_unread"))
-    broken = typed.where("_unread").select("path", F.lit(True).alias("broken")).distinct()
-    single = F.col("n_lines") == 1
-    kind = (
-        F.when(single & F.col("body").isin(*EMPTY_BODIES), "empty")
-        .when(single | F.col("header").isNull() | F.col("ragged") | F.col("broken"), "failed").otherwise("ok")
-    )
-    classified = files.join(broken, "path", "left").select("path", "ticker", F.col("n_lines"), kind.alias("class"))
-    classified = checkpointed(classified)
-    rows = typed.join(classified.where("class = 'ok'").select("path"), "path", "left_semi")
-    rows = rows.select(*[c for c in names if c != "ticker"], F.col("_key").alias("ticker"))
+        lines = lines.withColumn("ticker", key).join(wanted, "ticker", "left_semi").drop("ticker")
+    typed, files = bound_files(checkpointed(lines), ddl)
+    classified = files.withColumn("ticker", key)
+    rows = typed.withColumn("_key", key).select(*[c for c in names if c != "ticker"], F.col("_key").alias("ticker"))
     if wanted is not None:
         found = wanted.join(classified, "ticker", "left")
     else:  # files of no bytes have no lines, only a name
         listed = classify_payloads(spark, path, key_pattern=key_pattern).where("n_bytes = 0")
-        found = classified.unionByName(listed.select("path", "ticker", "n_lines", "class"))
+        found = classified.select("path", "ticker", "n_lines", "class").unionByName(listed.select("path", "ticker", "n_lines", "class"))
     return rows, found.select("path", "ticker", F.coalesce("n_lines", F.lit(0)).cast("bigint").alias("n_lines"), F.coalesce("class", F.lit("failed")).alias("class"))
 
 
-def _try_typed(text: Column, kind: T.DataType) -> Column:
-    """The value of a cell, timestamps accepted for dates; null where it has none."""
-    return (text.try_cast(T.TimestampNTZType()) if isinstance(kind, T.DateType) else text).try_cast(kind)
-
-
 def load_fundamentals(
     spark: SparkSession, path: str, table: DataFrame, keys: Sequence[str], ddl: str,
     wanted: DataFrame | None = None, key_pattern: str = FILE_KEY,

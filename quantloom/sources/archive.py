@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quantloom.session import checkpointed
+from quantloom.sources.csv import try_typed
 
 _CHUNK = 10_000
 _ROWS = "path string, row bigint, fields array<string>, problem string"
@@ -65,14 +66,16 @@ def unpack_archives(archives: DataFrame, ddl: str) -> tuple[DataFrame, DataFrame
 
     Archives are unpacked once, in parallel, and emit records in chunks.  An
     archive without exactly one file, or whose header is another one, is
-    reported with its path and yields no rows; so is every record of another width.
+    reported with its path and yields no rows; so is every record of another
+    width, and every record with a value that its column can't hold.
     """
     schema = T.StructType.fromDDL(ddl)
     names = [f.name for f in schema.fields]
     records = checkpointed(archives.select("path", "content").mapInPandas(_unzip(names), _ROWS))
-    rejects = records.where("problem is not null").select("path", "row", "problem")
-    typed = [
-        F.nullif(F.col("fields")[i], F.lit("")).cast(f.dataType).alias(f.name)
-        for i, f in enumerate(schema.fields)
-    ]
-    return records.where("problem is null").select(*typed), rejects
+    texts = [F.nullif(F.get("fields", F.lit(i)), F.lit("")) for i in range(len(names))]
+    values = [try_typed(t, f.dataType) for t, f in zip(texts, schema.fields)]
+    bad = [F.when(t.isNotNull() & v.isNull(), F.lit(f"{f.name} is no {f.dataType.simpleString()}")) for t, v, f in zip(texts, values, schema.fields)]
+    checked = records.withColumn("problem", F.coalesce("problem", *bad))
+    rejects = checked.where("problem is not null").select("path", "row", "problem")
+    typed = [v.alias(n) for v, n in zip(values, names)]
+    return checked.where("problem is null").select(*typed), rejects

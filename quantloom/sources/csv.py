@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quantloom.session import checkpointed
+
 # Comma separated, double quote as quote and escape.
 _FORMAT = {"header": "true", "sep": ",", "quote": '"', "escape": '"'}
 
@@ -52,14 +55,16 @@ def cast_to(df: DataFrame, ddl: str, strict: bool = True) -> DataFrame:
     return df.select(*out)
 
 
-def read_cells(spark: SparkSession, path: str | Sequence[str], names: Sequence[str]) -> DataFrame:
+def read_cells(spark: SparkSession, path: str | Sequence[str], names: Sequence[str], stream: bool = False) -> DataFrame:
     """Lines of a feed as text: file, cells, whether the line is ragged, and whether it is the header.
 
     The header is any line whose cells are the column names, in whatever order.
+    With ``stream`` new files come as batches, each file whole in one of them.
     """
     cells = [f"c{i}" for i in range(len(names))]
+    reader = spark.readStream if stream else spark.read
     lines = (
-        spark.read.options(**{**_FORMAT, "header": "false"}).option("mode", "PERMISSIVE")
+        reader.options(**{**_FORMAT, "header": "false"}).option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_bad").option("recursiveFileLookup", "true")
         .schema(", ".join([*(f"{c} string" for c in cells), "_bad string"])).csv(path)
         .select(F.col("_metadata.file_path").alias("path"), F.array(*cells).alias("cells"), F.col("_bad").isNotNull().alias("ragged"))
@@ -79,6 +84,44 @@ def headers(lines: DataFrame) -> DataFrame:
     return lines.where("is_header").groupBy("path").agg(F.first(F.transform("cells", lambda c: F.trim(c))).alias("header"))
 
 
+# Fixed value: the body that means "no data for this key"; any other single line is a failure.
+EMPTY_BODIES = ("None",)
+
+
+def try_typed(text: Column, kind: T.DataType) -> Column:
+    """The value of a cell, timestamps accepted for dates; null where it has none."""
+    return (text.try_cast(T.TimestampNTZType()) if isinstance(kind, T.DateType) else text).try_cast(kind)
+
+
+def bound_files(lines: DataFrame, ddl: str) -> tuple[DataFrame, DataFrame]:
+    """``(path and typed columns of the rows of good files, path, n_lines and class of every file)``.
+
+    ``lines`` are materialised ``read_cells``.  Every file is bound by the
+    header that it shows itself; a file with a ragged line, a bad value, another
+    header or no data is ``failed``, one that says there is none is ``empty``,
+    all others are ``ok``.
+    """
+    layout = T.StructType.fromDDL(ddl)
+    names = layout.fieldNames()
+    files = lines.groupBy("path").agg(
+        F.max(F.when(F.col("is_header"), F.transform("cells", lambda c: F.trim(c)))).alias("header"), F.count(F.lit(1)).alias("n_lines"),
+        F.bool_or(F.col("ragged")).alias("ragged"), F.min(F.trim(F.col("cells")[0])).alias("body"),
+    )
+    data = lines.where("not is_header").join(files.where("header is not null").select("path", "header"), "path")
+    texts = {f.name: named_cell(f.name) for f in layout}
+    values = {f.name: try_typed(texts[f.name], f.dataType) for f in layout}
+    unread = reduce(lambda x, y: x | y, [texts[n].isNotNull() & values[n].isNull() for n in names])
+    typed = data.select("path", *[values[n].alias(n) for n in names], unread.alias("_unread"))
+    broken = typed.where("_unread").select("path", F.lit(True).alias("broken")).distinct()
+    single = F.col("n_lines") == 1
+    kind = (
+        F.when(single & F.col("body").isin(*EMPTY_BODIES), "empty")
+        .when(single | F.col("header").isNull() | F.col("ragged") | F.col("broken"), "failed").otherwise("ok")
+    )
+    classified = checkpointed(files.join(broken, "path", "left").select("path", "n_lines", kind.alias("class")))
+    return typed.join(classified.where("class = 'ok'").select("path"), "path", "left_semi").drop("_unread"), classified
+
+
 def first_header(spark: SparkSession, path: str | Sequence[str]) -> str:
     """Header line of one file; stops at the first line found."""
     line = spark.read.text(path).where(F.col("_metadata.file_block_start") == 0).first()

@@ -5,10 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quantloom.sources.csv import FILE_KEY, key_from_file
-
-# Fixed value: the body that means "no data for this key"; any other single line is a failure.
-EMPTY_BODIES = ("None",)
+from quantloom.sources.csv import EMPTY_BODIES, FILE_KEY, key_from_file
 
 
 def classify_payloads(

@@ -103,6 +103,13 @@ def test_archives_hold_exactly_one_csv(spark, scratch):
     }
 
 
+def test_a_value_that_its_column_cannot_hold_is_a_reject(spark, scratch):
+    scratch.put("a.zip", _zip(a="id,day\n1,2024-01-01\nx,2024-01-02\n3,\n4,soon\n5,2024-01-05T00:00:00\n6\n"))
+    good, rejects = archive.read_zipped_csv(spark, scratch.path, "id int, day date")
+    assert rows(good.selectExpr("id", "cast(day as string)")) == [(1, "2024-01-01"), (3, None), (5, "2024-01-05")]
+    assert rows(rejects, "row", "problem") == [(2, "id is no int"), (4, "day is no date"), (6, "wrong number of fields")]
+
+
 def test_payload_classes_and_report(spark, scratch):
     scratch.put("QLM_2011-02-03.csv", HISTORY)
     scratch.put("nodata.csv", "None")
