@@ -12,11 +12,12 @@ epoch each island hands its elite to the next one.
 
 from __future__ import annotations
 
-import bisect
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -25,8 +26,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quantloom.llm.pieces import PieceCache
 from quantloom.llm.store import written
-from quantloom.llm.text import chunks, mix_int, raw_bytes, release
+from quantloom.llm.text import chunks, mix, mix_int, raw_bytes, release
 
 CAPACITY = 2048
 SHARD = 4096
@@ -59,50 +61,64 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = [t.lower().encode() for t in added]
-        self.stretches: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {}
+        self.cache = PieceCache(self._encode_new, CACHE_WORDS)
+        self.words: dict[bytes, bytes | None] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _part(self, part: bytes, letters: str | None) -> bytes:
-        found = self.parts.get(part)
-        if found is None:
-            if letters is None:
-                found = self._whole(part.decode())
-            else:
-                mapped = letters if letters.isascii() else "".join([_BYTE_LETTERS[b] for b in part])
-                found = np.array([t.id for t in self.tokenizer.model.tokenize(mapped)], "<u4").tobytes()
-            self.parts[part] = found
-        return found
-
-    def _stretch(self, stretch: bytes) -> bytes:
-        word = stretch.rstrip(_TAIL)
+    def _word(self, word: bytes) -> bytes | None:
+        """The ids of letters that are in lower case, by the BPE model alone; None for anything else."""
         letters = word.decode()
-        if letters.isalpha() and (letters.isascii() or (max(letters) < "\u0180" and letters.lower() == letters)):
-            ids = self._part(word, letters)
-            return ids + self._part(stretch[len(word) :], None) if len(word) < len(stretch) else ids
-        return self._part(stretch, None)
+        if not letters.isalpha():
+            return None
+        if not letters.isascii():
+            if max(letters) >= "\u0180" or letters.lower() != letters:
+                return None
+            letters = "".join([_BYTE_LETTERS[b] for b in word])
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
+
+    def _encode_new(self, stretches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        words, found = self.words, []
+        if len(words) > CACHE_WORDS:
+            words.clear()
+        for stretch in stretches:
+            word = stretch.rstrip(_TAIL)
+            if word not in words:
+                words[word] = self._word(word)
+            ids = words[word]
+            if ids is None:
+                ids = self._whole(stretch.decode())
+            elif len(word) < len(stretch):
+                tail = stretch[len(word) :]
+                if tail not in words:
+                    words[tail] = self._whole(tail.decode())
+                ids += words[tail]
+            found.append(ids)
+        return np.frombuffer(b"".join(found), "<u4").astype(np.int64), np.array([len(f) // 4 for f in found], np.int64)
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of UTF-8 texts."""
-        out = []
-        known = self.stretches
-        for text in texts:
-            low = text.lower()  # of bytes: A-Z only
-            # Combining marks: composition depends on the case; added tokens: so does their single id.
-            if b"\xcc" in text or b"\xcd" in text or any(t in low for t in self.added):
-                out.append(np.frombuffer(self._whole(text.decode()), "<u4"))
-                continue
-            words = low.split()  # ASCII white space only
-            for word in words:
-                if word not in known:
-                    known[word] = self._stretch(word)
-            out.append(np.frombuffer(b"".join([known[w] for w in words]), "<u4"))
-            for cache in (known, self.parts):
-                if len(cache) > CACHE_WORDS:
-                    cache.clear()
-        return out
+        ids, counts = self.encode_flat(texts)
+        return np.split(ids, np.cumsum(counts)[:-1])
+
+    def encode_flat(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same end to end, and how many ids each text has."""
+        chunk = b"\0".join(texts).lower()  # of bytes: A-Z only; no added token has a zero byte
+        # Combining marks: composition depends on the case; added tokens: so does their single id.
+        marks = [m for m in (b"\xcc", b"\xcd", *self.added) if m in chunk]
+        whole = [k for k, t in enumerate(texts) if any(m in t.lower() for m in marks)] if marks else []
+        left = set(whole)
+        words = [t.lower().split() if k not in left else [] for k, t in enumerate(texts)]  # ASCII white space only
+        ids, lengths = self.cache.lookup([w for own in words for w in own])
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        counts = np.diff(ends[np.concatenate([[0], np.cumsum([len(w) for w in words], dtype=np.int64)])])
+        if not whole:
+            return ids, counts
+        parts = np.split(ids, np.cumsum(counts)[:-1])
+        for k in whole:
+            parts[k] = np.frombuffer(self._whole(texts[k].decode()), "<u4").astype(np.int64)
+        return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
 
 
 #: ASCII punctuation without the apostrophe, which begins contractions.
@@ -136,16 +152,24 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, text: str
         own = encoder(tokenizer)
         base, n = mix_int(TaskContext.get().partitionId() + 1), 0
         for part in chunks(batches):
-            rows = []
             data, offsets = raw_bytes(part.column("text"))
-            texts = [data[a:b].tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-            for ident, ids in zip(part.column("doc_id").to_pylist(), own.encode(texts)):
-                ids = np.append(ids, np.uint32(SEPARATOR)).astype("<u4")
-                for nth, start in enumerate(range(0, len(ids), capacity)):
-                    piece = ids[start : start + capacity]
-                    n += 1
-                    rows.append((ident, nth, start, len(piece), zlib.crc32(piece.tobytes()), mix_int(base + n) >> 1))
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()))]
+            body = data.tobytes()
+            ids, counts = own.encode_flat([body[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())])
+            ends = np.cumsum(counts + 1)  # a separator behind every text
+            packed = np.full(ends[-1], SEPARATOR, "<u4")
+            inside = np.ones(len(packed), bool)
+            inside[ends - 1] = False
+            packed[inside] = ids
+            parts = -(-(counts + 1) // capacity)
+            nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+            first = np.repeat(ends - counts - 1, parts)
+            start = nth * capacity
+            length = np.minimum(capacity, np.repeat(counts + 1, parts) - start)
+            view = memoryview(packed.tobytes())
+            checks = [zlib.crc32(view[4 * x : 4 * y]) for x, y in zip((first + start).tolist(), (first + start + length).tolist())]
+            slots = mix(np.uint64(base) + np.arange(n + 1, n + 1 + len(nth), dtype=np.uint64)) >> np.uint64(1)
+            n += len(nth)
+            columns = [part.column("doc_id").take(pa.array(np.repeat(np.arange(part.num_rows), parts))), pa.array(nth, pa.int32()), pa.array(start), pa.array(length), pa.array(checks, pa.int64()), pa.array(slots.astype(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32", "slot"])
         release()
 
@@ -153,32 +177,43 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, text: str
 
 
 class Bins:
-    """Open bins by the room they have left; ``put`` takes the fullest one that still fits."""
+    """Open bins by the room they have left; ``put`` takes a fullest one that still fits.
 
-    def __init__(self, capacity: int, sizes: np.ndarray) -> None:
+    A bit of ``rooms`` is set for every room that some bin has left, so the
+    least room of at least a size is the lowest bit above it.
+    """
+
+    def __init__(self, capacity: int, sizes: list[int]) -> None:
         self.capacity, self.sizes = capacity, sizes
         self.items: list[list[int]] = []
-        self.rooms: list[tuple[int, int]] = []
+        self.having: list[list[int]] = [[] for _ in range(capacity + 1)]
+        self.rooms = 0
+
+    def _open(self, own: int, room: int) -> None:
+        if room:
+            self.having[room].append(own)
+            self.rooms |= 1 << room
 
     def add(self, items: list[int]) -> None:
-        room = self.capacity - int(self.sizes[items].sum())
-        bisect.insort(self.rooms, (room, len(self.items)))
         self.items.append(items)
+        self._open(len(self.items) - 1, self.capacity - sum(map(self.sizes.__getitem__, items)))
 
     def put(self, item: int) -> None:
-        size = int(self.sizes[item])
-        at = bisect.bisect_left(self.rooms, (size, -1))
-        if at == len(self.rooms):
+        size = self.sizes[item]
+        above = self.rooms >> size
+        if not above:
             self.add([item])
             return
-        room, own = self.rooms.pop(at)
+        room = size + (above & -above).bit_length() - 1
+        own = self.having[room].pop()
+        if not self.having[room]:
+            self.rooms ^= 1 << room
         self.items[own].append(item)
-        if room > size:
-            bisect.insort(self.rooms, (room - size, own))
+        self._open(own, room - size)
 
 
 def _best_fit(order: np.ndarray, sizes: np.ndarray, capacity: int, kept: list[list[int]] | None = None) -> list[list[int]]:
-    bins = Bins(capacity, sizes)
+    bins = Bins(capacity, sizes.tolist())
     for items in kept or []:
         bins.add(list(items))
     for item in order.tolist():
@@ -186,33 +221,36 @@ def _best_fit(order: np.ndarray, sizes: np.ndarray, capacity: int, kept: list[li
     return bins.items
 
 
+def _fills(bins: list[list[int]], sizes: np.ndarray) -> np.ndarray:
+    if not bins:
+        return np.zeros(0, np.int64)
+    counts = np.array([len(b) for b in bins])
+    return np.add.reduceat(sizes[np.fromiter(chain.from_iterable(bins), np.int64)], np.cumsum(counts) - counts)
+
+
 def fitness(bins: list[list[int]], sizes: np.ndarray, capacity: int) -> tuple[int, float]:
     """Fewer bins first, then fuller full ones."""
-    fill = np.array([sizes[b].sum() for b in bins], float) / capacity
-    return len(bins), -float((fill**2).sum())
+    return len(bins), -float(((_fills(bins, sizes) / capacity) ** 2).sum())
 
 
 def crossover(giver: list[list[int]], taker: list[list[int]], sizes: np.ndarray, capacity: int, rng: np.random.Generator) -> list[list[int]]:
     """Injects whole well-filled bins of one parent and best-fits what they displace."""
-    fill = np.array([sizes[b].sum() for b in giver])
-    ranked = np.argsort(-fill, kind="stable")
+    ranked = np.argsort(-_fills(giver, sizes), kind="stable")
     ranked = ranked[: max(1, int(len(ranked) * rng.uniform(0.3, 0.8)))]
     chosen = ranked[rng.random(len(ranked)) < 0.7]
-    injected = [giver[i] for i in chosen]
-    taken = np.zeros(len(sizes), bool)
-    for items in injected:
-        taken[items] = True
+    injected = [giver[i] for i in chosen.tolist()]
+    taken = set(chain.from_iterable(injected))
     kept, displaced = [], []
     for items in taker:
-        if taken[items].any():
-            displaced += [i for i in items if not taken[i]]
-        else:
+        if taken.isdisjoint(items):
             kept.append(items)
+        else:
+            displaced += [i for i in items if i not in taken]
     # The emptiest bins are opened as well, so that their pieces may find room elsewhere.
-    order = sorted(range(len(kept)), key=lambda i: int(sizes[kept[i]].sum()))
-    for i in order[: max(1, len(kept) // 50)]:
-        displaced += kept[i]
+    order = np.argsort(_fills(kept, sizes), kind="stable").tolist()
     opened = set(order[: max(1, len(kept) // 50)])
+    for i in opened:
+        displaced += kept[i]
     kept = [b for i, b in enumerate(kept) if i not in opened]
     loose = np.array(displaced, np.int64)
     loose = loose[np.argsort(-sizes[loose], kind="stable")] if len(loose) else loose
@@ -248,17 +286,17 @@ def _lists(flat: bytes) -> list[list[int]]:
 
 def breed(sizes: np.ndarray, population: list[list[list[int]]], capacity: int, rng: np.random.Generator, generations: int = GENERATIONS) -> list[list[list[int]]]:
     """Some generations of one island, fittest first; stops where no better packing can exist."""
-    score = lambda b: fitness(b, sizes, capacity)
-    population = sorted(population, key=score)
-    bound = _bound(sizes, capacity)
+    ranked = sorted(((fitness(b, sizes, capacity), k, b) for k, b in enumerate(population)), key=lambda r: r[:2])
+    bound, born = _bound(sizes, capacity), len(ranked)
     for _ in range(generations):
-        if not population or len(population[0]) <= bound:
+        if not ranked or ranked[0][0][0] <= bound:
             break
-        a, b = rng.choice(len(population), 2, replace=False) if len(population) > 1 else (0, 0)
+        a, b = rng.choice(len(ranked), 2, replace=False) if len(ranked) > 1 else (0, 0)
         giver, taker = sorted((int(a), int(b)))
-        child = crossover(population[giver], population[taker], sizes, capacity, rng)
-        population = sorted([*population, child], key=score)[:POPULATION]
-    return population
+        child = crossover(ranked[giver][2], ranked[taker][2], sizes, capacity, rng)
+        ranked = sorted([*ranked, (fitness(child, sizes, capacity), born, child)], key=lambda r: r[:2])[:POPULATION]
+        born += 1
+    return [r[2] for r in ranked]
 
 
 _STATE = "shard long, island int, sizes binary, population array<binary>"

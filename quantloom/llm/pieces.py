@@ -25,8 +25,8 @@ def spread(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 class PieceCache:
     """Ids of pieces; ``encode`` gives the ids of a list of new pieces, end to end, and how many each has."""
 
-    def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]]) -> None:
-        self.encode = encode
+    def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]], max_pieces: int | None = None) -> None:
+        self.encode, self.max_pieces = encode, max_pieces or MAX_PIECES
         self._empty()
 
     def _empty(self) -> None:
@@ -35,7 +35,7 @@ class PieceCache:
 
     def lookup(self, pieces: list) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all pieces end to end, and how many ids each piece has."""
-        if len(self.known) > MAX_PIECES or len(self.ids) > MAX_IDS:
+        if len(self.known) > self.max_pieces or len(self.ids) > MAX_IDS:
             self._empty()
         own = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
         missing = np.flatnonzero(own < 0).tolist()
