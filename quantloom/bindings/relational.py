@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quantloom.bindings.registry import bind, rounded, table
 from quantloom.functions import macros, scalars
-from quantloom.operators import filters, joins, ordering, reshape, setops
+from quantloom.operators import filters, joins, ordering, reshape, selection, setops
 
 # ---- filters -------------------------------------------------------------------------------
 
@@ -195,7 +195,7 @@ def _(spark, d):
     where i in (0, 3, 10, 100)""")
 def _(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    return ordering.pick_rows(o, [F.col("o_totalprice").desc(), F.col("o_orderkey").asc()], [0, 3, 10, 100])
+    return selection.pick_rows(o, [selection.Key("o_totalprice", descending=True), "o_orderkey"], [0, 3, 10, 100])
 
 
 @bind("lookup_day", "B21", """

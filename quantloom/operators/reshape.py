@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quantloom.functions.scalars import quote_link
-from quantloom.operators.ordering import with_running_total
+from quantloom.operators.selection import exact_quantiles
 
 # More distinct pivot values than this are a modelling error, not a table.
 MAX_PIVOT_COLUMNS = 10_000
@@ -125,30 +125,12 @@ def preview(df: DataFrame, order: Sequence[Column | str], n: int = 5) -> DataFra
 _QUARTERS = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
-def _exact_quartiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, q25, q50, q75): smallest values that at least a quarter, half, three quarters do not exceed.
-
-    Equal values are counted first; one running count over the sorted values of
-    all columns then shows where each share is reached.
-    """
-    pairs = F.array(*[F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(columns)])
-    counts = (
-        df.select(F.inline(pairs)).where("_v is not null").groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    )
-    running = with_running_total(counts, ["_c", "_v"], "_n", "_upto")
-    totals = running.groupBy("_c").agg(F.sum("_n").alias("_total"), F.min(F.col("_upto") - F.col("_n")).alias("_before"))
-    placed = running.join(F.broadcast(totals), "_c")  # one row for each described column
-    return placed.groupBy("_c").agg(*[
-        F.min(F.when(F.col("_upto") - F.col("_before") >= F.ceil(F.col("_total") * share), F.col("_v"))).alias(name)
-        for name, share in _QUARTERS.items()
-    ])
-
-
 def describe(df: DataFrame, columns: Sequence[str], accuracy: int | None = None) -> DataFrame:
     """Count, nulls, mean, deviation, extremes and quartiles of numeric columns.
 
-    Quartiles are exact, at the cost of one sort of the distinct values of all
-    columns; a quartile is the smallest value that so many rows do not exceed.
+    Quartiles are exact, at the cost of a few more passes that narrow each of
+    them down (see ``selection``); a quartile is the smallest value that so many
+    rows do not exceed.
     With ``accuracy`` they come from a mergeable sketch in the same
     pass as the rest, with rank error ``rows / accuracy``.
     """
@@ -176,7 +158,7 @@ def describe(df: DataFrame, columns: Sequence[str], accuracy: int | None = None)
     ])
     out = df.agg(*aggregates).select(F.inline(rows))
     if accuracy is None:
-        out = out.join(_exact_quartiles(df, columns), "_c", "left")
+        out = out.join(F.broadcast(exact_quantiles(df, columns, _QUARTERS)), "_c", "left")  # one row for each column
     return out.select("column", "count", "null_count", "mean", "std", "min", *_QUARTERS, "max")
 
 

@@ -15,7 +15,8 @@ from quantloom.functions.scalars import (
     sigma_band,
 )
 from quantloom.operators.filters import date_selection, facet_filter, include_keys, latest_only, lookup_day
-from quantloom.operators.ordering import by_magnitude, head_rows, pick_rows, tail_rows
+from quantloom.operators.ordering import by_magnitude, head_rows, tail_rows
+from quantloom.operators.selection import Key, pick_rows
 from quantloom.operators.reshape import first_per_group, series_summary
 from quantloom.operators.setops import union_all
 from quantloom.operators.windows import relative_to_first
@@ -59,16 +60,17 @@ def relevant_horizons(
     return relevant_preds(predictions.select(*columns).distinct(), meta, one_company)
 
 
+def _horizon_rows(preds: DataFrame) -> DataFrame:
+    return preds.select(
+        "ticker", horizon_label("pred_col").alias("pred_horizon"), "predicted_value",
+        "predicted_std", *COMPANY_COLUMNS, F.col("date").alias("pred_date"), "trained_date",
+        "pred_col",
+    ).distinct()
+
+
 def preds_per_horizon(preds: DataFrame) -> DataFrame:
     """One row per ticker and horizon, in that order."""
-    return (
-        preds.select(
-            "ticker", horizon_label("pred_col").alias("pred_horizon"), "predicted_value",
-            "predicted_std", *COMPANY_COLUMNS, F.col("date").alias("pred_date"), "trained_date",
-            "pred_col",
-        )
-        .distinct().orderBy(F.col("ticker").asc_nulls_last(), F.col("pred_horizon").asc_nulls_last())
-    )
+    return _horizon_rows(preds).orderBy(F.col("ticker").asc_nulls_last(), F.col("pred_horizon").asc_nulls_last())
 
 
 def top_features(preds: DataFrame, key: str, pred_col: str) -> DataFrame:
@@ -101,14 +103,13 @@ def forecasts(preds: DataFrame, keys: Sequence[str], jitter_days: int | None = N
 
 def stock_picker(
     preds: DataFrame, facets: Mapping[str, Sequence], ranges: Mapping[str, tuple] | None = None,
-    positions: Sequence[int] | None = None, order: Sequence[Column | str] = (),
+    positions: Sequence[int] | None = None, order: Sequence[Key | Column | str] = (),
 ) -> DataFrame:
     """Screens predictions by horizon, sector, industry and value; may pick listed rows."""
-    screened = facet_filter(preds_per_horizon(preds), facets, ranges)
     if positions is None:
-        return screened
+        return facet_filter(preds_per_horizon(preds), facets, ranges)
     order = list(order) or ["ticker", "pred_horizon", "pred_date"]
-    return pick_rows(screened, order, positions)
+    return pick_rows(facet_filter(_horizon_rows(preds), facets, ranges), order, positions)
 
 
 def relative_performance(

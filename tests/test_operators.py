@@ -8,7 +8,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from quantloom.functions import macros, scalars
-from quantloom.operators import filters, joins, ordering, reshape, setops
+from quantloom.operators import filters, joins, ordering, reshape, selection, setops
 
 D = dt.date.fromisoformat
 
@@ -33,7 +33,7 @@ def test_positions_batches_and_picks(letters):
     assert {r[1] for r in rows(ordering.assign_batches(letters, "key", 0))} == {0}
     total = ordering.with_running_total(letters.withColumn("w", F.ascii("key") - 96), ["key"], "w")
     assert rows(total, "key", "upto") == list(zip("abcdefg", [1, 3, 6, 10, 15, 21, 28]))
-    assert rows(ordering.pick_rows(letters, [F.col("key").desc()], [0, 6])) == [("a",), ("g",)]
+    assert rows(selection.pick_rows(letters, [selection.Key("key", descending=True)], [0, 6])) == [("a",), ("g",)]
 
 
 @pytest.mark.parametrize("parts", [1, 4, 17])
