@@ -21,7 +21,11 @@ from quantloom.session import scratch_path
 
 @dataclass(frozen=True)
 class Rule:
-    """``group`` is the part whose length must reach ``least``; ``gate`` a literal without which no match exists."""
+    """``group`` is the part whose length must reach ``least``; ``gate`` a literal without which no match exists.
+
+    ``shape`` must be found in a match, else it is dropped.  Patterns take whole
+    runs of characters, so that none of them reads a run more than once.
+    """
 
     kind: str
     version: int
@@ -29,6 +33,7 @@ class Rule:
     group: int = 0
     least: int = 0
     gate: str = ""
+    shape: str = ""
 
     @property
     def key(self) -> str:
@@ -42,7 +47,7 @@ RULES = (
     Rule("hex", 1, r"[0-9a-f]{24,}", 0, 24),
     Rule("pem", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 0, "PRIVATE KEY-----"),
     Rule("forge", 1, r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 0, "gh"),
-    Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 0, "eyJ"),
+    Rule("jwt", 2, r"eyJ[A-Za-z0-9_.-]*[A-Za-z0-9_-]", 0, 0, "eyJ", r"(^|\.)eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
 )
 BASE_KINDS = 3
 
@@ -66,7 +71,7 @@ def find(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(blob, rule, start, end) of the rules pending for each blob; offsets in code points, end exclusive.
 
     Matches of one rule are leftmost and do not overlap; those too short for
-    the rule are dropped afterwards.  A match starts behind all pieces and
+    the rule, or without its shape, are dropped afterwards.  A match starts behind all pieces and
     matches before it, so offsets are running sums of lengths.
     """
     def matches(rule: Rule) -> Column:
@@ -84,11 +89,14 @@ def find(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     order = W.partitionBy("blob", "rule").orderBy("nth")
     end = F.sum(F.col("gap") + F.char_length("match")).over(order.rowsBetween(W.unboundedPreceding, 0))
     spans = rows.withColumn("end", end.cast("int")).withColumn("start", F.col("end") - F.char_length("match"))
-    long_enough = F.lit(False)
+    kept = F.lit(False)
     for rule in rules:
         part = F.regexp_extract("match", rule.pattern, rule.group) if rule.group else F.col("match")
-        long_enough = F.when(F.col("rule") == rule.key, F.char_length(part) >= rule.least).otherwise(long_enough)
-    return spans.where(long_enough).select("blob", "rule", "start", "end")
+        fits = F.char_length(part) >= rule.least
+        if rule.shape:
+            fits = fits & F.col("match").rlike(rule.shape)
+        kept = F.when(F.col("rule") == rule.key, fits).otherwise(kept)
+    return spans.where(kept).select("blob", "rule", "start", "end")
 
 
 def update_ledger(spark: SparkSession, versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, text: str = "text") -> None:
@@ -166,7 +174,7 @@ with rules(kind, k, pattern, part, least) as (values
     ('hex', 2, '[0-9a-f]+', 0, 24),
     ('pem', 3, '-----BEGIN [A-Z ]*PRIVATE KEY-----', 0, 0),
     ('forge', 4, 'gh[pousr]_[A-Za-z0-9]{36,}', 0, 0),
-    ('jwt', 5, 'eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}', 0, 0)),
+    ('jwt', 5, 'eyJ[A-Za-z0-9_.-]*[A-Za-z0-9_-]', 0, 0)),
 texts as (select row_number() over () as rid, doc_id, coalesce("text", '') as t from documents),
 cut as (
     select rid, kind, k, least, part, regexp_extract_all(t, pattern) as found, string_split_regex(t, pattern) as pieces,
@@ -178,7 +186,8 @@ spans as (
     select rid, kind, k,
         list_sum(list_transform(pieces[1:i], lambda x: length(x)))::bigint + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0)::bigint as s,
         length(found[i]) as n
-    from each_match where length(parts[i]) >= least),
+    from each_match where length(parts[i]) >= least
+        and (kind <> 'jwt' or regexp_matches(found[i], '(^|\.)eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}'))),
 named as (select rid, k, kind, s, concat(kind, ':', s, ':', s + n) as span from spans),
 per_row as (
     select rid, count(*) filter (where k = 0) as n_assign, count(*) filter (where k = 1) as n_access, count(*) filter (where k = 2) as n_hex,

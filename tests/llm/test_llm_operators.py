@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -100,6 +101,23 @@ def test_filter_levels_are_never_too_low():
     assert (found.estimate(others) > 0).mean() < 0.03
 
 
+def test_signed_tokens_in_long_texts(spark):
+    """Runs of a megabyte are read once; of a run only those with three parts behind an opening are kept."""
+    token = "eyJhbGciOiJI.eyJzdWIiOiIx.c2lnbmF0dXJl"
+    texts = [
+        (1, "eyJ" * 350_000), (2, "eyJ." * 260_000), (3, ("eyJ" + "a" * 8 + ".") * 90_000 + "b"), (4, f"see {token}. And"),
+        (5, f"eyJ.{token}"), (6, "eyJhbGciOiJI.eyJzdWIiOiIx"), (7, "eyJ" + "." * 500_000), (8, f"é {token} {token}"),
+    ]
+    begun = time.monotonic()
+    spans = {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == 5] for r in secrets.scan(documents(spark, texts)).collect()}
+    taken = time.monotonic() - begun
+    n = len(token)
+    assert spans == {
+        1: [], 2: [], 3: [(0, 12 * 90_000 + 1)], 4: [(4, 4 + n)], 5: [(0, 4 + n)], 6: [], 7: [], 8: [(2, 2 + n), (3 + n, 3 + 2 * n)],
+    }
+    assert taken < 60  # some seconds; one quadratic run of this length takes hours
+
+
 def test_secrets_equal_plain_regular_expressions(spark, awkward, empty):
     rows, docs = awkward
     found = secrets.scan(docs)
