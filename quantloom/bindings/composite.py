@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from quantloom import schemas
@@ -10,7 +12,7 @@ from quantloom.bindings.standins import METRIC_NAMES
 from quantloom.plans import features, predictions, refresh, universe
 from quantloom.session import scratch_path
 from quantloom.sources import versions
-from quantloom.sources.tables import full_refresh, upsert_partitions
+from quantloom.sources.tables import bucketed_table, full_refresh, upsert_partitions
 from quantloom.streaming import landing
 
 # ---- universe and refresh -------------------------------------------------------------------
@@ -311,6 +313,17 @@ def _(spark, d):
     return _round_all(out, _METRICS)
 
 
+@bind("sampled_prices_bucketed", "A15 K9", f"""
+    with {_WIDE} select * replace ({_rounding(_METRICS)}) from sampled""")
+def _(spark, d):
+    # Kept by ticker, the prices enter the chain without a shuffle.
+    prices = bucketed_table(
+        table(spark, d, "prices"), f"prices_{uuid.uuid4().hex}", "ticker", ["date"], 16, scratch_path(spark, "bucketed"),
+    )
+    out = features.sampled_prices(prices, table(spark, d, "members"), periods=PERIODS, nasdaq_from=NASDAQ_FROM)
+    return _round_all(out, _METRICS)
+
+
 @bind("pivoted_statements", "K9 D2 B11 H2 H7", f"with {_WIDE} select * from pivoted")
 def _(spark, d):
     return features.pivoted_statements(table(spark, d, "statements"), METRIC_NAMES)

@@ -355,6 +355,24 @@ def _(spark, d):
     )
 
 
+@bind("pivot_map", "D2", """
+    with q as (select l_returnflag, year(l_shipdate)::int as year, 'part_' || l_partkey as metric,
+        cast(sum(cast(l_extendedprice as decimal(18,2))) * 100 as bigint) as v from lineitem group by 1, 2, 3)
+    select l_returnflag, year, count(*)::int as n_metrics, string_agg(metric || '=' || v, ',' order by metric) as metrics,
+      max(v) filter (metric = 'part_1') as "part_1", max(v) filter (metric = 'part_17') as "part_17"
+    from q group by l_returnflag, year""")
+def _(spark, d):
+    li = table(spark, d, "lineitem").select(
+        "l_returnflag", F.year("l_shipdate").alias("year"),
+        F.concat(F.lit("part_"), F.col("l_partkey").cast("string")).alias("metric"),
+        (F.col("l_extendedprice").cast("decimal(18,2)") * 100).cast("bigint").alias("v"),
+    )
+    wide = reshape.pivot_map(li, "metric", "v", ["l_returnflag", "year"])
+    entries = F.transform(F.map_entries("metrics"), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    text = wide.withColumns({"n_metrics": F.size("metrics"), "text": F.array_join(entries, ",")})
+    return reshape.map_columns(text, ["part_1", "part_17"]).withColumnRenamed("text", "metrics")
+
+
 @bind("global_max", "D3", "select max(o_orderdate)::date as last_day from orders")
 def _(spark, d):
     o = table(spark, d, "orders").select(F.col("o_orderdate").cast("date").alias("day"))

@@ -11,17 +11,10 @@ from pyspark.sql import types as T
 from quantloom.functions.scalars import quote_link
 from quantloom.operators.selection import exact_quantiles
 
-# More distinct pivot values than this are a modelling error, not a table.
-MAX_PIVOT_COLUMNS = 10_000
-
 
 def pivot_values(df: DataFrame, on: str) -> list[str]:
-    """Distinct pivot values; they become columns, so their number is checked."""
-    rows = df.select(on).where(F.col(on).isNotNull()).distinct().limit(MAX_PIVOT_COLUMNS + 1)
-    values = sorted(r[0] for r in rows.collect())
-    if len(values) > MAX_PIVOT_COLUMNS:
-        raise ValueError(f"{on} has too many values to become columns")
-    return values
+    """Distinct pivot values, in order: the names of columns, which every plan holds as its schema."""
+    return sorted(r[0] for r in df.select(on).where(F.col(on).isNotNull()).distinct().collect())
 
 
 def pivot_multi(
@@ -44,11 +37,40 @@ def pivot_sum(
     df: DataFrame, on: str, value: str, group: Sequence[str],
     values: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Long to wide with sums.  Pass ``values`` to fix the columns and save a job."""
+    """Long to wide with sums.
+
+    Pass ``values`` to fix the columns and save a job; where their number is
+    open, ``pivot_map`` keeps them as data.
+    """
     values = pivot_values(df, on) if values is None else list(values)
     return df.groupBy(*group).pivot(on, values).agg(F.sum(value))
 
 
+def pivot_map(
+    df: DataFrame, on: str, value: str, group: Sequence[str], name: str = "metrics",
+) -> DataFrame:
+    """Long to wide with sums, for any number of metrics: one map of metric to sum per group.
+
+    No metric is named in the plan and none passes the driver.  Sums combine on
+    the map side, so a group receives each of its metrics once from a task and
+    its row is as large as the metrics it has.  Rows without a metric add
+    nothing; a group of only such rows has an empty map.
+    """
+    sums = df.groupBy(*group, on).agg(F.sum(value).alias("_sum"))
+    entry = F.when(F.col(on).isNotNull(), F.struct(F.col(on).alias("k"), F.col("_sum").alias("v")))
+    return sums.groupBy(*group).agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias(name))
+
+
+def map_columns(wide: DataFrame, values: Sequence[str], name: str = "metrics") -> DataFrame:
+    """The listed metrics of ``pivot_map`` as columns; null where a group has no such metric.
+
+    A look-up reads through the map, so this is for a few metrics of many;
+    ``pivot_sum`` with ``values`` is for many.
+    """
+    kept = [c for c in wide.columns if c != name]
+    return wide.select(*kept, *[F.try_element_at(name, F.lit(v)).alias(v) for v in values])
+
+
 def global_max(df: DataFrame, column: str, name: str) -> DataFrame:
     return df.agg(F.max(column).alias(name))
 

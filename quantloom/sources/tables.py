@@ -110,9 +110,16 @@ def clustered_write(
     spread.sortWithinPartitions(*columns).write.mode("overwrite").parquet(path)
 
 
-def bucketed_table(df: DataFrame, name: str, key: str, order: Sequence[str], buckets: int) -> None:
-    """Catalog table bucketed by key, so later joins and windows on it need no shuffle."""
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key, *order).saveAsTable(name)
+def bucketed_table(
+    df: DataFrame, name: str, key: str, order: Sequence[str], buckets: int, path: str | None = None,
+) -> DataFrame:
+    """Catalog table bucketed by key, so later joins and windows on it need no shuffle; returns the table.
+
+    With ``path`` the files lie there, outside the warehouse.
+    """
+    writer = df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key, *order)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+    return df.sparkSession.table(name)
 
 
 def add_load_timestamp(df: DataFrame, at: Column | None = None) -> DataFrame:

@@ -146,6 +146,19 @@ def test_pivots(spark):
     assert rows(several) == [(1, 3.0, "a", 4.0, "a")]
 
 
+def test_open_ended_pivot(spark):
+    df = spark.createDataFrame([("a", "x", 2.0), ("a", "x", 3.0), ("a", "y", None), ("b", None, 5.0), (None, "z", 1.0)],
+                               "k string, m string, v double")
+    wide = reshape.pivot_map(df, "m", "v", ["k"])
+    assert {r["k"]: r["metrics"] for r in wide.collect()} == {"a": {"x": 5.0, "y": None}, "b": {}, None: {"z": 1.0}}
+    assert rows(reshape.map_columns(wide, ["z", "x"])) == [("a", None, 5.0), ("b", None, None), (None, 1.0, None)]
+    assert reshape.pivot_map(df.limit(0), "m", "v", ["k"]).count() == 0
+    many = spark.range(60_000).select((F.col("id") % 3).alias("k"), F.concat(F.lit("m"), F.col("id") % 20_000).alias("m"), F.lit(1).alias("v"))
+    got = reshape.pivot_map(many, "m", "v", ["k"])
+    assert rows(got.select("k", F.size("metrics"))) == [(0, 20_000), (1, 20_000), (2, 20_000)]
+    assert rows(reshape.map_columns(got, ["m19999", "m20000"])) == [(0, 1, None), (1, 1, None), (2, 1, None)]
+
+
 def test_profile_and_describe(spark):
     df = spark.createDataFrame([(1.0, "a"), (2.0, None), (3.0, "c"), (4.0, "d"), (None, "e")], "v double, s string")
     assert rows(reshape.profile_table(df)) == [(5, 0, "v", "double", 1), (5, 1, "s", "string", 1)]
