@@ -189,7 +189,7 @@ def _(spark, d):
     return rows.select("ticker", "date")
 
 
-@bind("pick_rows", "B20 E11", """
+@bind("pick_rows", "B20", """
     select o_orderkey, o_totalprice from (
       select *, row_number() over (order by o_totalprice desc, o_orderkey) - 1 as i from orders)
     where i in (0, 3, 10, 100)""")
