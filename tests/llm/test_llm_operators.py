@@ -71,6 +71,15 @@ def test_words_and_hashes_equal_the_regular_expressions():
         assert len(set(seen.values())) == len(seen)
 
 
+def test_scores_are_those_of_an_interpolated_model_of_triples(spark):
+    texts = [(i, prose(i % 30, 40, 60) + (" " + PASSAGE[:200] if i % 3 else "")) for i in range(60)] + [(60, ""), (61, "x")]
+    folded = lm.folds(documents(spark, texts))
+    found = dict(values(lm.score(folded, lm.train(folded.where(~F.col("held_out")))), "doc_id", "score"))
+    want = dict(brute.model_scores(texts, lm.ORDER, lm.SMOOTHING))
+    assert lm.ORDER == 3 and found.keys() == want.keys()
+    assert all(abs(found[d] - want[d]) <= 0.02 * abs(want[d]) for d in want), [(found[d], want[d]) for d in want]
+
+
 def test_scores_have_the_exact_base_and_beat_it(spark, awkward, empty):
     rows, docs = awkward
     folded = lm.folds(docs)
@@ -83,6 +92,9 @@ def test_scores_have_the_exact_base_and_beat_it(spark, awkward, empty):
     assert scored.where("score > 0 or score is null").count() == 0
     routed = lm.score(folded, model, max_broadcast=0)
     assert values(routed, "doc_id", F.round("score", 6), F.round("base_score", 6)) == values(scored, "doc_id", F.round("score", 6), F.round("base_score", 6))
+    totals = (model.order, model.n_tokens, model.n_types, model.n_texts)
+    copied = lm._routed(folded.select("doc_id", "held_out", F.coalesce("text", F.lit("")).alias("text")), model, totals, asks=1)
+    assert values(copied, "doc_id", F.round("score", 6)) == values(scored, "doc_id", F.round("score", 6))
     nothing = lm.folds(empty)
     assert lm.score(nothing, lm.train(nothing)).count() == 0
     assert lm.score(folded, lm.train(nothing)).where("base_score <> 0 or score <> 0").count() == 0
