@@ -29,11 +29,12 @@ def base_scores(docs):
     return [(d, held, len(ws), sum(counts[w] > 0 for w in ws), total, sum(math.log10((counts[w] + 1) / (total + types + 1)) for w in ws)) for d, held, ws in tokens]
 
 
-def model_scores(docs, order, smoothing):
+def model_scores(docs, order, smoothing, cutoff):
     """doc_id -> the interpolated probability by counts on the logarithmic scale, without a filter."""
     tokens = [(d, zlib.crc32(str(d).encode()) % 7 == 2 if d is not None else False, [*words(t, SPACED), "\0end"]) for d, t in docs]
     grams = lambda ws, n: [tuple((["\0begin"] * (n - 1) + ws)[i : i + n]) for i in range(len(ws))]
     counts = Counter(g for _, held, ws in tokens if not held for n in range(1, order + 1) for g in grams(ws, n))
+    counts = {g: c for g, c in counts.items() if len(g) < 3 or c >= cutoff}
     singles = [c for g, c in counts.items() if len(g) == 1]
     total, types, texts = sum(singles), len(singles), sum(not held for _, held, _ in tokens)
     level = lambda g: (2.0 ** (counts[g].bit_length() - 1) + 2.0 ** counts[g].bit_length() - 1) / 2 if g in counts else 0.0

@@ -75,7 +75,7 @@ def test_scores_are_those_of_an_interpolated_model_of_triples(spark):
     texts = [(i, prose(i % 30, 40, 60) + (" " + PASSAGE[:200] if i % 3 else "")) for i in range(60)] + [(60, ""), (61, "x")]
     folded = lm.folds(documents(spark, texts))
     found = dict(values(lm.score(folded, lm.train(folded.where(~F.col("held_out")))), "doc_id", "score"))
-    want = dict(brute.model_scores(texts, lm.ORDER, lm.SMOOTHING))
+    want = dict(brute.model_scores(texts, lm.ORDER, lm.SMOOTHING, lm.CUTOFF))
     assert lm.ORDER == 3 and found.keys() == want.keys()
     assert all(abs(found[d] - want[d]) <= 0.02 * abs(want[d]) for d in want), [(found[d], want[d]) for d in want]
 
