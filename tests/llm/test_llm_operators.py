@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from quantloom.llm import decontaminate, language, licenses, lm, minhash, packing, passages, secrets, text, vectors, warc
 from quantloom.llm.components import components
+from quantloom.llm.store import written
 
 DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long, node long, blob string, spans string, words int, held_out string, _key int"
 
@@ -179,10 +180,21 @@ def test_contamination_equals_brute_force(spark, awkward, empty, block_windows):
     assert decontaminate.contamination(docs, bench.limit(0)).where("contaminated or n_items > 0").count() == 0
 
 
+def test_windows_of_many_items_and_rows_of_one_id(spark):
+    prompt = prose(70, 12)
+    items = [(f"i{k}", prompt + " " + prose(1000 + k, 3)) for k in range(200)] + [("own", prose(71, 15)), ("twin", prose(71, 15))]
+    rows = [(None, prose(72, 30) + f" {k} " + (prompt if k % 3 else prose(71, 15))) for k in range(12)] + [(5, prompt)] * 4 + [(5, prose(71, 15)), (5, "clean"), (6, prose(73, 40))]
+    tests = spark.createDataFrame(items, "item_id string, text string")
+    columns = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    want = sorted(brute.contamination(rows, items), key=str)
+    for block in (decontaminate.BLOCK_WINDOWS, 40):
+        assert values(decontaminate.contamination(documents(spark, rows), tests, block_windows=block), *columns) == want
+
+
 def test_proximity(spark):
     docs = documents(spark, [(1, "alpha x beta y gamma"), (2, "gamma beta alpha"), (3, "alpha x x x x beta gamma"), (None, "beta gamma alpha")]).select("doc_id", "text")
     terms = np.unique(np.array([text.word_hash(w) for w in ("alpha", "beta", "gamma")], np.uint64))
-    index = decontaminate.build_index(docs, terms)
+    index = written(decontaminate.build_index(docs.withColumn("text_key", F.xxhash64("text")), terms), "postings")
     queries = spark.createDataFrame([("q", [int(np.uint64(text.word_hash(w)).astype(np.int64)) for w in ("alpha", "beta", "gamma")])], "query string, words array<long>")
     assert values(decontaminate.proximity_matches(index, queries, 5), "doc_id", "start") == sorted([(1, 0), (2, 0), (None, 0)], key=str)
 
