@@ -108,6 +108,92 @@ CLAUSES = (
 )
 
 
+#: Label, the words that must occur, a short name as people write it; no letter or digit stands beside it.
+SHORT_NAMES = (
+    ("agpl-3.0", "agpl|agplv3|agpl3", r"agpl(?:v|[- ]v|[- ])?3(?:\.0)?"),
+    ("apache-1.1", "apache", r"apache[- ]1\.1"),
+    ("apache-2.0", "apache|apache2", r"apache(?:[- ]2\.0|[- ]?2|[- ]v2(?:\.0)?)"),
+    ("apache-2.0", "asl", r"asl[- ]2(?:\.0)?"),
+    ("artistic-2.0", "artistic", r"artistic[- ]2\.0"),
+    ("boost-1.0", "bsl", r"bsl[- ]1\.0"),
+    ("bsd-0-clause", "0bsd", r"0bsd"),
+    ("bsd-2-clause", "bsd", r"bsd[- ]2[- ]clause"),
+    ("bsd-2-clause", "bsd", r"2[- ]clause[- ]bsd"),
+    ("bsd-3-clause", "bsd", r"bsd[- ]3[- ]clause"),
+    ("bsd-3-clause", "bsd", r"3[- ]clause[- ]bsd"),
+    ("bsd-4-clause", "bsd", r"bsd[- ]4[- ]clause"),
+    ("cc-by-2.0", "by", r"cc[- ]by[- ]2\.0"),
+    ("cc-by-3.0", "by", r"cc[- ]by[- ]3\.0"),
+    ("cc-by-4.0", "by", r"cc[- ]by[- ]4\.0"),
+    ("cc-by-nc", "nc", r"cc[- ]by[- ]nc"),
+    ("cc-by-nc-4.0", "nc", r"cc[- ]by[- ]nc[- ]4\.0"),
+    ("cc-by-nc-nd", "nd", r"cc[- ]by[- ]nc[- ]nd"),
+    ("cc-by-nc-nd-4.0", "nd", r"cc[- ]by[- ]nc[- ]nd[- ]4\.0"),
+    ("cc-by-nc-sa", "sa", r"cc[- ]by[- ]nc[- ]sa"),
+    ("cc-by-nc-sa-4.0", "sa", r"cc[- ]by[- ]nc[- ]sa[- ]4\.0"),
+    ("cc-by-nd", "nd", r"cc[- ]by[- ]nd"),
+    ("cc-by-nd-4.0", "nd", r"cc[- ]by[- ]nd[- ]4\.0"),
+    ("cc-by-sa", "sa", r"cc[- ]by[- ]sa"),
+    ("cc-by-sa-3.0", "sa", r"cc[- ]by[- ]sa[- ]3\.0"),
+    ("cc-by-sa-4.0", "sa", r"cc[- ]by[- ]sa[- ]4\.0"),
+    ("cddl-1.0", "cddl", r"cddl[- ]1\.0"),
+    ("epl-1.0", "epl", r"epl[- ]1\.0"),
+    ("epl-2.0", "epl", r"epl[- ]2\.0"),
+    ("eupl-1.2", "eupl", r"eupl[- ]1\.2"),
+    ("gfdl-1.3", "gfdl", r"gfdl[- ]1\.3"),
+    ("gpl-2.0", "gpl|gplv2|gpl2", r"gpl(?:v|[- ]v|[- ])?2(?:\.0)?"),
+    ("gpl-3.0", "gpl|gplv3|gpl3", r"gpl(?:v|[- ]v|[- ])?3(?:\.0)?"),
+    ("lgpl-2.1", "lgpl|lgplv2|lgpl2", r"lgpl(?:v|[- ]v|[- ])?2\.1"),
+    ("lgpl-3.0", "lgpl|lgplv3|lgpl3", r"lgpl(?:v|[- ]v|[- ])?3(?:\.0)?"),
+    ("lppl-1.3", "lppl", r"lppl[- ]1\.3"),
+    ("mit", "mit", r"mit[- ]licensed"),
+    ("mpl-1.1", "mpl", r"mpl[- ]1\.1"),
+    ("mpl-2.0", "mpl|mplv2|mpl2", r"mpl(?:v|[- ]v|[- ])?2(?:\.0)?"),
+    ("ms-pl", "pl", r"ms-pl"),
+    ("odbl-1.0", "odbl", r"odbl[- ]1\.0"),
+    ("ofl-1.1", "ofl", r"ofl[- ]1\.1"),
+    ("osl-3.0", "osl", r"osl[- ]3\.0"),
+    ("wtfpl", "wtfpl", r"wtfpl"),
+    ("zpl-2.1", "zpl", r"zpl[- ]2\.1"),
+)
+
+#: Label, the words that must occur, an address that stands for the license, or the name of a file that holds it.
+ADDRESSES = (
+    ("agpl-3.0", "agpl", r"gnu\.org/licenses/agpl(?:-3\.0)?"),
+    ("apache-2.0", "apache", r"apache\.org/licenses/license-2\.0"),
+    ("apache-2.0", "opensource", r"opensource\.org/licenses?/apache-2\.0"),
+    ("boost-1.0", "boost", r"boost\.org/license_1_0\.txt"),
+    ("bsd-2-clause", "opensource", r"opensource\.org/licenses?/bsd-2-clause"),
+    ("bsd-3-clause", "opensource", r"opensource\.org/licenses?/bsd-3-clause"),
+    ("cc-by-3.0", "creativecommons", r"creativecommons\.org/licenses/by/3\.0"),
+    ("cc-by-4.0", "creativecommons", r"creativecommons\.org/licenses/by/4\.0"),
+    ("cc-by-nc-4.0", "creativecommons", r"creativecommons\.org/licenses/by-nc/4\.0"),
+    ("cc-by-nc-nd-4.0", "creativecommons", r"creativecommons\.org/licenses/by-nc-nd/4\.0"),
+    ("cc-by-nc-sa-4.0", "creativecommons", r"creativecommons\.org/licenses/by-nc-sa/4\.0"),
+    ("cc-by-nd-4.0", "creativecommons", r"creativecommons\.org/licenses/by-nd/4\.0"),
+    ("cc-by-sa-3.0", "creativecommons", r"creativecommons\.org/licenses/by-sa/3\.0"),
+    ("cc-by-sa-4.0", "creativecommons", r"creativecommons\.org/licenses/by-sa/4\.0"),
+    ("cc0-1.0", "creativecommons", r"creativecommons\.org/publicdomain/zero/1\.0"),
+    ("epl-2.0", "eclipse", r"eclipse\.org/legal/epl-(?:2\.0|v20)"),
+    ("gfdl", "fdl", r"gnu\.org/licenses/fdl"),
+    ("gpl", "gnu", r"gnu\.org/licenses/gpl"),
+    ("gpl-2.0", "gnu", r"gnu\.org/licenses/(?:old-licenses/)?gpl-2\.0"),
+    ("gpl-3.0", "gnu", r"gnu\.org/licenses/gpl-3\.0"),
+    ("isc", "opensource", r"opensource\.org/licenses?/isc"),
+    ("lgpl-2.1", "gnu", r"gnu\.org/licenses/(?:old-licenses/)?lgpl-2\.1"),
+    ("lgpl-3.0", "gnu", r"gnu\.org/licenses/lgpl-3\.0"),
+    ("mit", "opensource", r"opensource\.org/licenses?/mit(?:-license)?"),
+    ("mpl-2.0", "mozilla", r"mozilla\.org/(?:en-us/)?mpl/2\.0"),
+    ("unlicense", "unlicense", r"unlicense\.org"),
+    ("wtfpl", "wtfpl", r"wtfpl\.net"),
+    ("apache", "license", r"license[-.]apache"),
+    ("bsd", "license", r"license[-.]bsd"),
+    ("gpl", "license", r"license[-.]gpl"),
+    ("lgpl", "lesser", r"copying\.lesser"),
+    ("mit", "license", r"license[-.]mit"),
+)
+
+
 @dataclass(frozen=True)
 class Rule:
     """``priority`` orders the resolution; ``words`` gate the regex, of ``a|b`` one is enough; ``label`` is what it says."""
@@ -120,7 +206,7 @@ class Rule:
 
 
 def rules() -> list[Rule]:
-    """Every family in each of its versions as a tag, a grant, a name and a file name, then the clauses."""
+    """Every family in each of its versions as a tag, a member of a tag's expression, a grant and a name; then addresses, short names and clauses."""
     out = []
     for label, word, name, versions in FAMILIES:
         for version in [*versions.split(), ""]:
@@ -129,8 +215,12 @@ def rules() -> list[Rule]:
             tail = r",? ?\(?(?:version |v\.? ?)?" + re.escape(number) + (r"(?:\.0)?" if number != version else "") + r"(?![.]?[0-9])" if version else ""
             rank = 1 if version else 0
             out.append(Rule(80 + rank, full, ("spdx",), rf"spdx-license-identifier: ?{re.escape(full)}(?:-only|-or-later)?(?![.0-9a-z-])", 0.99))
+            out.append(Rule(70 + rank, full, ("spdx",), rf"(?:: ?\(|\b(?:or|and) \(?){re.escape(full)}(?:-only|-or-later)?(?![.0-9a-z-])", 0.97))
             out.append(Rule(60 + rank, full, (word,), rf"(?:licensed|released|distributed|available|redistribute it)[^.]{{0,60}}? under (?:the )?(?:terms of )?(?:the )?{name}{tail}", 0.95))
             out.append(Rule(40 + rank, full, (word,), name + tail, 0.8))
+    alone = r"(?<![a-z0-9])(?:{})(?![a-z0-9]|[.][0-9])"
+    out += [Rule(55, label, tuple(words.split()), alone.format(pattern), 0.9) for label, words, pattern in ADDRESSES]
+    out += [Rule(45, label, tuple(words.split()), alone.format(pattern), 0.8) for label, words, pattern in SHORT_NAMES]
     out += [Rule(50, label, tuple(words.split()), pattern, 0.9) for label, words, pattern in CLAUSES[:-1]]
     out += [Rule(10, label, tuple(words.split()), pattern, 0.3) for label, words, pattern in CLAUSES[-1:]]
     return out
