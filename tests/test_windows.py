@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from quantloom.functions import macros
 from quantloom.operators import windows
 from quantloom.operators.joins import asof_join, join_calendar
-from quantloom.operators.skew import find_hot_keys, with_exact_row_number, with_slices
+from quantloom.operators.skew import HotKeys, find_hot_keys, with_exact_row_number, with_slices
 from quantloom.operators.windows import Rolling
 
 SKEWED = {"hot": 400, "warm": 40, "one": 1, "exact": 6, "short": 5}
@@ -216,6 +216,19 @@ def test_one_instant_of_a_hot_key_is_cut(spark):
     assert got.where("v <> 999").count() == 0 and got.count() == 1000
 
 
+def test_a_low_limit_does_not_ask_for_a_slice_every_few_rows(spark):
+    df = spark.range(6000).select((F.col("id") % 150).alias("key"), F.col("id").alias("t"))
+    hot = find_hot_keys(df, ["key"], 16)
+    assert (hot.n_keys, hot.rows) == (150, 6000)
+    sliced = with_slices(df, hot, ["t"])
+    assert sliced.rdd.getNumPartitions() <= 64
+    numbered = with_exact_row_number(sliced, hot, [F.col("t").asc()])
+    assert numbered.where(F.col("_rn") != F.floor(F.col("t") / 150) + 1).count() == 0 and numbered.count() == 6000
+    large = HotKeys(df, ["key"], 9_000, 360_000_000, 16)
+    assert large.n_slices == 1800  # by size, where that makes more slices
+    assert HotKeys(df, ["key"], 1, 10_000_000, 2_000_000).n_slices == 5
+
+
 def test_a_calendar_day_must_not_occur_twice(spark):
     df = spark.sql("select date '2020-01-01' as d, 1 as x")
     days = spark.sql("select date '2020-01-01' as d, 2.0 as i")
