@@ -41,17 +41,20 @@ def _rows_of(content: bytes, names: list[str]) -> Iterator[tuple[int, list[str]
 
 
 def _unzip(names: list[str]):
+    """Records in chunks of one size, whether archives hold one record each or millions."""
+    columns = ["path", "row", "fields", "problem"]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows: list[tuple] = []
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                rows: list[tuple] = []
                 for number, fields, problem in _rows_of(content, names):
                     rows.append((path, number, fields, problem))
                     if len(rows) == _CHUNK:
-                        yield pd.DataFrame(rows, columns=["path", "row", "fields", "problem"])
+                        yield pd.DataFrame(rows, columns=columns)
                         rows = []
-                if rows:
-                    yield pd.DataFrame(rows, columns=["path", "row", "fields", "problem"])
+        if rows:
+            yield pd.DataFrame(rows, columns=columns)
 
     return run
 

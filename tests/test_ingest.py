@@ -103,6 +103,17 @@ def test_archives_hold_exactly_one_csv(spark, scratch):
     }
 
 
+def test_small_archives_share_a_chunk():
+    import pandas as pd
+
+    batches = [pd.DataFrame([(f"{k}-{i}", _zip(a=f"id,name\n{i},x\n")) for i in range(300)], columns=["path", "content"]) for k in range(2)]
+    chunks = list(archive._unzip(["id", "name"])(iter(batches)))
+    assert [len(c) for c in chunks] == [600]  # not one frame an archive
+    assert list(chunks[0]["path"])[299:301] == ["0-299", "1-0"] and list(chunks[0]["fields"])[5] == ["5", "x"]
+    long = pd.DataFrame([("p", _zip(a="id,name\n" + "1,x\n" * 25_000))], columns=["path", "content"])
+    assert [len(c) for c in archive._unzip(["id", "name"])(iter([long]))] == [10_000, 10_000, 5_000]
+
+
 def test_a_value_that_its_column_cannot_hold_is_a_reject(spark, scratch):
     scratch.put("a.zip", _zip(a="id,day\n1,2024-01-01\nx,2024-01-02\n3,\n4,soon\n5,2024-01-05T00:00:00\n6\n"))
     good, rejects = archive.read_zipped_csv(spark, scratch.path, "id int, day date")
