@@ -40,7 +40,8 @@ from quantloom.llm.pieces import PieceCache, Vocabulary
 from quantloom.llm.store import written
 from quantloom.llm.text import chunks, release
 
-BLOCK_BYTES = 4 << 20
+#: A worker holds about a hundred bytes for each byte of a block, besides its tokenizers and pieces.
+BLOCK_BYTES = 2 << 20
 
 
 def _byte_letters() -> dict[str, int]:
@@ -275,8 +276,9 @@ def aligned(docs: DataFrame, byte_path: str, pattern: str, piece_path: str, dige
                 size = len(columns["block"])
                 arrays = [columns[f.name].cast(f.type) if isinstance(columns.get(f.name), pa.Array) else pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in _SCHEMA]
                 yield pa.RecordBatch.from_arrays(arrays, schema=_SCHEMA)
+            columns = arrays = None
+            release()  # after each block: tasks of one executor would else keep the peaks of all
             block += 1
-        release()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _ROWS)
 

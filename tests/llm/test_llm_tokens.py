@@ -9,6 +9,7 @@ import re
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from llm import brute, brute_tokens
 from pyspark.sql import functions as F
@@ -182,3 +183,33 @@ def test_ranks_of_nothing(spark, awkward):
 def test_sums_that_doubles_cannot_hold():
     values_ = np.array([2**60, 1, 2**59 + 1], np.int64)
     assert ranking._add_up(np.array([0, 0, 1]), np.array([1, 1, 0]), values_, (2, 2)).tolist() == [[0, 2**60 + 1], [2**59 + 1, 0]]
+
+
+def test_alignment_gives_memory_back_after_every_block(monkeypatch):
+    """A worker's memory is that of one block of 2 MB, not of the largest blocks of all its tasks."""
+    released, taken = [], {}
+
+    class Docs:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):  # noqa: N802
+            taken["run"] = run
+
+    class Context:
+        @staticmethod
+        def get():
+            return Context
+
+        @staticmethod
+        def partitionId():  # noqa: N802
+            return 0
+
+    monkeypatch.setattr(alignment, "release", lambda: released.append(1))
+    monkeypatch.setattr(alignment, "TaskContext", Context)
+    monkeypatch.setattr(alignment.F, "col", lambda c: type("C", (), {"cast": lambda s, _: s, "alias": lambda s, _: s})())
+    alignment.aligned(Docs(), *PATHS, block_bytes=40)
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([1, 2, 3], pa.int64()), "text": ["some words " * 5] * 3})
+    out = list(taken["run"](iter([batch])))
+    assert len(out) == 6 and len(released) == 3
+    assert alignment.BLOCK_BYTES <= 2 << 20
