@@ -7,6 +7,7 @@ the sizes of the partitions before it, so no single task sees all rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 from quantloom.session import checkpointed
 
+# Rows that a task sorts, and parts of a table for each piece that a group may be cut into.
+PART_ROWS, GROUP_SHARE = 250_000, 8
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition above, position below
 
 
@@ -107,9 +110,21 @@ def by_magnitude(df: DataFrame, value: str, first: Sequence[Column | str] = ())
 def top_by_magnitude(
     df: DataFrame, groups: Sequence[str], value: str, k: int, tie_break: Sequence[Column],
 ) -> DataFrame:
-    """The k largest values of each group; each map task sends at most k rows per group."""
-    spec = W.partitionBy(*groups).orderBy(F.abs(F.col(value)).desc(), *tie_break)
-    return df.withColumn("rank", F.row_number().over(spec)).where(F.col("rank") <= k)
+    """The k largest values of each group.
+
+    Rows are dealt by group into parts of ``PART_ROWS``, a group over several of
+    them, so the memory of a task does not grow with the table (counts its
+    rows); a part sends at most k rows per group.  By itself AQE would merge the
+    shuffle before by bytes sent, and a task then sorts many times those.
+    """
+    order = [F.abs(F.col(value)).desc(), *tie_break]
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = max(cores, ceil(df.count() / PART_ROWS))
+    dealt = df
+    simple = [c for c in df.columns if "map" not in df.schema[c].dataType.simpleString()]
+    if parts > cores:
+        dealt = df.repartition(parts, *groups, F.pmod(F.xxhash64(*simple), F.lit(ceil(parts / GROUP_SHARE))))
+    return dealt.withColumn("rank", F.row_number().over(W.partitionBy(*groups).orderBy(*order))).where(F.col("rank") <= k)
 
 
 def in_key_order(df: DataFrame, key: str, time: str) -> DataFrame:

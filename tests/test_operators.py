@@ -198,3 +198,16 @@ def test_scalar_max_is_pushed_into_the_scan(spark):
     plan = filters.latest_only(df, "o_orderdate")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(o_orderdate,ScalarSubquery" in plan and "Cartesian" not in plan
     assert "NestedLoop" not in plan
+
+
+def test_top_rows_are_sorted_in_parts_that_follow_the_rows(spark, monkeypatch):
+    """A group larger than a part is cut, with the same result, and no task sorts a share of the whole table."""
+    monkeypatch.setattr(ordering, "PART_ROWS", 100)
+    df = spark.range(5000).select(F.when(F.col("id") < 4000, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 40)).alias("g"), "id", ((F.col("id") * 37) % 211 - 100).cast("double").alias("v"))
+    got = ordering.top_by_magnitude(df, ["g"], "v", 3, [F.col("id").asc()])
+    assert "REPARTITION_BY_NUM" in got._jdf.queryExecution().executedPlan().toString()
+    groups = {}
+    for g, i, v in df.collect():
+        groups.setdefault(g, []).append((-abs(v), i))
+    want = sorted((g, i, k + 1) for g, held in groups.items() for k, (_, i) in enumerate(sorted(held)[:3]))
+    assert sorted(tuple(r) for r in got.select("g", "id", "rank").collect()) == want
