@@ -1,11 +1,15 @@
 """Alignment of the tokens of two tokenizers on the same bytes.
 
 Both tokenize every text; a token's byte range follows from the bytes of its
-id.  Per batch, each side's token starts are matched backwards with the other
-side's (``pandas.merge_asof``, keyed by document): the last token that starts
-not later covers that start.  Two ranges overlap exactly if one of them covers
-the start of the other, so both directions together are all overlaps.  Ends
-that both sides share cut a text into groups.
+id.  Each side's token starts are matched backwards with the other side's: the
+last token that starts not later covers that start.  Two ranges overlap exactly
+if one of them covers the start of the other, so both directions together are
+all overlaps.  Ends that both sides share cut a text into groups.
+
+No token of either side goes on beyond a blank that follows another character
+than white space.  So both sides have an end there, and the tokens, links and
+groups of a text are those of its words, cut at such blanks.  A worker aligns
+each distinct word once and puts texts together from them.
 
 How many documents hold a pair of ids linked is counted over the whole corpus.
 Texts go through in blocks of a few megabytes, at least one text each.  A block
@@ -27,6 +31,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -36,12 +41,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quantloom.llm.pieces import PieceCache, Vocabulary
+from quantloom.llm.pieces import PieceCache, Vocabulary, spread
 from quantloom.llm.store import written
 from quantloom.llm.text import chunks, release
 
-#: A worker holds about a hundred bytes for each byte of a block, besides its tokenizers and pieces.
+#: A worker holds about a hundred bytes for each byte of a block, besides its tokenizers, pieces and words.
 BLOCK_BYTES = 2 << 20
+#: A worker forgets its words between blocks as soon as they exceed one of these.
+MAX_WORDS = 300_000
+MAX_WORD_LINKS = 3_000_000
+MAX_WORD_CHARACTERS = 16 << 20
+#: The pattern of which it is known that a match ends before a blank behind anything but white space.
+WORDWISE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def _byte_letters() -> dict[str, int]:
@@ -56,17 +67,40 @@ class _Side:
 
     vocabulary: Vocabulary
     cache: PieceCache
+    #: Whether no token goes on beyond a blank that follows another character than white space.
+    wordwise: bool
 
-    def pieces(self, text: str) -> list[str]:
+    def pieces(self, line: str) -> list[str]:
         raise NotImplementedError
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, end to end, and how many each has."""
-        cut = [self.pieces(t) if t else [] for t in texts]
-        ids, lengths = self.cache.lookup([p for pieces in cut for p in pieces])
+    def _lines(self, texts: list[str | None]) -> Iterator[list[str]]:
+        """Texts that stand in one line are cut as they are alone; a text that ends in white space ends its line."""
+        line: list[str] = []
+        for t in texts:
+            if t is not None:
+                line.append(t)
+                if not self.wordwise or not t or t[-1].isspace():
+                    yield line
+                    line = []
+        if line:
+            yield line
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each behind a blank, end to end, and how many each has; null has none."""
+        cut, counts = [], []
+        for line in self._lines(texts):
+            pieces = self.pieces(" " + " ".join(line))
+            if len(line) == 1:
+                counts.append(len(pieces))
+            else:
+                places = np.cumsum([len(p) for p in pieces])
+                counts += np.diff(np.searchsorted(places, np.cumsum([len(t) + 1 for t in line]), "right"), prepend=0).tolist()
+            cut += pieces
+        ids, lengths = self.cache.lookup(cut)
         ends = np.concatenate([[0], np.cumsum(lengths)])
-        bounds = np.concatenate([[0], np.cumsum([len(pieces) for pieces in cut], dtype=np.int64)])
-        return ids, np.diff(ends[bounds])
+        own = np.zeros(len(texts), np.int64)
+        own[[t is not None for t in texts]] = counts
+        return ids, np.diff(ends[np.concatenate([[0], np.cumsum(own)])])
 
 
 def _joined(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -86,7 +120,7 @@ class ByteSide(_Side):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        self.model, self.pattern = tokenizer.model, regex.compile(pattern)
+        self.model, self.pattern, self.wordwise = tokenizer.model, regex.compile(pattern), pattern == WORDWISE
         letters = _byte_letters()
         self.letters = {b: c for c, b in letters.items()}
         added = {k: t.content.encode() for k, t in tokenizer.get_added_tokens_decoder().items()}
@@ -94,8 +128,8 @@ class ByteSide(_Side):
         self.vocabulary = Vocabulary([added[k] if k in added else bytes(letters[c] for c in tokenizer.id_to_token(k)) for k in range(size)])
         self.cache = PieceCache(self._ids)
 
-    def pieces(self, text: str) -> list[str]:
-        return self.pattern.findall(" " + text)
+    def pieces(self, line: str) -> list[str]:
+        return self.pattern.findall(line)
 
     def _ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         mapped = [p.encode().decode("latin-1").translate(self.letters) for p in pieces]
@@ -125,22 +159,17 @@ class PieceSide(_Side):
                 parts = parts and not re.search("[^▁]▁", piece)
         self.vocabulary = Vocabulary(tokens)
         self.blank = self.model.piece_to_id("▁")
-        self.cut = re.compile(" +[^ ]*" if parts else "(?s).+")
-        self.cache = PieceCache(self._ids)
+        self.cut, self.wordwise = re.compile(" +[^ ]*" if parts else "(?s).+"), parts
+        self.cache = PieceCache(self._ids, 1)  # its pieces are words, which are kept already
 
-    def pieces(self, text: str) -> list[str]:
-        return self.cut.findall(" " + text)
+    def pieces(self, line: str) -> list[str]:
+        return self.cut.findall(line)
 
     def _ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         # The model adds the first blank itself, but not to an empty text.
         return _joined([ids or [self.blank] for ids in self.model.encode([p[1:] for p in pieces], num_threads=1)])
 
 
-@lru_cache(maxsize=2)
-def sides(byte_path: str, pattern: str, piece_path: str) -> tuple[ByteSide, PieceSide]:
-    return ByteSide(byte_path, pattern), PieceSide(piece_path)
-
-
 @dataclass
 class Spans:
     """Tokens of a batch: ``doc`` their text, ``start`` and ``end`` their bytes, counted through the batch."""
@@ -162,28 +191,26 @@ def _take(side: _Side, texts: list[str], good: np.ndarray, ids: np.ndarray, coun
 
 
 def tokens_of(a: _Side, b: _Side, texts: list[str]) -> tuple[Spans, Spans]:
-    """Tokens of the texts that both sides give back byte by byte; the others have none."""
-    good = np.array([bool(t) and "▁" not in t for t in texts], bool)
-    wanted = [t if g else "" for t, g in zip(texts, good.tolist())]
-    raw = [(" " + t).encode() if t else b"" for t in wanted]
+    """Tokens of the texts, each behind a blank, that both sides give back byte by byte; the others have none."""
+    good = np.array(["▁" not in t for t in texts], bool)
+    wanted = [t if g else None for t, g in zip(texts, good.tolist())]
+    raw = [b"" if t is None else (" " + t).encode() for t in wanted]
     found = []
     for side in (a, b):
         ids, counts = side.encode(wanted)
         data = side.vocabulary.decode(ids)
-        if data != b"".join(raw):
-            ends = np.concatenate([[0], np.cumsum(counts)])
-            sizes = np.concatenate([[0], np.cumsum(side.vocabulary.lengths[ids])])[ends]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        sizes = np.concatenate([[0], np.cumsum(side.vocabulary.lengths[ids])])[ends]
+        if data != b"".join(raw) or (np.diff(sizes) != [len(r) for r in raw]).any():
             good &= np.array([data[x:y] == r for x, y, r in zip(sizes[:-1].tolist(), sizes[1:].tolist(), raw)], bool)
         found.append((ids, counts))
     return tuple(_take(side, texts, good, ids, counts) for side, (ids, counts) in zip((a, b), found))
 
 
 def links(a: Spans, b: Spans) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of token places (in a, in b) whose bytes overlap."""
-    one = pd.DataFrame({"start": a.start, "doc": a.doc, "own": np.arange(len(a.ids))})
-    two = pd.DataFrame({"start": b.start, "doc": b.doc, "other": np.arange(len(b.ids))})
-    cover_b = pd.merge_asof(one, two, on="start", by="doc")["other"].to_numpy(np.int64)
-    cover_a = pd.merge_asof(two, one, on="start", by="doc")["own"].to_numpy(np.int64)
+    """All pairs of token places (in a, in b) whose bytes overlap; both sides have the same bytes of every text."""
+    cover_b = np.searchsorted(b.start, a.start, "right") - 1
+    cover_a = np.searchsorted(a.start, b.start, "right") - 1
     later = np.flatnonzero(b.start > a.start[cover_a])  # equal starts are found already
     return np.concatenate([np.arange(len(a.ids)), cover_a[later]]), np.concatenate([cover_b, later])
 
@@ -231,6 +258,67 @@ def group_texts(a: Spans, b: Spans, n_docs: int) -> tuple[list[str], np.ndarray]
     return texts, np.bincount(owner, minlength=n_docs)
 
 
+class Words:
+    """The alignments of the distinct words of a worker.
+
+    ``known`` numbers them.  ``sizes`` has their tokens on both sides, groups
+    and links, ``pairs`` the ids of all links, end to end, ``texts`` the groups.
+    """
+
+    def __init__(self, a: _Side, b: _Side) -> None:
+        self.sides = a, b
+        self.cut = re.compile(r" (?<=\S )") if a.wordwise and b.wordwise else None
+        self._empty()
+
+    def _empty(self) -> None:
+        self.known: dict[str, int] = {}
+        self.characters, self.texts = 0, []
+        self.sizes, self.good = np.zeros((4, 0), np.int64), np.zeros(0, bool)
+        self.pairs, self.begins = np.zeros(0, np.int64), np.zeros(1, np.int64)
+
+    def _add(self, new: list[str]) -> None:
+        a, b = tokens_of(*self.sides, new)
+        one, two = links(a, b)
+        doc = a.doc[one]
+        order = np.argsort(doc, kind="stable")
+        texts, n_groups = group_texts(a, b, len(new))
+        sizes = np.array([np.bincount(a.doc, minlength=len(new)), np.bincount(b.doc, minlength=len(new)), n_groups, np.bincount(doc, minlength=len(new))])
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        self.characters += sum(map(len, new))
+        self.texts += texts
+        self.sizes, self.good = np.concatenate([self.sizes, sizes], axis=1), np.concatenate([self.good, sizes[0] > 0])
+        self.pairs = np.concatenate([self.pairs, (a.ids[one] << 32 | b.ids[two])[order]])
+        self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum(sizes[3])])
+
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        own = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(own < 0).tolist()
+        if missing:
+            self._add(list(dict.fromkeys(words[k] for k in missing)))
+            own[missing] = [self.known[words[k]] for k in missing]
+        return own
+
+    def lookup(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The words of all texts, end to end, and how many each has; null and empty ones have none."""
+        if len(self.known) > MAX_WORDS or len(self.pairs) > MAX_WORD_LINKS or self.characters > MAX_WORD_CHARACTERS:
+            self._empty()
+        cut = [[] if not t else self.cut.split(t) if self.cut else [t] for t in texts]
+        counts = np.array([len(words) for words in cut], np.int64)
+        own = self._numbers([w for words in cut for w in words])
+        bad = np.unique(np.repeat(np.arange(len(texts)), counts)[~self.good[own]]).tolist()
+        if bad:  # such a text is one word: it counts whether it comes back as a whole
+            for k in bad:
+                cut[k] = [texts[k]]
+            counts[bad] = 1
+            own = self._numbers([w for words in cut for w in words])
+        return own, counts
+
+
+@lru_cache(maxsize=2)
+def words_of(byte_path: str, pattern: str, piece_path: str) -> Words:
+    return Words(ByteSide(byte_path, pattern), PieceSide(piece_path))
+
+
 #: Rows of texts have ``pairs`` and ``times``: the numbers of their pairs within the block and how often
 #: each is linked (32-bit integers).  Rows of pairs have a number, ``nth``, and the texts of the block that hold them.
 _ROWS = "block long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, pairs binary, times binary, a int, b int, nth int, docs long"
@@ -238,21 +326,22 @@ _TEXT_COLUMNS = ["block", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups
 _PAIR_COLUMNS = ["block", "a", "b", "nth", "docs"]
 
 
-def _block(block: int, part: pa.RecordBatch, own: tuple[_Side, _Side], digest: bool) -> Iterator[dict]:
+def _block(block: int, part: pa.RecordBatch, words: Words, digest: bool) -> Iterator[dict]:
     n = part.num_rows
-    a, b = tokens_of(*own, [t or "" for t in part.column("text").to_pylist()])
-    one, two = links(a, b)
-    nth, codes = pd.factorize(a.ids[one] << 32 | b.ids[two])
-    held, times = np.unique(a.doc[one] * max(1, len(codes)) + nth, return_counts=True)
+    own, counts = words.lookup(part.column("text").to_pylist())
+    bounds = np.concatenate([[0], np.cumsum(counts)])
+    sizes = np.diff(np.concatenate([np.zeros((4, 1), np.int64), np.cumsum(words.sizes[:, own], axis=1)], axis=1)[:, bounds], axis=1)
+    nth, codes = pd.factorize(words.pairs[spread(words.begins[own], words.sizes[3, own])])
+    held, times = np.unique(np.repeat(np.arange(n), sizes[3]) * max(1, len(codes)) + nth, return_counts=True)
     doc, pair = held // max(1, len(codes)), held % max(1, len(codes))
     cuts = 4 * np.searchsorted(doc, np.arange(n + 1))
     packed = [p.astype("<i4").tobytes() for p in (pair, times)]
-    texts, n_groups = group_texts(a, b, n)
+    groups = list(map(words.texts.__getitem__, own.tolist()))
+    texts = [";".join(groups[x:y]) for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
     if digest:
         texts = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in texts]
     yield {
-        "block": np.full(n, block), "doc_id": part.column("doc_id"), "n_a": np.bincount(a.doc, minlength=n), "n_b": np.bincount(b.doc, minlength=n),
-        "n_groups": n_groups, "n_links": np.bincount(a.doc[one], minlength=n), "groups": texts,
+        "block": np.full(n, block), "doc_id": part.column("doc_id"), "n_a": sizes[0], "n_b": sizes[1], "n_groups": sizes[2], "n_links": sizes[3], "groups": texts,
         "pairs": [packed[0][x:y] for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist())], "times": [packed[1][x:y] for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist())],
     }
     yield {
@@ -269,7 +358,7 @@ def aligned(docs: DataFrame, byte_path: str, pattern: str, piece_path: str, dige
     """Rows of texts and rows of pairs of all blocks; see ``_ROWS``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sides(byte_path, pattern, piece_path)
+        own = words_of(byte_path, pattern, piece_path)
         block = TaskContext.get().partitionId() << 32
         for part in chunks(batches, size=block_bytes):
             for columns in _block(block, part, own, digest):

@@ -213,3 +213,32 @@ def test_alignment_gives_memory_back_after_every_block(monkeypatch):
     out = list(taken["run"](iter([batch])))
     assert len(out) == 6 and len(released) == 3
     assert alignment.BLOCK_BYTES <= 2 << 20
+
+
+def test_alignment_of_any_blanks(spark):
+    """Words are cut at blanks only where neither tokenizer goes on."""
+    signs = [" ", " ", "  ", "\n", "\t", "\r\n", "\x1c", " ", " ", "\0", "a", "the", "Cat", "'s", "'", "12", ",", "é", "漢", "🙂", "▁"]
+    rows = [(k, "".join(RNG.choice(signs[: RNG.choice([6, 12, 20, 21])]) for _ in range(RNG.randrange(14)))) for k in range(600)]
+    rows += [(k, " ".join(RNG.choice(["the", "cat", "don't", "a,b", "x\n"]) for _ in range(30))) for k in range(600, 640)]
+    for block_bytes in (200, 1 << 20):
+        got = alignment.align(documents(spark, rows).coalesce(2), *PATHS, block_bytes=block_bytes)
+        assert values(got, *ALIGNED) == sorted(brute_tokens.alignments(rows), key=str)
+
+
+def test_words_are_aligned_once(monkeypatch):
+    """The tokens that are matched are those of the distinct words, however often they come."""
+    seen, links = [], alignment.links
+    monkeypatch.setattr(alignment, "links", lambda a, b: seen.append(len(a.ids)) or links(a, b))
+    schema = {"doc_id": pa.array(range(40), pa.int64()), "text": ["one two three two one " * 50] * 40}
+    own = alignment.words_of(*PATHS)
+    rows, _ = alignment._block(0, pa.RecordBatch.from_pydict(schema), own, False)
+    assert sum(rows["n_a"]) > 40 * 250 and sum(seen) < 20
+
+
+def test_words_are_forgotten(monkeypatch):
+    monkeypatch.setattr(alignment, "MAX_WORDS", 2)
+    words = alignment.words_of(*PATHS)
+    for texts in (["a b c", None, "c d"], ["c d", ""], ["d ▁ e", "e"]):
+        own, counts = words.lookup(texts)
+        assert [words.texts[k] != "" for k in own.tolist()] == ["▁" not in t for t in texts if t for _ in (t.split(" ") if "▁" not in t else [t])]
+        assert counts.tolist() == [0 if not t else 1 if "▁" in t else len(t.split(" ")) for t in texts] and len(words.known) <= 8
