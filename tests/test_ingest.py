@@ -166,6 +166,17 @@ def test_load_fundamentals_skips_empty_and_is_idempotent(spark, scratch):
     assert rows(again) == rows(once)
 
 
+def test_files_without_a_line_fail_once(spark, scratch):
+    """Files of no bytes or of blank lines are in the report, and every file once."""
+    scratch.put("A B+C.csv", _daily("125000.0"))
+    scratch.put("BLANK.csv", "\n\n")
+    scratch.put("NOTHING.csv", "")
+    table = spark.createDataFrame([], schemas.FUNDAMENTALS_DAILY_DDL)
+    loaded, seen = refresh.load_fundamentals(spark, scratch.path, table, schemas.FUNDAMENTALS_DAILY_KEY, DAILY_FILE)
+    assert rows(seen.where("class = 'failed'"), "ticker", "n_lines") == [("BLANK", 0), ("NOTHING", 0)]
+    assert rows(seen.where("class = 'ok'"), "n_lines") == [(3,)] and seen.count() == 3 and loaded.count() == 2
+
+
 def test_all_payloads_empty(spark, scratch):
     scratch.put("SILENT.csv", "None")
     scratch.put("MUTE.csv", "None")
