@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from quantloom.bindings.catalog import REGISTRY
 from quantloom.models import boosting, trees
 
 BORDERS = [np.array([-1e30, 2.0, 5.0, 7.0]), np.array([-1e30, 10.0, 20.0, 30.0])]
@@ -44,6 +45,43 @@ def test_trees_equal_brute_force(spark, parts):
     assert model.predict(model.bins(x)) == pytest.approx(grown(x, y, 6, 3, 0.15, 10), abs=1e-9)
 
 
+def test_a_model_grows_alone_as_in_passes(spark):
+    draw = np.random.default_rng(5)
+    x = np.stack([draw.integers(0, 10, 600), draw.integers(0, 40, 600)], axis=1).astype(float)
+    y = x[:, 0] * (x[:, 1] > 15) + draw.normal(size=600)
+    df = spark.createDataFrame([(k, *map(float, v)) for k, v in enumerate(np.column_stack([x, y]).tolist())], "id long, a double, b double, y double").repartition(3)
+    roles = [F.when(F.col("id") % 5 == 0, trees.VALIDATION).when(own, trees.TRAINING).otherwise(trees.UNUSED) for own in (F.lit(True), F.col("id") % 2 == 1)]
+    blocks = trees.pack(df, ["a", "b"], BORDERS, F.xxhash64("id"), F.col("y"), roles)
+    both = [trees.boost(blocks, BORDERS, 2, iterations=7, depth=3, rate=0.15, share=0.9, min_rows=5, seed=2, patience=3, alone=n) for n in (0, 600)]
+    for one, other in zip(*both):
+        assert len(one.trees) == len(other.trees) > 0
+        assert one.errors == pytest.approx(other.errors, rel=1e-9)
+        assert one.predict(one.bins(x)) == pytest.approx(other.predict(other.bins(x)), abs=1e-9)
+
+
+@pytest.mark.parametrize("errors, patience, want", [
+    ([3.0, 2.0, 2.5], 0, (2, True)), ([3.0, 2.0, 2.0], 0, (2, False)), ([3.0, 2.0, 2.5], 2, (2, False)), ([3.0, 2.0, 2.5, 2.0], 2, (2, True)), ([3.0, 2.0, 2.5, 1.0], 2, (4, False)),
+])
+def test_patience_outlives_a_rise(errors, patience, want):
+    assert trees.best_count(errors, patience) == want
+
+
+@pytest.mark.parametrize("query, n_models", [("train_all", 3)])
+def test_training_queries_train_as_in_production(spark, monkeypatch, query, n_models):
+    """2000 trees are allowed, and 25 without a smaller error end it; not the six of queries that need just some model."""
+    asked, train = [], boosting.train_horizon
+    monkeypatch.setattr("quantloom.bindings.learning._MODELS", {})
+    monkeypatch.setattr(boosting, "train_horizon", lambda df, target, seed, iterations, patience: asked.append((iterations, patience)) or train(df, target, seed, 1))
+    numbers = {c: (F.col("id") % n).cast("double") for c, n in (("quantity", 7), ("money", 11), ("discount", 3), ("tax", 5))}
+    samples = spark.range(300).select(
+        F.concat(F.lit("T"), F.col("id") % 20).alias("ticker"), F.date_add(F.lit("2020-01-01").cast("date"), F.floor(F.col("id") / 20).cast("int")).alias("date"),
+        F.lit("n").alias("name"), F.concat(F.lit("s"), F.col("id") % 2).alias("sector"), *[c.alias(n) for n, c in numbers.items()], *[(F.col("id") % 13).cast("double").alias(t) for t in boosting.TARGETS],
+    )
+    monkeypatch.setattr("quantloom.bindings.learning._samples", lambda spark, d: samples)
+    REGISTRY[query].run(spark, "")
+    assert asked == [(2000, 25)] * n_models
+
+
 def test_no_rows_or_no_features(spark):
     empty = spark.createDataFrame([], "id long, a double, b double, y double")
     blocks = trees.pack(empty, ["a", "b"], BORDERS, F.xxhash64("id"), F.col("y"), [F.lit(trees.TRAINING)])
