@@ -66,7 +66,7 @@ def test_patience_outlives_a_rise(errors, patience, want):
     assert trees.best_count(errors, patience) == want
 
 
-@pytest.mark.parametrize("query, n_models", [("train_all", 3)])
+@pytest.mark.parametrize("query, n_models", [("train_and_evaluate", 1), ("train_all", 3)])
 def test_training_queries_train_as_in_production(spark, monkeypatch, query, n_models):
     """2000 trees are allowed, and 25 without a smaller error end it; not the six of queries that need just some model."""
     asked, train = [], boosting.train_horizon
