@@ -96,11 +96,25 @@ def test_scores_have_the_exact_base_and_beat_it(spark, awkward, empty):
     totals = (model.order, model.n_tokens, model.n_types, model.n_texts)
     copied = lm._routed(folded.select("doc_id", "held_out", F.coalesce("text", F.lit("")).alias("text")), model, totals, asks=1)
     assert values(copied, "doc_id", F.round("score", 6)) == values(scored, "doc_id", F.round("score", 6))
+    rounds = lm._routed(folded.select("doc_id", "held_out", F.coalesce("text", F.lit("")).alias("text")), model, totals, rounds=3)
+    assert values(rounds, "doc_id", F.round("score", 6)) == values(scored, "doc_id", F.round("score", 6))
     nothing = lm.folds(empty)
     assert lm.score(nothing, lm.train(nothing)).count() == 0
     assert lm.score(folded, lm.train(nothing)).where("base_score <> 0 or score <> 0").count() == 0
 
 
+def test_routed_scores_leave_little_on_disk(spark, tmp_path, monkeypatch):
+    """Sent to the segments, texts take turns, and what was sent goes with its turn: at most some bytes a token stay."""
+    docs = lm.folds(documents(spark, [(i, prose(i, 300, 400)) for i in range(300)]))
+    model = lm.train(docs)
+    made = []
+    monkeypatch.setattr("quantloom.llm.lm.scratch_path", lambda spark, name: made.append(f"{tmp_path}/{name}-{len(made)}") or made[-1])
+    found = lm.score(docs, model, max_broadcast=0)
+    assert found.count() == 300
+    kept = sum(p.stat().st_size for p in tmp_path.rglob("*.parquet"))
+    assert made and kept < 0.5 * model.n_tokens, (kept, model.n_tokens)
+
+
 def test_filter_levels_are_never_too_low():
     rng = np.random.default_rng(3)
     keys = np.unique(rng.integers(0, 2**63, 5000).astype(np.uint64))
