@@ -384,3 +384,22 @@ def test_clustered_and_bucketed_layouts(spark, scratch):
     tables.bucketed_table(df, "bucketed_right", "k", ["t"], 4)
     joined = spark.table("bucketed_left").hint("merge").join(spark.table("bucketed_right"), "k")
     assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lines_are_bound_without_a_shuffle(spark, scratch):
+    """Lines meet only the files that differ from most, whatever their number; those still go by their own header."""
+    for k in range(5):
+        scratch.put(f"t{k}.csv", f"date,x\n2020-01-0{k + 1},{k}.5\n")
+    scratch.put("other.csv", "x,date\n7.5,2020-01-07\n")
+    scratch.put("bad.csv", "date,x\n2020-01-08,nine\n")
+    scratch.put("headless.csv", "2020-01-09,1.0\n2020-01-09,2.0\n")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with very many files
+    try:
+        typed, files = csv.bound_files(csv.read_cells(spark, scratch.path, ["date", "x"]), "date date, x double")
+        plan = typed._jdf.queryExecution().executedPlan().toString()
+        got = sorted(r["x"] for r in typed.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan, plan
+    assert got == [0.5, 1.5, 2.5, 3.5, 4.5, 7.5]
+    assert sorted(r["class"] for r in files.collect()) == ["failed"] * 2 + ["ok"] * 6
